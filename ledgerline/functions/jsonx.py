@@ -1,7 +1,9 @@
 """Column expressions for JSON documents held as VARIANT.
 
-Every function returns a ``Column`` built from Spark built-ins only, so the whole shredding
-projection stays inside whole-stage codegen (no Python on the executors).
+Every function returns Spark SQL built from built-in functions only, so the whole shredding
+projection stays inside whole-stage codegen (no Python on the executors). Each function exists in
+two forms: ``*_sql`` gives the expression text (a shred of 127 columns is then a single
+``selectExpr`` call) and the plain name gives a ``Column``.
 
 Semantics follow the reference warehouse's functions:
 
@@ -26,14 +28,21 @@ MAX_EPOCH_US = 253_402_300_799_999_999
 # Day numbers of 0001-01-01 and 9999-12-31 relative to 1970-01-01.
 MIN_EPOCH_DAY, MAX_EPOCH_DAY = -719_162, 2_932_896
 
-_EPOCH_RE = r"^[0-9]+\.?[0-9]*\z"  # \z: Java's $ would also match before a trailing newline
-_ISO_PREFIX_RE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}"
-_ISO_FRACTION_RE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{1,6}Z\z"
-_ISO_SECONDS_RE = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}Z\z"
+# Patterns (Java regex inside Spark SQL string literals; \z because Java's $ also matches before a
+# trailing newline).
+_EPOCH_RE = r"^[0-9]+\\.?[0-9]*\\z"
+_ISO_PREFIX_RE = r"^\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}:\\d{2}"
+_ISO_FRACTION_RE = r"^\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}:\\d{2}\\.\\d{1,6}Z\\z"
+_ISO_SECONDS_RE = r"^\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}:\\d{2}Z\\z"
+_HAS_FRACTION_RE = r"\\.\\d"
 
 
-def _c(col: Column | str) -> Column:
-    return F.col(col) if isinstance(col, str) else col
+def _ident(col: str) -> str:
+    return col if col.startswith("`") or "(" in col else f"`{col}`"
+
+
+def _lit(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def json_path(path: str) -> str:
@@ -67,115 +76,143 @@ def spark_type(word: str) -> T.DataType | None:
 
 def as_variant(col: Column | str, is_text: bool = False) -> Column:
     """Parse JSON text once into a VARIANT (malformed text -> NULL)."""
-    c = _c(col)
+    c = F.col(col) if isinstance(col, str) else col
     return F.try_parse_json(c) if is_text else c
 
 
-def json_query(v: Column | str, path: str) -> Column:
-    return F.try_variant_get(_c(v), json_path(path), "variant")
+# ----------------------------------------------------------------------------- SQL text forms
+def json_query_sql(v: str, path: str) -> str:
+    return f"try_variant_get({_ident(v)}, {_lit(json_path(path))}, 'variant')"
 
 
-def json_value(v: Column | str, path: str) -> Column:
+def json_value_sql(v: str, path: str) -> str:
     """Scalar at ``path`` as STRING, NULL for objects and arrays.
 
     The string form is taken first; only when it starts like an object/array is the (costlier)
     container test made, and the test looks at the value's type, never at its text.
     """
-    v = _c(v)
-    p = json_path(path)
-    s = F.try_variant_get(v, p, "string")
-    container = F.try_variant_get(v, p, "map<string,variant>").isNotNull() | F.try_variant_get(
-        v, p, "array<variant>"
-    ).isNotNull()
-    looks_container = F.substring(s, 1, 1).isin("{", "[")
-    return F.when(looks_container & container, F.lit(None).cast("string")).otherwise(s)
+    v, p = _ident(v), _lit(json_path(path))
+    s = f"try_variant_get({v}, {p}, 'string')"
+    container = (
+        f"(try_variant_get({v}, {p}, 'map<string,variant>') IS NOT NULL "
+        f"OR try_variant_get({v}, {p}, 'array<variant>') IS NOT NULL)"
+    )
+    return f"(CASE WHEN substr({s}, 1, 1) IN ('{{', '[') AND {container} THEN CAST(NULL AS STRING) ELSE {s} END)"
 
 
-def safe_cast(s: Column, dtype: T.DataType) -> Column:
+def safe_cast_sql(s: str, dtype: T.DataType) -> str:
     """SAFE_CAST of a scalar string to ``dtype`` with the warehouse's acceptance rules."""
     if isinstance(dtype, T.StringType):
         return s
     if isinstance(dtype, T.BooleanType):
-        return F.when(F.lower(s).isin("true", "false"), F.lower(s) == F.lit("true"))
-    return s.try_cast(dtype)
+        return f"(CASE WHEN lower({s}) IN ('true', 'false') THEN lower({s}) = 'true' END)"
+    return f"try_cast({s} AS {dtype.simpleString()})"
 
 
-def extract(v: Column | str, path: str, dtype: str = "STRING") -> Column:
+def extract_sql(v: str, path: str, dtype: str = "STRING") -> str:
     """``extract_json``: JSON words keep the VARIANT, others take the scalar and safe-cast it."""
     t = spark_type(dtype)
     if t is None:
-        return json_query(v, path)
-    return safe_cast(json_value(v, path), t)
+        return json_query_sql(v, path)
+    return safe_cast_sql(json_value_sql(v, path), t)
 
 
-def _epoch_number(raw: Column, unit: str) -> Column:
-    """Epoch text already known to be a bare non-negative number -> TIMESTAMP (or NULL)."""
-    x = raw.try_cast("double")
+def _epoch_number_sql(raw: str, unit: str) -> str:
+    x = f"try_cast({raw} AS DOUBLE)"
     if unit == "ms":
-        n = F.round(x).try_cast("bigint")
-        return F.when(n <= F.lit(MAX_EPOCH_MS), F.timestamp_millis(n))
+        n = f"try_cast(round({x}) AS BIGINT)"
+        return f"(CASE WHEN {n} <= {MAX_EPOCH_MS} THEN timestamp_millis({n}) END)"
     if unit == "us":
-        n = F.round(x).try_cast("bigint")
-        return F.when(n <= F.lit(MAX_EPOCH_US), F.timestamp_micros(n))
+        n = f"try_cast(round({x}) AS BIGINT)"
+        return f"(CASE WHEN {n} <= {MAX_EPOCH_US} THEN timestamp_micros({n}) END)"
     if unit == "ns":
-        n = F.round(x / F.lit(1000.0)).try_cast("bigint")
-        return F.when(n <= F.lit(MAX_EPOCH_US), F.timestamp_micros(n))
-    return F.lit(None).cast("timestamp")
+        n = f"try_cast(round({x} / 1000.0) AS BIGINT)"
+        return f"(CASE WHEN {n} <= {MAX_EPOCH_US} THEN timestamp_micros({n}) END)"
+    return "CAST(NULL AS TIMESTAMP)"
 
 
-def epoch_text_to_ts(raw: Column, unit: str = "ms") -> Column:
+def epoch_text_to_ts_sql(raw: str, unit: str = "ms") -> str:
     """Epoch number held as text (ms/us/ns) -> TIMESTAMP; anything not a bare number -> NULL.
 
     Fractions round half away from zero (the warehouse's FLOAT64 -> INT64 rule). Negative and
     exponent forms are NULL. Out-of-range values are NULL (the warehouse would raise).
     """
-    return F.when(raw.isNotNull() & raw.rlike(_EPOCH_RE), _epoch_number(raw, unit))
+    return f"(CASE WHEN {raw} IS NOT NULL AND {raw} RLIKE '{_EPOCH_RE}' THEN {_epoch_number_sql(raw, unit)} END)"
 
 
-def extract_epoch(v: Column | str, path: str, unit: str = "ms") -> Column:
-    """``extract_json_timestamp[_no_timezone]``: epoch at ``path`` -> TIMESTAMP (UTC)."""
-    return epoch_text_to_ts(json_value(v, path), unit)
+def extract_epoch_sql(v: str, path: str, unit: str = "ms") -> str:
+    return epoch_text_to_ts_sql(json_value_sql(v, path), unit)
 
 
-def iso_text_to_ts(raw: Column) -> Column:
+def iso_text_to_ts_sql(raw: str) -> str:
     """ISO-8601 text that must end in a literal ``Z`` -> TIMESTAMP; offsets such as ``+07:00`` are
     NULL. The fraction form is used when the text contains ``.<digit>``; quotes are removed before
-    parsing (the prefix test runs on the text as it came)."""
-    clean = F.regexp_replace(raw, '"', "")
-    has_fraction = raw.rlike(r"\.\d")
-    frac_ok = clean.rlike(_ISO_FRACTION_RE)
-    sec_ok = clean.rlike(_ISO_SECONDS_RE)
-    body = F.regexp_replace(clean, "Z$", "")
-    parsed_frac = F.try_to_timestamp(body, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
-    parsed_sec = F.try_to_timestamp(body, F.lit("yyyy-MM-dd'T'HH:mm:ss"))
-    return F.when(has_fraction, F.when(frac_ok, parsed_frac)).otherwise(F.when(sec_ok, parsed_sec))
-
-
-def epoch_or_iso_text_to_ts(raw: Column, unit: str = "ms") -> Column:
+    parsing (the prefix test runs on the text as it came). The ``Z`` is parsed as the zone, so the
+    result does not depend on the session time zone."""
+    clean = f"replace({raw}, '\"', '')"
+    frac = f"try_to_timestamp({clean}, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSSX\")"
+    sec = f"try_to_timestamp({clean}, \"yyyy-MM-dd'T'HH:mm:ssX\")"
+    return (
+        f"(CASE WHEN {raw} RLIKE '{_HAS_FRACTION_RE}' "
+        f"THEN (CASE WHEN {clean} RLIKE '{_ISO_FRACTION_RE}' THEN {frac} END) "
+        f"ELSE (CASE WHEN {clean} RLIKE '{_ISO_SECONDS_RE}' THEN {sec} END) END)"
+    )
+
+
+def epoch_or_iso_text_to_ts_sql(raw: str, unit: str = "ms") -> str:
     return (
-        F.when(raw.isNull(), F.lit(None).cast("timestamp"))
-        .when(raw.rlike(_EPOCH_RE), _epoch_number(raw, unit))
-        .when(raw.rlike(_ISO_PREFIX_RE), iso_text_to_ts(raw))
+        f"(CASE WHEN {raw} IS NULL THEN CAST(NULL AS TIMESTAMP) "
+        f"WHEN {raw} RLIKE '{_EPOCH_RE}' THEN {_epoch_number_sql(raw, unit)} "
+        f"WHEN {raw} RLIKE '{_ISO_PREFIX_RE}' THEN {iso_text_to_ts_sql(raw)} END)"
     )
 
 
-def extract_epoch_or_iso(v: Column | str, path: str, unit: str = "ms") -> Column:
-    """``extract_json_timestamp_from_str``: epoch number or ISO-8601 ``Z`` string -> TIMESTAMP."""
-    return epoch_or_iso_text_to_ts(json_value(v, path), unit)
+def extract_epoch_or_iso_sql(v: str, path: str, unit: str = "ms") -> str:
+    return epoch_or_iso_text_to_ts_sql(json_value_sql(v, path), unit)
 
 
-def days_to_date(n: Column) -> Column:
-    in_range = (n >= F.lit(MIN_EPOCH_DAY)) & (n <= F.lit(MAX_EPOCH_DAY))
-    return F.when(in_range, F.date_add(F.lit("1970-01-01").cast("date"), n.cast("int")))
+def days_to_date_sql(n: str) -> str:
+    return (
+        f"(CASE WHEN {n} BETWEEN {MIN_EPOCH_DAY} AND {MAX_EPOCH_DAY} "
+        f"THEN date_add(DATE'1970-01-01', CAST({n} AS INT)) END)"
+    )
 
 
-def extract_epoch_days(v: Column | str, path: str) -> Column:
-    """``extract_json_date``: integer day number at ``path`` -> DATE."""
-    return days_to_date(extract(v, path, "INT"))
+def extract_epoch_days_sql(v: str, path: str) -> str:
+    return days_to_date_sql(extract_sql(v, path, "INT"))
 
 
-def extract_field(v: Column | str, path: str, dtype: str) -> Column:
+def extract_field_sql(v: str, path: str, dtype: str) -> str:
     """Spec type word -> the matching extractor (``TS`` is an epoch-ms timestamp)."""
     if dtype.upper() == "TS":
-        return extract_epoch(v, path, "ms")
-    return extract(v, path, dtype.replace("_", " "))
+        return extract_epoch_sql(v, path, "ms")
+    return extract_sql(v, path, dtype.replace("_", " "))
+
+
+# ------------------------------------------------------------------------------- Column forms
+def json_query(v: str, path: str) -> Column:
+    return F.expr(json_query_sql(v, path))
+
+
+def json_value(v: str, path: str) -> Column:
+    return F.expr(json_value_sql(v, path))
+
+
+def extract(v: str, path: str, dtype: str = "STRING") -> Column:
+    return F.expr(extract_sql(v, path, dtype))
+
+
+def extract_epoch(v: str, path: str, unit: str = "ms") -> Column:
+    return F.expr(extract_epoch_sql(v, path, unit))
+
+
+def extract_epoch_or_iso(v: str, path: str, unit: str = "ms") -> Column:
+    return F.expr(extract_epoch_or_iso_sql(v, path, unit))
+
+
+def extract_epoch_days(v: str, path: str) -> Column:
+    return F.expr(extract_epoch_days_sql(v, path))
+
+
+def extract_field(v: str, path: str, dtype: str) -> Column:
+    return F.expr(extract_field_sql(v, path, dtype))

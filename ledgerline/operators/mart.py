@@ -59,7 +59,7 @@ def in_window(as_of: dt.date) -> Column:
 
 def enriched_stores(stores: DataFrame, phones: DataFrame) -> DataFrame:
     """Store dimension with its salesman's phone-mart row (dimension ⟕ dimension, small)."""
-    s = stores.select(*STORE_COLS).withColumn("salesman_phone", json_value(F.col("sale_info"), "phone"))
+    s = stores.select(*STORE_COLS).withColumn("salesman_phone", json_value("sale_info", "phone"))
     p = phones.select(
         F.col("user_phone"),
         F.col("user_name"),

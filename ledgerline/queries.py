@@ -50,7 +50,7 @@ def q_shred_txn(spark: SparkSession, sf: str) -> DataFrame:
 def q_shred_store(spark: SparkSession, sf: str) -> DataFrame:
     st = Scenario(spark, sf).staged("stores", 1)
     return st.select(
-        "id", "__v", "code", "name", "merchant_code", "status", J.json_value(F.col("sale_info"), "phone").alias("sale_phone"),
+        "id", "__v", "code", "name", "merchant_code", "status", J.json_value("sale_info", "phone").alias("sale_phone"),
         "created_at", "approved_at", "rejected_at", "is_default", "is_supplier", "index", "manager_phone", "op", "ts_ms",
         "json_inserted_at", "inserted_at",
     )
@@ -110,7 +110,7 @@ def q_json_scalar_rules(spark: SparkSession, sf: str) -> DataFrame:
         F.lit('"p":'), F.col("props"), F.lit("}"),
     )
     d = e.select("event_id", F.try_parse_json(text).alias("doc"))
-    v = F.col("doc")
+    v = "doc"
     return d.select(
         "event_id",
         J.extract(v, "_id.$oid").alias("id"),
@@ -148,7 +148,7 @@ def _epoch_query(unit: str) -> Callable[[SparkSession, str], DataFrame]:
         us = F.unix_micros(F.col("ts").cast("timestamp"))
         n = {"ms": F.floor(us / 1000), "us": us, "ns": us * 1000 + 499}[unit]
         d = _epoch_doc(e, n, F.col("event_id") % 8)
-        return d.select("event_id", J.extract_epoch(F.col("doc"), "t", unit).alias("t"))
+        return d.select("event_id", J.extract_epoch("doc", "t", unit).alias("t"))
 
     return q
 
@@ -171,7 +171,7 @@ def q_iso_or_epoch(spark: SparkSession, sf: str) -> DataFrame:
         ],
     )
     d = e.select("event_id", F.try_parse_json(F.concat(F.lit('{"t":'), t, F.lit("}"))).alias("doc"))
-    return d.select("event_id", J.extract_epoch_or_iso(F.col("doc"), "t").alias("t"))
+    return d.select("event_id", J.extract_epoch_or_iso("doc", "t").alias("t"))
 
 
 def q_epoch_days(spark: SparkSession, sf: str) -> DataFrame:
@@ -182,7 +182,7 @@ def q_epoch_days(spark: SparkSession, sf: str) -> DataFrame:
         [days, _q(days), F.lit('"1.0"'), F.concat(F.lit("-"), days), F.lit("99999999")],
     )
     d = e.select("event_id", F.try_parse_json(F.concat(F.lit('{"d":'), t, F.lit("}"))).alias("doc"))
-    return d.select("event_id", J.extract_epoch_days(F.col("doc"), "d").alias("d"))
+    return d.select("event_id", J.extract_epoch_days("doc", "d").alias("d"))
 
 
 # -------------------------------------------------------------------- CDC: staging, latest, merge
@@ -296,39 +296,42 @@ def q_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------------------------- checks
-def _checks(spark: SparkSession, sf: str) -> dict[str, C.Check]:
+def _checks(spark: SparkSession, sf: str) -> dict[str, Callable[[], C.Check]]:
     sc = Scenario(spark, sf)
-    stores_landed = A.stores_landing(spark, sf, 1).unionByName(A.stores_landing(spark, sf, 2))
+
+    def stores_landed() -> DataFrame:
+        return A.stores_landing(spark, sf, 1).unionByName(A.stores_landing(spark, sf, 2))
+
     return {
-        "chk_not_null": C.Check("phone_mart.user_phone.not_null", C.check_not_null(sc.phones1(), "user_phone")),
-        "chk_unique": C.Check("stg_events.id.unique", C.check_unique(_staged_all(spark, sf), "id"), "warn"),
-        "chk_accepted": C.Check(
+        "chk_not_null": lambda: C.Check("phone_mart.user_phone.not_null", C.check_not_null(sc.phones1(), "user_phone")),
+        "chk_unique": lambda: C.Check("stg_events.id.unique", C.check_unique(_staged_all(spark, sf), "id"), "warn"),
+        "chk_accepted": lambda: C.Check(
             "stg_transactions.status.accepted",
             C.check_accepted(sc.staged("transactions", 1), "status", ["paid_processing", "success", "paid"]),
         ),
-        "chk_expr": C.Check("mart.gmv.lt_300000", C.check_expr(sc.mart_full(), "gmv < 300000")),
-        "chk_single_owner": C.Check("stg_stores.one_merchant_per_store", C.check_single_owner(sc.staged_all("stores"))),
-        "chk_parent": C.Check(
+        "chk_expr": lambda: C.Check("mart.gmv.lt_300000", C.check_expr(sc.mart_full(), "gmv < 300000")),
+        "chk_single_owner": lambda: C.Check("stg_stores.one_merchant_per_store", C.check_single_owner(sc.staged_all("stores"))),
+        "chk_parent": lambda: C.Check(
             "dim_transactions.merchant_matches_store",
             C.check_matches_parent(sc.core1("transactions"), sc.core1("stores")),
         ),
-        "chk_freshness": C.Check(
+        "chk_freshness": lambda: C.Check(
             "landing_stores.freshness",
-            C.check_freshness(stores_landed, "inserted_at", FRESHNESS_NOW).filter("status <> 'pass'"),
+            C.check_freshness(stores_landed(), "inserted_at", FRESHNESS_NOW).filter("status <> 'pass'"),
         ),
     }
 
 
 def _check_query(name: str, cols: list[str] | None = None):
     def q(spark: SparkSession, sf: str) -> DataFrame:
-        df = _checks(spark, sf)[name].violations
+        df = _checks(spark, sf)[name]().violations
         return df.select(*cols) if cols else df
 
     return q
 
 
 def q_check_report(spark: SparkSession, sf: str) -> DataFrame:
-    return C.run_checks(_checks(spark, sf).values())
+    return C.run_checks([make() for make in _checks(spark, sf).values()])
 
 
 def q_stream_staging(spark: SparkSession, sf: str) -> DataFrame:
