@@ -82,15 +82,20 @@ class Scenario:
         cls._instances.clear()
 
     # -- staging (run 1 stages batch 1, run 2 stages batch 2)
+    # -- landing (the CDC feed's stored documents)
     @_stored
-    def staged(self, table: str, batch: int) -> DataFrame:
-        land = {
+    def landing(self, table: str, batch: int) -> DataFrame:
+        return {
             "users": lambda b: A.users_landing(self.spark, self.sf_dir, b, self.cycle),
             "stores": lambda b: A.stores_landing(self.spark, self.sf_dir, b),
             "transactions": lambda b: A.txns_landing(self.spark, self.sf_dir, b),
         }[table](batch)
+
+    # -- staging (run 1 stages batch 1, run 2 stages batch 2)
+    @_stored
+    def staged(self, table: str, batch: int) -> DataFrame:
         spec = {"users": USERS, "stores": STORES, "transactions": TRANSACTIONS}[table]
-        return shred(land, spec, A.RUN1 if batch == 1 else A.RUN2)
+        return shred(self.landing(table, batch), spec, A.RUN1 if batch == 1 else A.RUN2)
 
     @_memo
     def staged_all(self, table: str) -> DataFrame:
