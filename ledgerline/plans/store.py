@@ -1,0 +1,190 @@
+"""Versioned snapshot tables on a shared file system (O-05, O-11, O-14, O-22 storage side).
+
+Parquet has no MERGE, so every table is a list of immutable data folders plus a small log:
+
+* ``<root>/<table>/v=<N>/...``   data written by commit N (never rewritten, never read-and-overwritten)
+* ``<root>/<table>/_log/v=<N>``  one JSON line naming the folders that make up version N
+
+A version becomes visible only when its log line is committed (after its data), so readers never
+see a half-written version, and a failed job leaves at most an orphan data folder.
+
+Keyed tables are laid out in hash buckets (``_bucket = pmod(xxhash64(key), B)``). An upsert reads
+only the buckets its source touches, merges them (anti join + union), writes those buckets into a
+new version folder and points the log at it; untouched buckets are carried over by reference. A
+daily increment therefore rewrites the slice of the table it hits, not the whole table.
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Sequence
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
+
+from ..operators.upsert import assert_unique_source, upsert
+
+BUCKET = "_bucket"
+
+
+@dataclass
+class Layout:
+    """Physical layout options (O-14): hash buckets on the key, optional clustering sort inside
+    each file (Parquet min/max statistics then skip row groups), optional value partitioning."""
+
+    buckets: int = 0
+    cluster_by: Sequence[str] = ()
+    partition_by: Sequence[str] = ()
+
+
+@dataclass
+class Version:
+    version: int
+    paths: list[str]
+    buckets: dict[str, str] = field(default_factory=dict)  # bucket -> folder (bucketed tables)
+    key: list[str] = field(default_factory=list)
+    n_buckets: int = 0
+
+
+def _keys(key) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def bucket_of(key: Sequence[str], n: int):
+    return F.pmod(F.xxhash64(*[F.col(k) for k in key]), F.lit(n)).cast("int")
+
+
+class TableStore:
+    def __init__(self, spark: SparkSession, root: str):
+        self.spark = spark
+        self.root = root.rstrip("/")
+
+    # ------------------------------------------------------------------------------ metadata
+    def _log_dir(self, name: str) -> str:
+        return f"{self.root}/{name}/_log"
+
+    def current(self, name: str) -> Version | None:
+        try:
+            log = self.spark.read.text(self._log_dir(name))
+        except AnalysisException:
+            return None
+        # one short line per committed version; only the newest is fetched
+        row = log.select(F.get_json_object("value", "$.version").cast("int").alias("v"), "value").orderBy(
+            F.col("v").desc()
+        ).first()
+        if row is None:
+            return None
+        d = json.loads(row["value"])
+        return Version(d["version"], d["paths"], d.get("buckets", {}), d.get("key", []), d.get("n_buckets", 0))
+
+    def exists(self, name: str) -> bool:
+        return self.current(name) is not None
+
+    def _commit(self, name: str, v: Version) -> None:
+        line = json.dumps(
+            {"version": v.version, "paths": v.paths, "buckets": v.buckets, "key": v.key, "n_buckets": v.n_buckets}
+        )
+        self.spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("errorifexists").text(
+            f"{self._log_dir(name)}/v={v.version:08d}"
+        )
+
+    def _data_dir(self, name: str, version: int) -> str:
+        return f"{self.root}/{name}/v={version:08d}"
+
+    # ---------------------------------------------------------------------------------- read
+    def read(self, name: str) -> DataFrame:
+        v = self.current(name)
+        if v is None:
+            raise FileNotFoundError(f"table {name} has no committed version under {self.root}")
+        df = self.spark.read.parquet(*v.paths) if v.paths else None
+        if df is None:
+            raise FileNotFoundError(f"table {name} is empty")
+        return df.drop(BUCKET) if BUCKET in df.columns else df
+
+    def max_value(self, name: str, col: str, default):
+        """``COALESCE(MAX(col), default)`` of a stored table (a one-row aggregate)."""
+        if not self.exists(name):
+            return default
+        v = self.read(name).agg(F.max(col).alias("m")).first()["m"]
+        return default if v is None else v
+
+    # --------------------------------------------------------------------------------- write
+    def _write(self, df: DataFrame, path: str, layout: Layout, key: Sequence[str] = ()) -> None:
+        parts = list(layout.partition_by)
+        if layout.buckets:
+            df = df.withColumn(BUCKET, bucket_of(key, layout.buckets))
+            parts = [BUCKET] + parts
+            # one shuffle on the bucket so each bucket folder gets few, large files
+            df = df.repartition(BUCKET)
+        if layout.cluster_by:
+            df = df.sortWithinPartitions(*layout.cluster_by)
+        w = df.write.mode("errorifexists")
+        if parts:
+            w = w.partitionBy(*parts)
+        w.parquet(path)
+
+    def overwrite(self, name: str, df: DataFrame, layout: Layout = Layout(), key=None) -> Version:
+        """New version holding exactly ``df`` (full refresh, O-06)."""
+        prev = self.current(name)
+        n = (prev.version + 1) if prev else 1
+        path = self._data_dir(name, n)
+        keys = _keys(key) if key else []
+        self._write(df, path, layout, keys)
+        if layout.buckets:
+            buckets = {str(b): f"{path}/{BUCKET}={b}" for b in self._written_buckets(path)}
+            v = Version(n, sorted(buckets.values()), buckets, keys, layout.buckets)
+        else:
+            v = Version(n, [path])
+        self._commit(name, v)
+        return v
+
+    def append(self, name: str, df: DataFrame, layout: Layout = Layout()) -> Version:
+        """Insert-only commit (O-05): earlier folders stay, the new rows get their own folder."""
+        prev = self.current(name)
+        n = (prev.version + 1) if prev else 1
+        path = self._data_dir(name, n)
+        self._write(df, path, layout)
+        v = Version(n, (prev.paths if prev else []) + [path])
+        self._commit(name, v)
+        return v
+
+    def upsert(self, name: str, source: DataFrame, key, layout: Layout | None = None, check_unique: bool = True) -> Version:
+        """Merge ``source`` into a bucketed table on ``key`` (O-11/O-22): update matched, insert new.
+
+        Only the buckets the source touches are read and rewritten; their number is bounded by the
+        bucket count, so collecting it is safe. Duplicate source keys raise, like a warehouse MERGE.
+        """
+        keys = _keys(key)
+        prev = self.current(name)
+        if prev is None:
+            return self.overwrite(name, source, layout or Layout(buckets=64), keys)
+        if not prev.n_buckets:
+            raise ValueError(f"{name} is not bucketed on a key; use overwrite")
+        if check_unique:
+            assert_unique_source(source, keys)
+        lay = layout or Layout(buckets=prev.n_buckets)
+        src = source.withColumn(BUCKET, bucket_of(keys, prev.n_buckets))
+        touched = sorted(r[0] for r in src.select(BUCKET).distinct().collect())
+        old_paths = [prev.buckets[str(b)] for b in touched if str(b) in prev.buckets]
+        target_cols = self.read(name).columns
+        if old_paths:
+            old = self.spark.read.parquet(*old_paths)
+            old = old.drop(BUCKET) if BUCKET in old.columns else old
+            merged = upsert(old, src.drop(BUCKET).select(*target_cols), keys)
+        else:
+            merged = src.drop(BUCKET).select(*target_cols)
+        n = prev.version + 1
+        path = self._data_dir(name, n)
+        self._write(merged, path, Layout(prev.n_buckets, lay.cluster_by, lay.partition_by), keys)
+        buckets = dict(prev.buckets)
+        for b in touched:  # every touched bucket holds at least its source rows
+            buckets[str(b)] = f"{path}/{BUCKET}={b}"
+        v = Version(n, sorted(buckets.values()), buckets, keys, prev.n_buckets)
+        self._commit(name, v)
+        return v
+
+    def _written_buckets(self, path: str) -> list[int]:
+        """Bucket folders just written (distinct partition values; at most the bucket count)."""
+        return sorted(r[0] for r in self.spark.read.parquet(path).select(BUCKET).distinct().collect())
