@@ -85,11 +85,15 @@ class Scenario:
     # -- landing (the CDC feed's stored documents)
     @_stored
     def landing(self, table: str, batch: int) -> DataFrame:
-        return {
+        docs = {
             "users": lambda b: A.users_landing(self.spark, self.sf_dir, b, self.cycle),
             "stores": lambda b: A.stores_landing(self.spark, self.sf_dir, b),
             "transactions": lambda b: A.txns_landing(self.spark, self.sf_dir, b),
         }[table](batch)
+        # Shredding costs CPU per document, not per byte: land the documents in enough files for
+        # every core to take a share (a CDC sink writes many files; AQE would coalesce a small
+        # join output into one or two).
+        return docs.repartition(2 * self.spark.sparkContext.defaultParallelism)
 
     # -- staging (run 1 stages batch 1, run 2 stages batch 2)
     @_stored

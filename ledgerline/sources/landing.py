@@ -57,8 +57,11 @@ def _is_variant(df: DataFrame, c: Column) -> bool:
         return False
 
 
-def write_landing(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Append landed documents, one directory per landing day."""
+def write_landing(df: DataFrame, path: str, mode: str = "append", files: int | None = None) -> None:
+    """Append landed documents, one directory per landing day (``files``: spread the documents
+    over that many write tasks, so later shredding gets one task per core)."""
+    if files:
+        df = df.repartition(files)
     (
         df.withColumn(PARTITION_COL, F.to_date("inserted_at"))
         .write.mode(mode)

@@ -54,7 +54,7 @@ def stream_staging_once(spark: SparkSession, sf_dir: str, run_ts: dt.datetime |
     """Land the event stream as files, stage it with the streaming job, return the staged rows."""
     configure(spark)
     root = scratch_path(spark, "stream-staging")
-    write_landing(A.events_landing(spark, sf_dir), f"{root}/landing")
+    write_landing(A.events_landing(spark, sf_dir), f"{root}/landing", files=spark.sparkContext.defaultParallelism)
     q = stream_staging(
         spark, f"{root}/landing", f"{root}/staging", f"{root}/_checkpoint", A.CDC_SPEC,
         run_ts or dt.datetime(2024, 1, 15, 1, 0, tzinfo=dt.timezone.utc),
