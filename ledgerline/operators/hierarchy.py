@@ -71,14 +71,62 @@ def _ordered_non_null(prefix: str, max_level: int):
     return F.filter(arr, lambda x: x.isNotNull())
 
 
-def user_manager_phones(users: DataFrame, run_ts, max_level: int = MAX_LEVEL) -> DataFrame:
+def user_manager_phones(
+    users: DataFrame,
+    run_ts,
+    max_level: int = MAX_LEVEL,
+    own_phone_first: bool = False,
+    previous: DataFrame | None = None,
+) -> DataFrame:
     """Phone hierarchy mart (O-16): one row per phone of an ACTIVE user.
 
     ``hierarchy_phone`` = distinct non-null phones of the user and all managers (sorted, the
     reference leaves the order unspecified); ``agent_phone``/``agent_name`` = first non-null
     manager phone / name (not necessarily the direct manager's); users sharing a phone are merged
     with independent ``min``s; ``source_inserted_at`` = newest user stamp; ``inserted_at`` = run.
+
+    Options (off by default, the reference's behaviour): ``own_phone_first`` puts the row's own
+    phone first in ``hierarchy_phone`` (the rest stay sorted); ``previous`` (the last phone mart)
+    turns on stable stamps: a row whose content is unchanged keeps its old ``inserted_at``, so the
+    incremental transaction mart only re-derives rows whose hierarchy really changed.
     """
+    out = _phones(users, run_ts, max_level)
+    if own_phone_first:
+        own = F.col("user_phone")
+        rest = F.filter(F.col("hierarchy_phone"), lambda x: x != own)
+        out = out.withColumn(
+            "hierarchy_phone",
+            F.when(F.array_contains(F.col("hierarchy_phone"), own), F.concat(F.array(own), rest)).otherwise(
+                F.col("hierarchy_phone")
+            ),
+        )
+    if previous is not None:
+        out = stable_stamps(out, previous)
+    return out
+
+
+PHONE_CONTENT = ("user_name", "hierarchy_phone", "agent_phone", "agent_name")
+
+
+def stable_stamps(new: DataFrame, previous: DataFrame, content=PHONE_CONTENT) -> DataFrame:
+    """Keep the previous ``inserted_at`` of rows whose content did not change.
+
+    A NULL-safe equi-join on ``user_phone`` between two copies of a dimension (one row per phone),
+    comparing a hash of the content columns.
+    """
+    h = lambda df: F.xxhash64(*[F.to_json(F.struct(*[df[c] for c in content]))])
+    prev = previous.select(
+        F.col("user_phone").alias("__p"), h(previous).alias("__h"), F.col("inserted_at").alias("__prev_ts")
+    )
+    j = new.join(prev, new["user_phone"].eqNullSafe(prev["__p"]), "left")
+    same = F.col("__h").isNotNull() & (F.col("__h") == h(new))
+    return j.select(
+        *[F.col(c) for c in new.columns if c != "inserted_at"],
+        F.when(same, F.col("__prev_ts")).otherwise(new["inserted_at"]).alias("inserted_at"),
+    ).select(*new.columns)
+
+
+def _phones(users: DataFrame, run_ts, max_level: int) -> DataFrame:
     chain = manager_chain(users, max_level=max_level, keep=("phone", "name", "inserted_at"))
     mp = _ordered_non_null("phone", max_level)
     mn = _ordered_non_null("name", max_level)

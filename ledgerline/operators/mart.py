@@ -125,17 +125,47 @@ def mart_watermarks(mart: DataFrame) -> dict:
     return {k: (EPOCH if r[k] is None else r[k]) for k in ("users", "stores", "source")}
 
 
-def affected_keys(mart: DataFrame, phones: DataFrame, stores: DataFrame, wm: dict) -> DataFrame:
+def affected_keys(
+    mart: DataFrame,
+    phones: DataFrame,
+    stores: DataFrame,
+    wm: dict,
+    refresh_removed_salesmen: bool = False,
+    repair_late_stores: DataFrame | None = None,
+) -> DataFrame:
     """Mart ``transid``s whose salesman phone row or store changed after the marks (O-19, O-20).
 
     Both branches are semi joins (the changed sets are only tested for membership), unioned and
     de-duplicated; partial aggregation removes duplicates before the shuffle.
+
+    Options (off by default, the reference's behaviour):
+    ``refresh_removed_salesmen`` also re-derives rows whose salesman phone has no phone-mart row any
+    more (a deactivated salesman, SURVEY Q3) — an anti join;
+    ``repair_late_stores`` (the core transactions) re-derives rows stored with a NULL store because
+    the store arrived after the transaction, once that store changes (Q6): mart rows with NULL
+    ``merchant_code`` are joined back to their transaction's ``store_code``.
     """
     changed_users = phones.filter(F.col("inserted_at") > F.lit(wm["users"])).select("user_phone")
     changed_stores = stores.filter(F.col("inserted_at") > F.lit(wm["stores"])).select("code")
     by_user = mart.join(changed_users, mart.salesman_phone == changed_users.user_phone, "left_semi").select("transid")
     by_store = mart.join(changed_stores, mart.merchant_code == changed_stores.code, "left_semi").select("transid")
-    return by_user.unionByName(by_store).distinct()
+    out = by_user.unionByName(by_store)
+    if refresh_removed_salesmen:
+        live = phones.select(F.col("user_phone").alias("__phone"))
+        gone = mart.filter(F.col("salesman_phone").isNotNull()).join(
+            live, F.col("salesman_phone") == F.col("__phone"), "left_anti"
+        )
+        out = out.unionByName(gone.select("transid"))
+    if repair_late_stores is not None:
+        orphan = mart.filter(F.col("merchant_code").isNull()).select("transid")
+        codes = repair_late_stores.select(F.col("transid").alias("__t"), F.col("store_code").alias("__sc"))
+        late = (
+            orphan.join(codes, orphan.transid == codes["__t"], "inner")
+            .join(changed_stores, F.col("__sc") == changed_stores.code, "left_semi")
+            .select("transid")
+        )
+        out = out.unionByName(late)
+    return out.distinct()
 
 
 def incremental_detail(
@@ -146,13 +176,17 @@ def incremental_detail(
     as_of: dt.date,
     run_ts,
     wm: dict | None = None,
+    refresh_removed_salesmen: bool = False,
+    repair_late_stores: bool = False,
 ) -> DataFrame:
     """Rows to merge into the mart (O-21): base filter AND (transid affected OR (in window AND
     transaction newer than the mart's source mark)). The membership test is a left join against the
     distinct affected keys with a flag column, the DataFrame form of ``IN (subquery)`` under ``OR``.
     """
     wm = wm or mart_watermarks(mart)
-    hits = affected_keys(mart, phones, stores, wm).withColumn("__hit", F.lit(True))
+    hits = affected_keys(
+        mart, phones, stores, wm, refresh_removed_salesmen, txn if repair_late_stores else None
+    ).withColumn("__hit", F.lit(True))
     newer = in_window(as_of) & (F.col("inserted_at") > F.lit(wm["source"]))
     t = (
         txn.select(*TXN_COLS)

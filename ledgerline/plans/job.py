@@ -50,7 +50,13 @@ def build_mart(
     full_refresh: bool = False,
     max_rows: int | None = None,
     buckets: int = 64,
+    stable_stamps: bool = False,
+    own_phone_first: bool = False,
+    refresh_removed_salesmen: bool = False,
+    repair_late_stores: bool = False,
 ) -> JobResult:
+    """Run one build. The four flags switch on the fixes of SURVEY Q2, Q12, Q3 and Q6 (off by
+    default: the reference's behaviour)."""
     configure(spark)
     store = TableStore(spark, warehouse)
     versions = {}
@@ -73,7 +79,8 @@ def build_mart(
         versions[CORE[t]] = v.version
 
     # phone hierarchy mart: rebuilt every run, clustered by phone
-    phones = user_manager_phones(store.read(CORE["users"]), run_ts)
+    previous = store.read(PHONES) if stable_stamps and store.exists(PHONES) else None
+    phones = user_manager_phones(store.read(CORE["users"]), run_ts, own_phone_first=own_phone_first, previous=previous)
     versions[PHONES] = store.overwrite(PHONES, phones, Layout(cluster_by=("user_phone",))).version
 
     txn, stores, phones = store.read(CORE["transactions"]), store.read(CORE["stores"]), store.read(PHONES)
@@ -82,7 +89,9 @@ def build_mart(
         v = store.overwrite(MART, transaction_detail(txn, stores, phones, as_of, run_ts), mart_layout, key="transid")
     else:
         mart = store.read(MART)
-        inc = incremental_detail(txn, stores, phones, mart, as_of, run_ts, mart_watermarks(mart))
+        inc = incremental_detail(
+            txn, stores, phones, mart, as_of, run_ts, mart_watermarks(mart), refresh_removed_salesmen, repair_late_stores
+        )
         v = store.upsert(MART, inc, "transid", mart_layout)
     versions[MART] = v.version
 

@@ -99,3 +99,34 @@ def test_checks(spark):
     rep = {r["check"]: r["status"] for r in C.run_checks([C.Check("a", C.check_not_null(df, "k"), "warn"),
                                                           C.Check("b", C.check_expr(df, "n >= 0"))]).collect()}
     assert rep == {"a": "warn", "b": "pass"}
+
+
+def test_own_phone_first_and_stable_stamps(spark):
+    u = _users(spark, [("a", "A", "p9", "ACTIVE", "b", None), ("b", "B", "p1", "ACTIVE", None, None)])
+    first = {r["user_phone"]: r for r in user_manager_phones(u, T(2024, 1, 1), own_phone_first=True).collect()}
+    assert first["p9"]["hierarchy_phone"] == ["p9", "p1"]
+    day1 = user_manager_phones(u, T(2024, 1, 1))
+    u2 = _users(spark, [("a", "A", "p9", "ACTIVE", "b", None), ("b", "B2", "p1", "ACTIVE", None, None)])
+    day2 = {r["user_phone"]: r["inserted_at"] for r in user_manager_phones(u2, T(2024, 1, 2), previous=day1).collect()}
+    # p1's own name changed -> new stamp; p9's agent_name changed too -> new stamp
+    assert day2 == {"p9": T(2024, 1, 2), "p1": T(2024, 1, 2)}
+    day3 = {r["user_phone"]: r["inserted_at"] for r in user_manager_phones(u2, T(2024, 1, 3), previous=day1).collect()}
+    assert day3 == {"p9": T(2024, 1, 3), "p1": T(2024, 1, 3)}
+    same = {r["user_phone"]: r["inserted_at"] for r in user_manager_phones(u, T(2024, 1, 3), previous=day1).collect()}
+    assert same == {"p9": T(2024, 1, 1), "p1": T(2024, 1, 1)}  # unchanged content keeps its stamp
+
+
+def test_affected_keys_fix_options(spark):
+    from ledgerline.operators.mart import affected_keys
+
+    mart = spark.createDataFrame(
+        [("t1", "p1", "S1"), ("t2", "gone", "S1"), ("t3", "p1", None)], "transid string, salesman_phone string, merchant_code string"
+    )
+    phones = spark.createDataFrame([("p1", T(2024, 1, 1))], "user_phone string, inserted_at timestamp")
+    stores = spark.createDataFrame([("S2", T(2024, 1, 5))], "code string, inserted_at timestamp")
+    txn = spark.createDataFrame([("t3", "S2")], "transid string, store_code string")
+    wm = {"users": T(2024, 1, 2), "stores": T(2024, 1, 2)}
+    ids = lambda df: sorted(r[0] for r in df.collect())
+    assert ids(affected_keys(mart, phones, stores, wm)) == []
+    assert ids(affected_keys(mart, phones, stores, wm, refresh_removed_salesmen=True)) == ["t2"]
+    assert ids(affected_keys(mart, phones, stores, wm, repair_late_stores=txn)) == ["t3"]
