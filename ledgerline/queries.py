@@ -208,6 +208,19 @@ def q_hwm_append(spark: SparkSession, sf: str) -> DataFrame:
     return run1.unionByName(run2).select(*CDC_COLS)
 
 
+DEV_ROW_CAP = 5000
+
+
+def q_stage_capped(spark: SparkSession, sf: str) -> DataFrame:
+    """The development row cap (O-07) is the feature under test: the first staging run takes the
+    oldest ``DEV_ROW_CAP`` landed documents of the whole landing table, keeping whole ties."""
+    from .operators.staging import stage_increment
+
+    return stage_increment(_cdc_landing(spark, sf), A.CDC_SPEC, None, CDC_RUN1, max_rows=DEV_ROW_CAP).select(
+        "id", "event_id", "ts_ms", "json_inserted_at"
+    )
+
+
 def _staged_all(spark: SparkSession, sf: str) -> DataFrame:
     run1, run2 = _cdc_runs(spark, sf)
     return run1.unionByName(run2)
@@ -351,6 +364,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "iso_or_epoch": q_iso_or_epoch,
     "epoch_days": q_epoch_days,
     "hwm_append": q_hwm_append,
+    "stage_capped": q_stage_capped,
     "latest_per_key": q_latest_per_key,
     "latest_multi_sort": q_latest_multi_sort,
     "slice_newer": q_slice_newer,

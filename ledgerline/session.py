@@ -11,6 +11,8 @@ from pyspark.sql import SparkSession
 # TIMESTAMPs); AQE re-plans joins from runtime sizes and splits skewed shuffle partitions.
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    # the safe-cast rules (e.g. '1.0' is not a BIGINT) rely on ANSI casts, Spark 4's default
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",

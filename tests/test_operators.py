@@ -130,3 +130,21 @@ def test_affected_keys_fix_options(spark):
     assert ids(affected_keys(mart, phones, stores, wm)) == []
     assert ids(affected_keys(mart, phones, stores, wm, refresh_removed_salesmen=True)) == ["t2"]
     assert ids(affected_keys(mart, phones, stores, wm, repair_late_stores=txn)) == ["t3"]
+
+
+def test_read_landing_pushes_watermark_into_scan(spark, tmp_path):
+    from ledgerline.sources.landing import read_landing, to_landing, write_landing
+
+    df = spark.createDataFrame([('{"a":1}', T(2024, 1, d)) for d in (1, 2, 3)], "j string, t timestamp")
+    write_landing(to_landing(df, F.parse_json("j"), "c", F.col("t"), F.col("t")), str(tmp_path / "l"))
+    got = read_landing(spark, str(tmp_path / "l"), since=T(2024, 1, 2, tzinfo=UTC))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(landing_date" in plan and "PushedFilters: [IsNotNull(inserted_at), GreaterThan(inserted_at" in plan
+    assert got.count() == 1
+
+
+def test_cap_rows_keeps_whole_ties(spark):
+    from ledgerline.operators.staging import cap_rows
+
+    df = spark.createDataFrame([(T(2024, 1, 1),), (T(2024, 1, 2),), (T(2024, 1, 2),), (T(2024, 1, 3),)], "inserted_at timestamp")
+    assert cap_rows(df, 2).count() == 3 and cap_rows(df, None).count() == 4
