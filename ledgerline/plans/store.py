@@ -60,12 +60,17 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        # Versions seen or committed by this instance. A table has one writer at a time (one build
+        # runs at a time), so the log is read once per table and then tracked locally.
+        self._known: dict[str, Version] = {}
 
     # ------------------------------------------------------------------------------ metadata
     def _log_dir(self, name: str) -> str:
         return f"{self.root}/{name}/_log"
 
     def current(self, name: str) -> Version | None:
+        if name in self._known:
+            return self._known[name]
         try:
             log = self.spark.read.text(self._log_dir(name))
         except AnalysisException:
@@ -77,7 +82,9 @@ class TableStore:
         if row is None:
             return None
         d = json.loads(row["value"])
-        return Version(d["version"], d["paths"], d.get("buckets", {}), d.get("key", []), d.get("n_buckets", 0))
+        v = Version(d["version"], d["paths"], d.get("buckets", {}), d.get("key", []), d.get("n_buckets", 0))
+        self._known[name] = v
+        return v
 
     def exists(self, name: str) -> bool:
         return self.current(name) is not None
@@ -89,6 +96,7 @@ class TableStore:
         self.spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("errorifexists").text(
             f"{self._log_dir(name)}/v={v.version:08d}"
         )
+        self._known[name] = v
 
     def _data_dir(self, name: str, version: int) -> str:
         return f"{self.root}/{name}/v={version:08d}"
@@ -168,7 +176,7 @@ class TableStore:
         src = source.withColumn(BUCKET, bucket_of(keys, prev.n_buckets))
         touched = sorted(r[0] for r in src.select(BUCKET).distinct().collect())
         old_paths = [prev.buckets[str(b)] for b in touched if str(b) in prev.buckets]
-        target_cols = self.read(name).columns
+        target_cols = [c for c in self.spark.read.parquet(prev.paths[0]).columns if c != BUCKET]
         if old_paths:
             old = self.spark.read.parquet(*old_paths)
             old = old.drop(BUCKET) if BUCKET in old.columns else old
