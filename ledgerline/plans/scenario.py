@@ -5,6 +5,7 @@ the flagship entry point; ``ledgerline.plans.job`` runs the same steps against s
 from __future__ import annotations
 
 import functools
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,9 +26,10 @@ def _memo(fn):
     @functools.wraps(fn)
     def wrapper(self, *args):
         key = (fn.__name__, args)
-        if key not in self._memo:
-            self._memo[key] = fn(self, *args)
-        return self._memo[key]
+        with self._lock:
+            if key not in self._memo:
+                self._memo[key] = fn(self, *args)
+            return self._memo[key]
 
     return wrapper
 
@@ -41,14 +43,16 @@ def _stored(fn):
     @functools.wraps(fn)
     def wrapper(self, *args):
         key = (fn.__name__, args)
-        if key not in self._memo:
+        with self._lock:
+            if key in self._memo:
+                return self._memo[key]
             df = fn(self, *args)
             if self.materialize:
                 path = f"{self.root}/{fn.__name__}" + "".join(f"_{a}" for a in args)
                 df.write.mode("overwrite").parquet(path)
                 df = self.spark.read.parquet(path)
             self._memo[key] = df
-        return self._memo[key]
+            return df
 
     return wrapper
 
@@ -57,24 +61,29 @@ class Scenario:
     """Lazily built DataFrames of the two-batch scenario (nothing is executed until an action)."""
 
     _instances: dict = {}
+    _class_lock = threading.Lock()
 
     def __new__(cls, spark: SparkSession, sf_dir: str, cycle: bool = False, materialize: bool = True):
         key = (id(spark), sf_dir, cycle, materialize)
-        inst = cls._instances.get(key)
-        if inst is None:
+        with cls._class_lock:
+            inst = cls._instances.get(key)
+            if inst is not None:
+                return inst
             inst = super().__new__(cls)
             inst._memo = {}
+            inst._lock = threading.RLock()
             inst.root = None
             cls._instances[key] = inst
-        return inst
+            return inst
 
     def __init__(self, spark: SparkSession, sf_dir: str, cycle: bool = False, materialize: bool = True):
         self.spark = configure(spark)
         self.sf_dir = sf_dir
         self.cycle = cycle
         self.materialize = materialize
-        if materialize and self.root is None:
-            self.root = scratch_path(self.spark, "scenario")
+        with self._lock:
+            if materialize and self.root is None:
+                self.root = scratch_path(self.spark, "scenario")
 
     @classmethod
     def reset(cls) -> None:
