@@ -49,15 +49,22 @@ def build_mart(
     run_ts: dt.datetime,
     full_refresh: bool = False,
     max_rows: int | None = None,
-    buckets: int = 64,
+    buckets: int | None = None,
     stable_stamps: bool = False,
     own_phone_first: bool = False,
     refresh_removed_salesmen: bool = False,
     repair_late_stores: bool = False,
 ) -> JobResult:
     """Run one build. The four flags switch on the fixes of SURVEY Q2, Q12, Q3 and Q6 (off by
-    default: the reference's behaviour)."""
+    default: the reference's behaviour).
+
+    ``buckets`` (hash buckets of the keyed core and mart tables) defaults to the session's
+    ``spark.sql.shuffle.partitions``, which a cluster is already sized by (e.g. ~20k partitions for
+    100 TB keeps a bucket at a few GB); it is fixed when a table is first written.
+    """
     configure(spark)
+    if buckets is None:
+        buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
     store = TableStore(spark, warehouse)
     versions = {}
 
