@@ -19,7 +19,6 @@ from .operators.hierarchy import walk_hierarchy
 from .operators.latest import latest_per_key, slice_newer, slice_retention
 from .operators.mart import affected_keys, mart_watermarks
 from .operators.staging import shred, since_watermark
-from .operators.upsert import upsert
 from .plans.core import core_full, core_merge
 from .plans.scenario import Scenario
 from .session import configure

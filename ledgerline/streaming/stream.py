@@ -12,7 +12,6 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.staging import shred
 from ..session import configure, scratch_path

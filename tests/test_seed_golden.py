@@ -82,3 +82,21 @@ def test_singular_checks_pass_on_seed(cores):
     _, stores, txns = cores
     assert check_single_owner(stores).count() == 0
     assert check_matches_parent(txns, stores).count() == 0
+
+
+def test_mart_plan_prunes_pushes_and_joins_fact_once(spark, cores, tmp_path):
+    users, stores, txns = cores
+    for name, df in (("t", txns), ("s", stores)):
+        df.write.parquet(str(tmp_path / name))
+    t, s = spark.read.parquet(str(tmp_path / "t")), spark.read.parquet(str(tmp_path / "s"))
+    mart = transaction_detail(t, s, user_manager_phones(users, RUN), AS_OF, RUN)
+    plan = mart._jdf.queryExecution().executedPlan().toString()
+    fact_scan = [line for line in plan.split("\n") if "FileScan" in line and "partner_payment_at" in line]
+    assert len(fact_scan) == 1  # the fact table is scanned once
+    scan = fact_scan[0]
+    columns = scan.split("FileScan parquet [")[1].split("]")[0].split(",")
+    assert len(columns) == 8  # 8 of 129 core columns are read
+    assert "partner_payment_at" in scan.split("DataFilters:")[1] and "status" in scan.split("DataFilters:")[1]
+    # six hierarchy-walk joins build the phone mart, which is joined to the store dimension; one
+    # more join consumes the fact rows
+    assert plan.count("Join") == 6 + 1 + 1
