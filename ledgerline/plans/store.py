@@ -46,6 +46,7 @@ class Version:
     buckets: dict[str, str] = field(default_factory=dict)  # bucket -> folder (bucketed tables)
     key: list[str] = field(default_factory=list)
     n_buckets: int = 0
+    meta: dict = field(default_factory=dict)  # free-form lineage notes (e.g. inputs consumed)
 
 
 def _keys(key) -> list[str]:
@@ -82,7 +83,9 @@ class TableStore:
         if row is None:
             return None
         d = json.loads(row["value"])
-        v = Version(d["version"], d["paths"], d.get("buckets", {}), d.get("key", []), d.get("n_buckets", 0))
+        v = Version(
+            d["version"], d["paths"], d.get("buckets", {}), d.get("key", []), d.get("n_buckets", 0), d.get("meta", {})
+        )
         self._known[name] = v
         return v
 
@@ -91,7 +94,8 @@ class TableStore:
 
     def _commit(self, name: str, v: Version) -> None:
         line = json.dumps(
-            {"version": v.version, "paths": v.paths, "buckets": v.buckets, "key": v.key, "n_buckets": v.n_buckets}
+            {"version": v.version, "paths": v.paths, "buckets": v.buckets, "key": v.key, "n_buckets": v.n_buckets,
+             "meta": v.meta}
         )
         self.spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("errorifexists").text(
             f"{self._log_dir(name)}/v={v.version:08d}"
@@ -102,13 +106,18 @@ class TableStore:
         return f"{self.root}/{name}/v={version:08d}"
 
     # ---------------------------------------------------------------------------------- read
-    def read(self, name: str) -> DataFrame:
+    def read(self, name: str, skip_paths: int = 0) -> DataFrame | None:
+        """The current version; ``skip_paths`` leaves out the first folders of an append-only table
+        (those an earlier consumer already processed). None when nothing is left to read."""
         v = self.current(name)
         if v is None:
             raise FileNotFoundError(f"table {name} has no committed version under {self.root}")
-        df = self.spark.read.parquet(*v.paths) if v.paths else None
-        if df is None:
+        paths = v.paths[skip_paths:]
+        if not paths:
+            if skip_paths:
+                return None
             raise FileNotFoundError(f"table {name} is empty")
+        df = self.spark.read.parquet(*paths)
         return df.drop(BUCKET) if BUCKET in df.columns else df
 
     def max_value(self, name: str, col: str, default):
@@ -133,7 +142,7 @@ class TableStore:
             w = w.partitionBy(*parts)
         w.parquet(path)
 
-    def overwrite(self, name: str, df: DataFrame, layout: Layout = Layout(), key=None) -> Version:
+    def overwrite(self, name: str, df: DataFrame, layout: Layout = Layout(), key=None, meta: dict | None = None) -> Version:
         """New version holding exactly ``df`` (full refresh, O-06)."""
         prev = self.current(name)
         n = (prev.version + 1) if prev else 1
@@ -142,9 +151,9 @@ class TableStore:
         self._write(df, path, layout, keys)
         if layout.buckets:
             buckets = {str(b): f"{path}/{BUCKET}={b}" for b in self._written_buckets(path)}
-            v = Version(n, sorted(buckets.values()), buckets, keys, layout.buckets)
+            v = Version(n, sorted(buckets.values()), buckets, keys, layout.buckets, meta or {})
         else:
-            v = Version(n, [path])
+            v = Version(n, [path], meta=meta or {})
         self._commit(name, v)
         return v
 
@@ -158,7 +167,10 @@ class TableStore:
         self._commit(name, v)
         return v
 
-    def upsert(self, name: str, source: DataFrame, key, layout: Layout | None = None, check_unique: bool = True) -> Version:
+    def upsert(
+        self, name: str, source: DataFrame, key, layout: Layout | None = None, check_unique: bool = True,
+        meta: dict | None = None,
+    ) -> Version:
         """Merge ``source`` into a bucketed table on ``key`` (O-11/O-22): update matched, insert new.
 
         Only the buckets the source touches are read and rewritten; their number is bounded by the
@@ -167,7 +179,7 @@ class TableStore:
         keys = _keys(key)
         prev = self.current(name)
         if prev is None:
-            return self.overwrite(name, source, layout or Layout(buckets=64), keys)
+            return self.overwrite(name, source, layout or Layout(buckets=64), keys, meta)
         if not prev.n_buckets:
             raise ValueError(f"{name} is not bucketed on a key; use overwrite")
         if check_unique:
@@ -189,7 +201,14 @@ class TableStore:
         buckets = dict(prev.buckets)
         for b in touched:  # every touched bucket holds at least its source rows
             buckets[str(b)] = f"{path}/{BUCKET}={b}"
-        v = Version(n, sorted(buckets.values()), buckets, keys, prev.n_buckets)
+        v = Version(n, sorted(buckets.values()), buckets, keys, prev.n_buckets, meta or {})
+        self._commit(name, v)
+        return v
+
+    def touch(self, name: str, meta: dict) -> Version:
+        """Commit a new version with the same data and updated ``meta`` (nothing new to merge)."""
+        prev = self.current(name)
+        v = Version(prev.version + 1, prev.paths, prev.buckets, prev.key, prev.n_buckets, meta)
         self._commit(name, v)
         return v
 
