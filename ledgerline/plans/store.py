@@ -213,5 +213,11 @@ class TableStore:
         return v
 
     def _written_buckets(self, path: str) -> list[int]:
-        """Bucket folders just written (distinct partition values; at most the bucket count)."""
-        return sorted(r[0] for r in self.spark.read.parquet(path).select(BUCKET).distinct().collect())
+        """Bucket folders just written, from the file listing (no Spark job; at most the bucket
+        count of distinct values)."""
+        found = set()
+        for f in self.spark.read.parquet(path).inputFiles():
+            for part in f.split("/"):
+                if part.startswith(f"{BUCKET}="):
+                    found.add(int(part.split("=", 1)[1]))
+        return sorted(found)
