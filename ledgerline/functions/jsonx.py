@@ -35,6 +35,7 @@ _ISO_PREFIX_RE = r"^\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}:\\d{2}"
 _ISO_FRACTION_RE = r"^\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}:\\d{2}\\.\\d{1,6}Z\\z"
 _ISO_SECONDS_RE = r"^\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}:\\d{2}Z\\z"
 _HAS_FRACTION_RE = r"\\.\\d"
+_INT_RE = r"^[+-]?[0-9]+\\z"
 
 
 def _ident(col: str) -> str:
@@ -106,6 +107,9 @@ def safe_cast_sql(s: str, dtype: T.DataType) -> str:
         return s
     if isinstance(dtype, T.BooleanType):
         return f"(CASE WHEN lower({s}) IN ('true', 'false') THEN lower({s}) = 'true' END)"
+    if isinstance(dtype, T.LongType):
+        # integer text only: an optional sign and digits (Spark would also trim blanks)
+        return f"(CASE WHEN {s} RLIKE '{_INT_RE}' THEN try_cast({s} AS BIGINT) END)"
     return f"try_cast({s} AS {dtype.simpleString()})"
 
 

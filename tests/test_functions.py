@@ -54,6 +54,8 @@ def test_json_path_quotes_keys():
     [
         ('"1.0"', "INT", None),  # no fractional text for INT64
         ("7", "INT", 7),
+        ('"+7"', "INT", 7),
+        ('" 7"', "INT", None),  # no blanks around integer text
         ('"yes"', "BOOL", None),  # Spark would accept yes/1/t; the warehouse only true/false
         ('"1"', "BOOL", None),
         ('"TRUE"', "BOOL", True),
