@@ -115,8 +115,12 @@ def build_mart(
     rpt = report(mart)
     rpt.createOrReplaceTempView(REPORT_VIEW)
 
+    # source freshness of the stores landing (warn after 12 h, error after 24 h, measured at run_ts)
+    fresh = C.check_freshness(read_landing(spark, landing_paths["stores"]), "inserted_at", run_ts)
     checks = C.run_checks(
         [
+            C.Check("landing_stores.freshness.warn", fresh.filter("status = 'warn'"), "warn"),
+            C.Check("landing_stores.freshness.error", fresh.filter("status = 'error'")),
             C.Check("stg_transactions.id.not_null", C.check_not_null(store.read(STG["transactions"]), "id"), "warn"),
             C.Check("stg_transactions.op.accepted", C.check_accepted(store.read(STG["transactions"]), "op", list("cudr"))),
             C.Check("phones.user_phone.not_null", C.check_not_null(phones, "user_phone")),

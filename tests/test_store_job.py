@@ -59,7 +59,10 @@ def test_job_incremental_run(spark, tmp_path):
     run1 = dt.datetime(2026, 7, 16, 1, 0, tzinfo=UTC)
     res1 = build_mart(spark, paths, wh, dt.date(2026, 7, 20), run1, buckets=8)
     assert {r["transid"] for r in res1.report.collect()} == {"TXN0001", "TXN0002", "TXN0003"}
-    assert {r["check"]: r["status"] for r in res1.checks.collect()}["mart.transid.unique"] == "pass"
+    report1 = {r["check"]: r["status"] for r in res1.checks.collect()}
+    assert report1["mart.transid.unique"] == "pass"
+    assert report1["landing_stores.freshness.error"] == "pass"  # landed 23 h before run 1
+    assert report1["landing_stores.freshness.warn"] == "warn"
 
     # day 2: TXN0004 becomes paid, TXN0002 moves to STORE002 (salesman Tran Thi B)
     docs = [json.loads(d) for d in seed.txn_docs()]
