@@ -2,11 +2,12 @@
 
 The reference walks ``direct_manager`` with a recursive CTE capped at six levels. Here the walk is
 unrolled into a *linear* chain of left joins that widens one row per user (``m1..m6`` manager ids
-plus each manager's phone and name). Compared with a union of per-level frontiers this reads the
-user table once per level with an identical, re-used exchange, never recomputes earlier levels,
-and needs no aggregation to rebuild the ordered manager arrays. Each step is an equi-join on the
-manager id: AQE broadcasts the user lookup when its measured size is small and otherwise splits the
-skewed partitions of a manager with very many reports.
+plus each manager's phone and name). Compared with a union of per-level frontiers this never
+recomputes earlier levels and needs no aggregation to rebuild the ordered manager arrays. Each step
+joins the frontier with a narrow projection of the user table (id, next manager, phone, name) on
+the manager id: it is broadcast when Spark measures it small (the plan then has six broadcasts and
+no shuffle of the frontier), otherwise each level is a shuffle join whose skewed partitions (a
+manager with very many reports) AQE splits.
 
 Semantics kept from the reference: the climb starts from ACTIVE users with a manager and continues
 through a manager only when that manager is ACTIVE and has a manager; an inactive manager is still
