@@ -74,11 +74,12 @@ def read_landing(spark: SparkSession, path: str, since: dt.datetime | None = Non
     """Scan a landing table (O-01), optionally only rows landed strictly after ``since``.
 
     ``since`` is a literal (collected once by the caller), so the predicate reaches the Parquet
-    scan as a pushed filter and the partition filter prunes landing days.
+    scan as a pushed filter and the partition filter prunes landing days. The day bound keeps one
+    day of slack, so a writer whose session time zone differed from this reader's cannot make the
+    pruning drop rows; the exact ``inserted_at`` predicate still decides.
     """
     df = spark.read.parquet(path)
     if since is not None:
-        df = df.filter(
-            (F.col(PARTITION_COL) >= F.lit(since.date())) & (F.col("inserted_at") > F.lit(since))
-        )
+        first_day = F.date_sub(F.to_date(F.lit(since)), 1)
+        df = df.filter((F.col(PARTITION_COL) >= first_day) & (F.col("inserted_at") > F.lit(since)))
     return df.select(*ENVELOPE)
