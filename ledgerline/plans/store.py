@@ -22,6 +22,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from ..operators.upsert import assert_unique_source, upsert
@@ -47,6 +48,8 @@ class Version:
     key: list[str] = field(default_factory=list)
     n_buckets: int = 0
     meta: dict = field(default_factory=dict)  # free-form lineage notes (e.g. inputs consumed)
+    partition_by: list[str] = field(default_factory=list)
+    schema: str = ""  # JSON schema, kept for value-partitioned tables (no partition type inference)
 
 
 def _keys(key) -> list[str]:
@@ -84,7 +87,8 @@ class TableStore:
             return None
         d = json.loads(row["value"])
         v = Version(
-            d["version"], d["paths"], d.get("buckets", {}), d.get("key", []), d.get("n_buckets", 0), d.get("meta", {})
+            d["version"], d["paths"], d.get("buckets", {}), d.get("key", []), d.get("n_buckets", 0), d.get("meta", {}),
+            d.get("partition_by", []), d.get("schema", ""),
         )
         self._known[name] = v
         return v
@@ -95,7 +99,7 @@ class TableStore:
     def _commit(self, name: str, v: Version) -> None:
         line = json.dumps(
             {"version": v.version, "paths": v.paths, "buckets": v.buckets, "key": v.key, "n_buckets": v.n_buckets,
-             "meta": v.meta}
+             "meta": v.meta, "partition_by": v.partition_by, "schema": v.schema}
         )
         self.spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("errorifexists").text(
             f"{self._log_dir(name)}/v={v.version:08d}"
@@ -117,9 +121,26 @@ class TableStore:
             if skip_paths:
                 return None
             raise FileNotFoundError(f"table {name} is empty")
-        df = self.spark.read.parquet(*paths)
+        df = self._read_paths(paths, v)
         return df.drop(BUCKET) if BUCKET in df.columns else df
 
+    def _read_paths(self, paths: list[str], v: Version) -> DataFrame:
+        """Bucket folders of value-partitioned tables hold partition sub-folders: read them per
+        version folder (``basePath``) so the partition columns are discovered, then union."""
+        if not (v.partition_by and v.n_buckets):
+            return self.spark.read.parquet(*paths)
+        by_version: dict[str, list[str]] = {}
+        for p in paths:
+            by_version.setdefault(p.rsplit(f"/{BUCKET}=", 1)[0], []).append(p)
+        reader = self.spark.read
+        if v.schema:
+            reader = reader.schema(T.StructType.fromJson(json.loads(v.schema)))
+        parts = [reader.option("basePath", base).parquet(*ps) for base, ps in sorted(by_version.items())]
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
     def max_value(self, name: str, col: str, default):
         """``COALESCE(MAX(col), default)`` of a stored table (a one-row aggregate)."""
         if not self.exists(name):
@@ -149,11 +170,14 @@ class TableStore:
         path = self._data_dir(name, n)
         keys = _keys(key) if key else []
         self._write(df, path, layout, keys)
+        schema = self._stored_schema(df, layout, keys)
         if layout.buckets:
             buckets = {str(b): f"{path}/{BUCKET}={b}" for b in self._written_buckets(path)}
-            v = Version(n, sorted(buckets.values()), buckets, keys, layout.buckets, meta or {})
+            v = Version(
+                n, sorted(buckets.values()), buckets, keys, layout.buckets, meta or {}, list(layout.partition_by), schema
+            )
         else:
-            v = Version(n, [path], meta=meta or {})
+            v = Version(n, [path], meta=meta or {}, partition_by=list(layout.partition_by), schema=schema)
         self._commit(name, v)
         return v
 
@@ -188,30 +212,43 @@ class TableStore:
         src = source.withColumn(BUCKET, bucket_of(keys, prev.n_buckets))
         touched = sorted(r[0] for r in src.select(BUCKET).distinct().collect())
         old_paths = [prev.buckets[str(b)] for b in touched if str(b) in prev.buckets]
-        target_cols = [c for c in self.spark.read.parquet(prev.paths[0]).columns if c != BUCKET]
+        target_cols = [c for c in self._read_paths(prev.paths[:1], prev).columns if c != BUCKET]
         if old_paths:
-            old = self.spark.read.parquet(*old_paths)
+            old = self._read_paths(old_paths, prev)
             old = old.drop(BUCKET) if BUCKET in old.columns else old
             merged = upsert(old, src.drop(BUCKET).select(*target_cols), keys)
         else:
             merged = src.drop(BUCKET).select(*target_cols)
         n = prev.version + 1
         path = self._data_dir(name, n)
-        self._write(merged, path, Layout(prev.n_buckets, lay.cluster_by, lay.partition_by), keys)
+        part_by = lay.partition_by or prev.partition_by
+        self._write(merged, path, Layout(prev.n_buckets, lay.cluster_by, part_by), keys)
         buckets = dict(prev.buckets)
         for b in touched:  # every touched bucket holds at least its source rows
             buckets[str(b)] = f"{path}/{BUCKET}={b}"
-        v = Version(n, sorted(buckets.values()), buckets, keys, prev.n_buckets, meta or {})
+        v = Version(n, sorted(buckets.values()), buckets, keys, prev.n_buckets, meta or {}, list(part_by), prev.schema)
         self._commit(name, v)
         return v
 
     def touch(self, name: str, meta: dict) -> Version:
         """Commit a new version with the same data and updated ``meta`` (nothing new to merge)."""
         prev = self.current(name)
-        v = Version(prev.version + 1, prev.paths, prev.buckets, prev.key, prev.n_buckets, meta)
+        v = Version(
+            prev.version + 1, prev.paths, prev.buckets, prev.key, prev.n_buckets, meta, prev.partition_by, prev.schema
+        )
         self._commit(name, v)
         return v
 
+    @staticmethod
+    def _stored_schema(df: DataFrame, layout: Layout, keys) -> str:
+        """Schema to read a value-partitioned table back with (columns plus the bucket column)."""
+        if not layout.partition_by:
+            return ""
+        fields = list(df.schema.fields)
+        if layout.buckets:
+            fields.append(T.StructField(BUCKET, T.IntegerType(), True))
+        return T.StructType(fields).json()
+
     def _written_buckets(self, path: str) -> list[int]:
         """Bucket folders just written, from the file listing (no Spark job; at most the bucket
         count of distinct values)."""

@@ -95,3 +95,22 @@ def test_job_incremental_run(spark, tmp_path):
     assert c == a
     st = TableStore(spark, wh)
     assert st.read(PHONES).count() == 3 and st.read(MART).count() == 4
+
+
+def test_store_layout_partition_and_cluster(spark, tmp_path):
+    st = TableStore(spark, str(tmp_path / "wh"))
+    df = spark.range(200).select((F.col("id") % 3).cast("string").alias("p"), F.col("id").alias("k"))
+    v = st.overwrite("t", df, Layout(buckets=4, cluster_by=("k",), partition_by=("p",)), key="k")
+    assert all("/_bucket=" in path for path in v.paths)
+    back = st.read("t")
+    assert sorted((r["p"], r["k"]) for r in back.collect()) == sorted((r["p"], r["k"]) for r in df.collect())
+    st.upsert("t", spark.createDataFrame([("9", 5)], "p string, k long"), "k")
+    assert {r["p"] for r in st.read("t").filter("k = 5").collect()} == {"9"}
+
+
+def test_shred_drop_columns(spark):
+    from ledgerline.operators.staging import shred
+    from ledgerline.sources.specs import USERS
+
+    st = shred(seed.landing(spark, seed.user_docs()), USERS, dt.datetime(2026, 7, 20, tzinfo=UTC), drop_columns=("password",))
+    assert "password" not in st.columns and len(st.columns) == 89 + 4
