@@ -206,11 +206,21 @@ class TableStore:
             return self.overwrite(name, source, layout or Layout(buckets=64), keys, meta)
         if not prev.n_buckets:
             raise ValueError(f"{name} is not bucketed on a key; use overwrite")
-        if check_unique:
-            assert_unique_source(source, keys)
         lay = layout or Layout(buckets=prev.n_buckets)
         src = source.withColumn(BUCKET, bucket_of(keys, prev.n_buckets))
-        touched = sorted(r[0] for r in src.select(BUCKET).distinct().collect())
+        # one aggregate gives both the touched buckets and the duplicate-key test (rows with a full
+        # key vs distinct keys per bucket); its size is bounded by the bucket count
+        has_key = F.lit(True)
+        for k in keys:
+            has_key = has_key & F.col(k).isNotNull()
+        stats = (
+            src.groupBy(BUCKET)
+            .agg(F.sum(F.when(has_key, 1).otherwise(0)).alias("keyed"), F.countDistinct(*keys).alias("distinct"))
+            .collect()
+        )
+        touched = sorted(r[BUCKET] for r in stats)
+        if check_unique and any(r["keyed"] != r["distinct"] for r in stats):
+            assert_unique_source(source, keys)  # raises with a sample of the duplicated keys
         old_paths = [prev.buckets[str(b)] for b in touched if str(b) in prev.buckets]
         target_cols = [c for c in self._read_paths(prev.paths[:1], prev).columns if c != BUCKET]
         if old_paths:
