@@ -95,7 +95,7 @@ def _user_doc(u: DataFrame) -> Column:
 def users_landing(spark: SparkSession, sf_dir: str, batch: int = 1, cycle: bool = False) -> DataFrame:
     u = user_rows(spark, sf_dir, cycle)
     if batch == 1:
-        return to_landing(u, _user_doc(u), "c", T1_TS, T1_LANDED, "dms.users")
+        return to_landing(u, _user_doc(u), "c", T1_TS, T1_LANDED, "sales.users")
     k = F.col("k")
     changed = u.filter(k % 11 == 4).select(
         "k",
@@ -107,7 +107,7 @@ def users_landing(spark: SparkSession, sf_dir: str, batch: int = 1, cycle: bool
             "direct_manager"
         ),
     )
-    return to_landing(changed, _user_doc(changed), "u", T2_TS, T2_LANDED, "dms.users")
+    return to_landing(changed, _user_doc(changed), "u", T2_TS, T2_LANDED, "sales.users")
 
 
 # ------------------------------------------------------------------------------------ stores
@@ -146,14 +146,14 @@ def stores_landing(spark: SparkSession, sf_dir: str, batch: int = 1) -> DataFram
             F.concat(F.lit("MERCH"), F.col("s_nationkey").cast("string")).alias("merchant_code"),
             salesman_phone(k).alias("sale_phone"),
         )
-        return to_landing(s, _store_doc(s), "c", T1_TS, T1_LANDED, "ecopay.stores")
+        return to_landing(s, _store_doc(s), "c", T1_TS, T1_LANDED, "payments.stores")
     s = s.filter(k % 7 == 3).select(
         "s_suppkey",
         "s_name",
         F.concat(F.lit("MERCH"), (F.col("s_nationkey") + 100).cast("string")).alias("merchant_code"),
         salesman_phone(k + 1).alias("sale_phone"),
     )
-    return to_landing(s, _store_doc(s), "u", T2_TS, T2_LANDED, "ecopay.stores")
+    return to_landing(s, _store_doc(s), "u", T2_TS, T2_LANDED, "payments.stores")
 
 
 # ------------------------------------------------------------------------------ transactions
@@ -220,12 +220,12 @@ def txns_landing(spark: SparkSession, sf_dir: str, batch: int = 1) -> DataFrame:
     k = F.col("k")
     if batch == 1:
         t = t.filter(k % 10 != 9)
-        return to_landing(t, _txn_doc(), "c", T1_TS, T1_LANDED, "ecopay.transactions")
+        return to_landing(t, _txn_doc(), "c", T1_TS, T1_LANDED, "payments.transactions")
     late = t.filter(k % 10 == 9)
     settled = t.filter(k % 5 == 2).withColumn("status", F.lit("success"))
     t2 = late.unionByName(settled)
     op = F.when(k % 10 == 9, "c").otherwise("u")
-    return to_landing(t2, _txn_doc(), op, T2_TS, T2_LANDED, "ecopay.transactions")
+    return to_landing(t2, _txn_doc(), op, T2_TS, T2_LANDED, "payments.transactions")
 
 
 # ------------------------------------------------------------------------------ generic CDC
