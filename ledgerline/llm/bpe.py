@@ -281,36 +281,35 @@ class Encoder:
 
     def _clear(self) -> None:
         self.code: dict[str, int] = {}
-        self.flat = np.empty(1 << 16, dtype=np.int32)
-        self.offset = np.zeros(1 << 14, dtype=np.int64)
+        self.flat = np.empty(0, dtype=np.int32)
+        self.offset = np.zeros(1, dtype=np.int64)
         self.count = 0
 
     def _learn(self, units: list[str]) -> None:
-        plain, parts, spans = [], [], []
-        for u in units:
-            if len(u) > self.long or (self.merges.special and any(t in u for t in self.merges.special)):
-                spans.append(None)
-                continue
+        """Run the transducer over units not yet known and append their ids to the memo."""
+        odd = [u for u in units if len(u) > self.long or (self.merges.special and any(t in u for t in self.merges.special))]
+        known = set(odd)
+        short = [u for u in units if u not in known] if odd else units
+        plain: list[str] = []
+        n_parts = np.empty(len(short), np.int64)
+        for i, u in enumerate(short):
             p = _PRETOKEN.findall(u)
-            spans.append((len(plain), len(plain) + len(p)))
+            n_parts[i] = len(p)
             plain += p
         index = {p: i for i, p in enumerate(dict.fromkeys(plain))}
         parts = self.merges.tokenize_many([p.encode() for p in index])
-        for u, span in zip(units, spans):
-            if span is None:
-                ids = np.fromiter(encode_stream(self.merges, [u]), np.int32)
-            else:
-                got = [parts[index[p]] for p in plain[span[0] : span[1]]]
-                ids = np.concatenate(got) if len(got) != 1 else got[0]
-            at = int(self.offset[self.count])
-            while at + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
-            if self.count + 2 > len(self.offset):
-                self.offset = np.concatenate([self.offset, np.zeros_like(self.offset)])
-            self.flat[at : at + len(ids)] = ids
-            self.code[u] = self.count
-            self.count += 1
-            self.offset[self.count] = at + len(ids)
+        flat = [parts[index[p]] for p in plain]
+        size = np.fromiter(map(len, flat), np.int64, len(flat))
+        size = np.diff(np.concatenate(([0], np.cumsum(size)))[np.concatenate(([0], np.cumsum(n_parts)))])
+        for u in odd:
+            ids = np.fromiter(encode_stream(self.merges, [u]), np.int32)
+            flat.append(ids)
+            size = np.append(size, len(ids))
+        start = self.offset[self.count]
+        self.flat = np.concatenate([self.flat[:start], *flat], dtype=np.int32, casting="same_kind")
+        self.offset = np.concatenate([self.offset[: self.count + 1], start + np.cumsum(size)])
+        self.code.update(zip(short + odd, range(self.count, self.count + len(units))))
+        self.count += len(units)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, ids per text) of some texts; pass groups of bounded size."""

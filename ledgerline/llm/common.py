@@ -73,3 +73,16 @@ def components(edges: DataFrame, name: str = "components", max_rounds: int = 60)
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = e.select("b").distinct()
     return e.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots.select("b", "b"))
+
+
+def packed(docs: DataFrame, text_col: str) -> DataFrame:
+    """(row, text): every column but the text in one struct, so that no name can clash with those of
+    an operator. ``unpacked`` undoes it."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    return docs.select((F.struct(*others) if others else F.lit(0)).alias("row"), F.col(f"`{text_col}`").alias("text"))
+
+
+def unpacked(df: DataFrame, columns: list[str], text_col: str, text: Column | str = "text") -> DataFrame:
+    """The columns of the table that ``packed`` took, with ``text`` as its text."""
+    text = F.col(text) if isinstance(text, str) else text
+    return df.select(*[text.alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in columns])
