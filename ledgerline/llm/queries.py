@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, decontaminate, lengths, records, toxicity
+from ledgerline.llm import bpe, decontaminate, lengths, neardup, records, toxicity
 from ledgerline.llm.common import table
 from ledgerline.session import scratch_path
 
@@ -70,3 +70,9 @@ def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op7_hamming_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle_words=4, percent=80)
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
