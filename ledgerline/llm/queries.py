@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, decontaminate, lengths, neardup, records, toxicity
+from ledgerline.llm import bpe, decontaminate, lengths, neardup, records, substrings, toxicity
 from ledgerline.llm.common import table
 from ledgerline.session import scratch_path
 
@@ -76,3 +76,15 @@ def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_hamming_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = neardup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle_words=4, percent=80)
     return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+
+
+@query
+def op6_interval_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=100)
+    return out.select(
+        "row.doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.expr("size(spans) div 2").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
