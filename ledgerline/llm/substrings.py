@@ -34,7 +34,7 @@ from ledgerline.llm.common import LAST, packed, runs, stored
 
 GRAM = 32
 SLICE = 1 << 20  # bytes of text that one vector step handles
-BLOCK = 1 << 21  # bytes of one suffix array
+BLOCK = 1 << 18  # bytes of one suffix array: its columns then stay in the cache
 SAMPLE, FREQUENT = 4000, 12  # documents sampled, and occurrences there that make a fingerprint frequent
 GROUP, CELL = 4096, 256  # different runs of a group from which it is dealt by window; windows aimed at per cell
 _END = 255  # never a byte of UTF-8
@@ -123,6 +123,8 @@ def _later(key, ctx, o, rid, start):
     """(order, later, first of its key and text) with rows sorted by all columns: a row is later if an
     equal run starts earlier, that is, in a smaller document or earlier in the same row."""
     order = np.lexsort((start, rid, o, ctx, key))
+    if not len(order):
+        return order, np.zeros(0, bool)
     k, c, o, r = key[order], ctx[order], o[order], rid[order]
     new = np.concatenate(([True], (k[1:] != k[:-1]) | (c[1:] != c[:-1])))
     lowest = o[new][np.cumsum(new) - 1]
@@ -287,7 +289,7 @@ def bounded_suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     key = np.zeros(n, dtype=np.uint64)
     for k in range(8):
         key[: n - k] |= text[k:].astype(np.uint64) << _U(56 - 8 * k)
-    order = np.argsort(key, kind="stable")
+    order = np.argsort(key)
     have = 8
     while True:
         k = key[order]
@@ -301,7 +303,7 @@ def bounded_suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
         tied = np.concatenate(([False], k[1:] == k[:-1]))
         tied[:-1] |= tied[1:]
         at = np.flatnonzero(tied)
-        order[at] = order[at][np.argsort(key[order[at]], kind="stable")]
+        order[at] = order[at][np.argsort(key[order[at]])]
         have *= 2
 
 
