@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, decontaminate, lengths, neardup, records, substrings, toxicity
+from ledgerline.llm import bpe, decontaminate, lengths, licences, multiindex, neardup, records, sharding, substrings, toxicity
 from ledgerline.llm.common import table
 from ledgerline.session import scratch_path
 
@@ -88,3 +88,41 @@ def op6_interval_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr("size(spans) div 2").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+@query
+def op1_multi_index_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = multiindex.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+SHARD_BYTES = 1 << 20
+
+
+@query
+def op3_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents"), SHARD_BYTES).select(F.col("id").alias("doc_id"), "n_bytes", "shard", "depth", "shard_bytes")
+
+
+ORACLE_SQL["op3_extendible_shards"] = f"""
+WITH places AS (
+  SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes,
+         lpad(bin(CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 15) AS BIGINT)), 60, '0') AS bits
+  FROM documents),
+levels AS (
+  SELECT d.depth, substr(bits, 1, d.depth) AS shard, CAST(sum(n_bytes) AS BIGINT) AS shard_bytes, count(*) AS n
+  FROM places, (SELECT CAST(range AS INTEGER) AS depth FROM range(0, 61)) AS d GROUP BY ALL),
+fitting AS (SELECT * FROM levels WHERE shard_bytes <= {SHARD_BYTES} OR n <= 1),
+choice AS (
+  SELECT doc_id, n_bytes, f.shard, f.depth, f.shard_bytes,
+         row_number() OVER (PARTITION BY doc_id ORDER BY f.depth) AS k
+  FROM places JOIN fitting AS f ON substr(bits, 1, f.depth) = f.shard)
+SELECT doc_id, n_bytes, shard, depth, shard_bytes FROM choice WHERE k = 1
+"""
+
+
+@query
+def op5_licence_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    family = F.array_sort(F.array_distinct(F.col("licences.family")))
+    return out.select("row.doc_id", F.size("licences").cast("long").alias("n_paragraphs"), F.array_join(family, ",").alias("families"), F.round(F.array_min("licences.prob"), 3).alias("lowest_prob"), F.round(F.array_min("licences.alike"), 3).alias("lowest_alike"))
