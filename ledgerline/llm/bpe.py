@@ -356,8 +356,8 @@ def encoder(spec: str) -> Encoder:
     return _ENCODERS[key]
 
 
-def encode_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ids array<int>, decoded string) for every row.
+def encode_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", keep_text: bool = False) -> DataFrame:
+    """(id, ids array<int>, decoded string) for every row, and its ``text`` if ``keep_text``.
 
     ``tokenizer``: path of a tokenizer JSON file, read once on the driver and sent to the tasks (a
     vocabulary, so of fixed size). A null text counts as empty: no ids, decoded to the empty text.
@@ -380,6 +380,9 @@ def encode_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_
                     texts.append(d.feed(ids[at : at + k].tolist()) + d.finish())
                     at += k
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))).astype(np.int32)), pa.array(ids))
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], b.schema.field("id").type), lists, pa.array(texts, pa.string())], names=[id_col, "ids", "decoded"])
+                cols = [pa.array([r[0] for r in rows], b.schema.field("id").type), lists, pa.array(texts, pa.string())]
+                if keep_text:
+                    cols.append(pa.array([r[1] for r in rows], pa.string()))
+                yield pa.RecordBatch.from_arrays(cols, names=[id_col, "ids", "decoded", "text"][: len(cols)])
 
-    return src.mapInArrow(run, f"`{id_col}` {kind}, ids array<int>, decoded string")
+    return src.mapInArrow(run, f"`{id_col}` {kind}, ids array<int>, decoded string" + ", text string" * keep_text)

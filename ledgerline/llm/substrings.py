@@ -436,10 +436,11 @@ def spans_to_remove(docs: DataFrame, length: int) -> DataFrame:
     return marks.groupBy("rid").agg(F.collect_list(F.struct("start", "windows")).alias("spans"))
 
 
-def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", text_col: str = "text", as_text: bool = False) -> DataFrame:
     """(row, kept, n_bytes, spans): see ``packed`` for ``row``; ``kept`` is the text's UTF-8 bytes without
     every byte that a string of ``length`` bytes covers which also starts earlier; ``spans`` are the
-    maximal removed ranges (begin, end, begin, ...).
+    maximal removed ranges (begin, end, begin, ...). With ``as_text``, ``kept`` is a string: a character
+    that loses a byte goes whole.
 
     Strings are judged on the input, not on what is left, and never reach across documents. A null
     text is empty. Order is by id, null ids last; rows that share an id are not earlier than each
@@ -471,7 +472,8 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
                 kept.append(b"".join(raw[a:z] for a, z in zip(edges[::2], edges[1::2])))
                 size.append(len(raw))
                 cut.append(merged)
-            yield pa.RecordBatch.from_arrays([b["row"], pa.array(kept, pa.binary()), pa.array(size, pa.int64()), pa.array(cut, pa.list_(pa.int64()))], names=["row", "kept", "n_bytes", "spans"])
+            out = pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
+            yield pa.RecordBatch.from_arrays([b["row"], out, pa.array(size, pa.int64()), pa.array(cut, pa.list_(pa.int64()))], names=["row", "kept", "n_bytes", "spans"])
 
-    kinds = [T.StructField("row", src.schema["row"].dataType), T.StructField("kept", T.BinaryType()), T.StructField("n_bytes", T.LongType()), T.StructField("spans", T.ArrayType(T.LongType()))]
+    kinds = [T.StructField("row", src.schema["row"].dataType), T.StructField("kept", T.StringType() if as_text else T.BinaryType()), T.StructField("n_bytes", T.LongType()), T.StructField("spans", T.ArrayType(T.LongType()))]
     return both.mapInArrow(run, T.StructType(kinds))
