@@ -411,7 +411,7 @@ def _compared(fetched: DataFrame, length: int) -> DataFrame:
         r, s = r[by], s[by]
         new = np.concatenate(([True], (r[1:] != r[:-1]) | (s[1:] > s[:-1] + 1))) if len(r) else np.empty(0, bool)
         first = np.flatnonzero(new)
-        last = np.append(first[1:], len(r)) - 1
+        last = (np.append(first[1:], len(r)) - 1)[: len(first)]
         return pa.RecordBatch.from_arrays([pa.array(r[first]), pa.array(s[first]), pa.array((s[last] - s[first] + 1).astype(np.int32))], names=["rid", "start", "windows"])
 
     return dealt.mapInArrow(run, "rid long, start long, windows int")
