@@ -8,15 +8,18 @@ of a text are the ids of its units in order. Each unit goes through the library
 from __future__ import annotations
 
 import itertools
-import json
 import os
 import re
 
 import numpy as np
 
+from ledgerline.llm.bpe import byte_letters
+
 _UNIT = re.compile(r"\s*\S+|\s+")
 _ODD = re.compile("[\x1c-\x1f]")  # white space to ``re`` but not to the library's patterns
-_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch  # no normal form or splitter divides such a word
+# Letters that no normal form or splitter divides, and signs after them, which split off as one piece.
+_PLAIN = re.compile('([A-Za-zÀ-ÖØ-öø-ÿ]+)([,.;:!?)"]*)').fullmatch
+_LETTER_OF = byte_letters()  # byte -> its letter in byte-level vocabularies
 
 
 class _Codes(dict):
@@ -34,7 +37,7 @@ class _Codes(dict):
 class UnitEncoder:
     """ids of texts by the library's tokenizer; ``memo`` bounds the remembered units."""
 
-    def __init__(self, spec: str, memo: int = 600_000):
+    def __init__(self, spec: str, memo: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
@@ -43,10 +46,13 @@ class UnitEncoder:
         self.tok.no_padding()
         # a vocabulary that drops white space: a word and the same word after a space have equal ids
         self.bare = not self._ids([" ", "\n "])[0].size
-        suffix = json.loads(spec)["model"].get("end_of_word_suffix")
-        self.word_end = np.zeros(self.tok.get_vocab_size(with_added_tokens=True) + 1, dtype=bool)
-        if suffix:
-            self.word_end[[i for t, i in self.tok.get_vocab().items() if t.endswith(suffix)]] = True
+        # a vocabulary of lower case: ASCII text may be lowered first, unless a special text would arise
+        self.folds = np.array_equal(self._ids(["ABCDEFGHIJKLM", "NOPQRSTUVWXYZ"])[0], self._ids(["abcdefghijklm", "nopqrstuvwxyz"])[0])
+        self.special = [x.content.lower() for x in self.tok.get_added_tokens_decoder().values()]
+        self.signs: dict[str, list[int]] = {"": []}
+        # whether the library's model alone, without normal form and splitter, does for plain words
+        trial = ["word", "Straße,", "NAÏVE", "ÿ", "señor.)", "a" * 40]
+        self.direct = self.bare and [self._plain(*_PLAIN(u).groups()) for u in trial] == [self._ids([u])[0].tolist() for u in trial]
         self._clear()
 
     def _clear(self) -> None:
@@ -58,33 +64,29 @@ class UnitEncoder:
         size = np.fromiter(map(len, got), np.int64, len(got))
         return np.fromiter(itertools.chain.from_iterable(got), np.int32, int(size.sum())), size
 
-    def _words(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Units of plain letters in one call; each ends with the one token that ends a word."""
-        ids = np.array(self.tok.encode_batch_fast([" ".join(units)], add_special_tokens=False)[0].ids, dtype=np.int32)
-        ends = np.flatnonzero(self.word_end[ids]) + 1
-        if len(ends) != len(units) or ends[-1] != len(ids):
-            return self._ids(units)
-        return ids, np.diff(ends, prepend=0)
+    def _plain(self, word: str, signs: str) -> list[int]:
+        if signs not in self.signs:
+            self.signs[signs] = self._ids([signs])[0].tolist()
+        word = word.lower()
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(_LETTER_OF)
+        return [t.id for t in self.tok.model.tokenize(word)] + self.signs[signs]
 
     def _learn(self) -> None:
         new, self.code.new = self.code.new, []
-        plain = np.array([self.bare and _LETTERS(u) is not None for u in new], dtype=bool)
-        flats, order, sizes = [self.flat], [], []
-        for pick, encode in ((plain & self.word_end.any(), self._words), (~(plain & self.word_end.any()), self._ids)):
-            where = np.flatnonzero(pick)
-            for at in range(0, len(where), 4096):
-                ids, size = encode([new[i] for i in where[at : at + 4096]])
-                flats.append(ids)
-                sizes.append(size)
-            order.append(where)
-        where, size = np.concatenate(order), np.concatenate(sizes)
-        ends = len(self.flat) + np.cumsum(size)
-        begin = np.empty(len(new), np.int64)
-        count = np.empty(len(new), np.int64)
-        begin[where], count[where] = ends - size, size
-        self.flat = np.concatenate(flats)
-        self.begin = np.concatenate([self.begin, begin]) if len(self.code) > len(new) else begin
-        self.count = np.concatenate([self.count, count]) if len(self.code) > len(new) else count
+        got: list[list[int] | None] = [None] * len(new)
+        if self.direct:
+            got = [self._plain(*m.groups()) if (m := _PLAIN(u)) else None for u in new]
+        rest = [i for i, g in enumerate(got) if g is None]
+        for at in range(0, len(rest), 8192):
+            part = rest[at : at + 8192]
+            for i, e in zip(part, self.tok.encode_batch_fast([new[i] for i in part], add_special_tokens=False)):
+                got[i] = e.ids
+        count = np.fromiter(map(len, got), np.int64, len(got))
+        ids = np.fromiter(itertools.chain.from_iterable(got), np.int32, int(count.sum()))
+        begin = len(self.flat) + np.cumsum(count) - count
+        self.flat = np.concatenate([self.flat, ids])
+        self.begin, self.count = np.concatenate([self.begin, begin]), np.concatenate([self.count, count])
 
     def _look_up(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(number of each unit, where each text's units end)."""
@@ -93,6 +95,9 @@ class UnitEncoder:
         units: list[str] = []
         n_units = [0]
         for t in texts:
+            if self.folds and t.isascii():
+                low = t.lower()
+                t = t if any(x in low for x in self.special) else low
             got = [t] if _ODD.search(t) else t.split() if self.bare else _UNIT.findall(t)
             units += got
             n_units.append(len(got))
