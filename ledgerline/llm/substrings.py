@@ -14,7 +14,7 @@ or earlier in the same one). Three steps, each a Spark shuffle of what the one b
    many bytes in common, and of each such class all but the earliest window are marked.
 3. *Removal.* The marks of a document are merged and cut out.
 
-Frequent fingerprints are found in a small sample and dealt window by window, large groups are dealt
+Fingerprints of very many different runs are found in a small sample and dealt window by window, large groups are dealt
 by the windows' own hashes, and equal runs of a task are collapsed before the shuffle; these measures
 only decide where rows go, never what is compared.
 """
@@ -35,7 +35,7 @@ from ledgerline.llm.common import LAST, packed, runs, stored
 GRAM = 32
 SLICE = 1 << 20  # bytes of text that one vector step handles
 BLOCK = 1 << 18  # bytes of one suffix array: its columns then stay in the cache
-SAMPLE, FREQUENT = 4000, 12  # documents sampled, and occurrences there that make a fingerprint frequent
+SAMPLE, FREQUENT = 4000, 12  # documents sampled, and different runs there that make a fingerprint frequent
 GROUP, CELL = 4096, 256  # different runs of a group from which it is dealt by window; windows aimed at per cell
 _END = 255  # never a byte of UTF-8
 
@@ -55,7 +55,7 @@ _LETTER = _mix(np.arange(1, 257, dtype=np.uint64) * _BASE) | _U(1)
 
 def _hashes(raw: np.ndarray, size: int) -> np.ndarray:
     """Polynomial hashes of all strings of ``size`` bytes, by doubling."""
-    out, have, power = _LETTER[raw], 1, np.array(_BASE)  # an array: its products wrap without a warning
+    out, have, power = _LETTER[raw], 1, np.array([_BASE])  # an array: its products wrap without a warning
     whole, covered = None, 0
     while True:
         if size & have:  # append this power of two to what is covered
@@ -161,7 +161,7 @@ def _fingerprints(docs: DataFrame, length: int, frequent) -> DataFrame:
                         w = np.repeat(who[busy], n)
                         at = np.repeat(start[busy] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
                         own = _window_hashes(raw, begin[w] + at, length)
-                        key = np.concatenate([key[~busy], _mix(np.repeat(key[busy], n) * _BASE + (own >> _U(48)))])
+                        key = np.concatenate([key[~busy], _mix(np.repeat(key[busy], n) * _BASE + (own >> _U(40)))])
                         who, start, ctx = (np.concatenate([x[~busy], y]) for x, y in ((who, w), (start, at), (ctx, own)))
                         windows = np.concatenate([windows[~busy], np.ones(len(w), np.int64)])
                 rows = np.array([x[0] for x in group], dtype=np.int64)
@@ -287,7 +287,7 @@ def bounded_suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes ordered by their first ``depth`` bytes at least (ties in any order), by doubling."""
     n = len(text)
     key = np.zeros(n, dtype=np.uint64)
-    for k in range(8):
+    for k in range(min(8, n)):
         key[: n - k] |= text[k:].astype(np.uint64) << _U(56 - 8 * k)
     order = np.argsort(key)
     have = 8
@@ -418,10 +418,11 @@ def _compared(fetched: DataFrame, length: int) -> DataFrame:
 
 
 def _frequent(docs: DataFrame, length: int, n_docs: int) -> set[int]:
-    """Fingerprints that many documents of a small sample have (bounded by the sample)."""
+    """Fingerprints that many different runs of a small sample have (bounded by the sample); equal runs need
+    no such care, they collapse where they are read."""
     m = max(1, n_docs // SAMPLE)
     sample = docs.where(F.pmod(F.xxhash64("rid"), F.lit(m)) == 0)
-    seen = _fingerprints(sample, length, None).where("windows > 0").groupBy("key").agg(F.approx_count_distinct("rid").alias("n"))
+    seen = _fingerprints(sample, length, None).where("windows > 0").groupBy("key").agg(F.countDistinct("ctx").alias("n"))
     return {r.key % (1 << 64) for r in seen.where(F.col("n") >= FREQUENT).orderBy(F.desc("n")).limit(SAMPLE).select("key").collect()}
 
 
@@ -453,7 +454,8 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     repeated = not ids.groupBy("o").count().where("count > 1").isEmpty()
     rid = F.xxhash64("o", "text") if repeated else F.col("o")  # a row's name: its id, where ids are unique
     with_id = with_id.withColumn("rid", rid)
-    spans = spans_to_remove(with_id.select("o", "rid", "text"), length)
+    once = with_id.select("o", "rid", "text")
+    spans = spans_to_remove(once.dropDuplicates(["rid"]) if repeated else once, length)
     both = _zipped(with_id.select("row", "rid", "text")).join(spans, "rid", "left").select("row", "text", "spans")
 
     def run(batches):
