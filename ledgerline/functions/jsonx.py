@@ -110,6 +110,9 @@ def safe_cast_sql(s: str, dtype: T.DataType) -> str:
     if isinstance(dtype, T.LongType):
         # integer text only: an optional sign and digits (Spark would also trim blanks)
         return f"(CASE WHEN {s} RLIKE '{_INT_RE}' THEN try_cast({s} AS BIGINT) END)"
+    if isinstance(dtype, T.DoubleType):
+        # Spark also takes a Java suffix ('5d', '5f'); only infinities may end in f
+        return f"(CASE WHEN {s} RLIKE '(?i)[df] *$' AND NOT {s} RLIKE '(?i)inf *$' THEN NULL ELSE try_cast({s} AS DOUBLE) END)"
     return f"try_cast({s} AS {dtype.simpleString()})"
 
 

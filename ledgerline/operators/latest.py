@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .staging import max_value
+
 EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
 
 
@@ -47,11 +49,7 @@ def slice_newer(df: DataFrame, ts_col: str, target: DataFrame | None) -> DataFra
     integer clock compared with ``COALESCE(max, 0)``. The maximum is collected to a literal.
     """
     default = EPOCH if ts_col == "ts_ms" else 0
-    wm = default
-    if target is not None:
-        v = target.agg(F.max(ts_col).alias("m")).first()["m"]
-        wm = default if v is None else v
-    return df.filter(F.col(ts_col) > F.lit(wm))
+    return df.filter(F.col(ts_col) > F.lit(max_value(target, ts_col, default)))
 
 
 def slice_retention(df: DataFrame, ts_col: str, days: int, as_of: dt.datetime) -> DataFrame:

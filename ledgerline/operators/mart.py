@@ -117,12 +117,10 @@ def transaction_detail(txn: DataFrame, stores: DataFrame, phones: DataFrame, as_
 
 def mart_watermarks(mart: DataFrame) -> dict:
     """The mart's three high-water marks in one aggregate (O-18), collected as literals."""
-    r = mart.agg(
-        F.max("dim_users_ts").alias("users"),
-        F.max("dim_stores_ts").alias("stores"),
-        F.max("source_inserted_at").alias("source"),
-    ).first()
-    return {k: (EPOCH if r[k] is None else r[k]) for k in ("users", "stores", "source")}
+    marks = {"users": "dim_users_ts", "stores": "dim_stores_ts", "source": "source_inserted_at"}
+    # microseconds, not local datetimes: exact across a change of the clock
+    r = mart.agg(*[F.unix_micros(F.max(c)).alias(k) for k, c in marks.items()]).first()
+    return {k: EPOCH if r[k] is None else EPOCH + dt.timedelta(microseconds=r[k]) for k in marks}
 
 
 def affected_keys(
@@ -180,22 +178,19 @@ def incremental_detail(
     repair_late_stores: bool = False,
 ) -> DataFrame:
     """Rows to merge into the mart (O-21): base filter AND (transid affected OR (in window AND
-    transaction newer than the mart's source mark)). The membership test is a left join against the
-    distinct affected keys with a flag column, the DataFrame form of ``IN (subquery)`` under ``OR``.
+    transaction newer than the mart's source mark)).
+
+    The ``OR`` is a union of two disjoint branches, so that each gets the scan it can have: the newer
+    rows with their window and stamp pushed into the scan, and the affected ones by a semi join.
     """
     wm = wm or mart_watermarks(mart)
     hits = affected_keys(
         mart, phones, stores, wm, refresh_removed_salesmen, txn if repair_late_stores else None
-    ).withColumn("__hit", F.lit(True))
-    newer = in_window(as_of) & (F.col("inserted_at") > F.lit(wm["source"]))
-    t = (
-        txn.select(*TXN_COLS)
-        .filter(base_filter())
-        .join(hits, "transid", "left")
-        .filter(F.col("__hit").isNotNull() | newer)
-        .drop("__hit")
     )
-    return _detail(t, stores, phones, run_ts)
+    newer = in_window(as_of) & (F.col("inserted_at") > F.lit(wm["source"]))
+    base = txn.select(*TXN_COLS).filter(base_filter())
+    older = base.filter(~F.coalesce(newer, F.lit(False))).join(hits, "transid", "left_semi")
+    return _detail(base.filter(newer).unionByName(older), stores, phones, run_ts)
 
 
 def report(mart: DataFrame, tz: str | None = None) -> DataFrame:

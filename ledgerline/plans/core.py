@@ -23,6 +23,17 @@ ORDER = ("ts_ms",)
 TIE_BREAKERS = ("json_inserted_at",)
 
 
+def tie_breakers(staged: DataFrame) -> list:
+    """Landing time, then a hash of the content: rows equal in both give one answer in any file layout.
+    The load stamp is no part of the content."""
+    cols = [
+        F.col(f.name).cast("string") if f.dataType.typeName() == "variant" else F.col(f.name)
+        for f in staged.schema.fields
+        if f.name != "inserted_at"
+    ]
+    return [*TIE_BREAKERS, F.xxhash64(*cols)]
+
+
 def core_projection(staged: DataFrame, spec: list[Field] | str, run_ts, keep_source_stamp: bool = False) -> DataFrame:
     """Core columns: payload + ``ts_ms`` (+ ``source_inserted_at``) + ``inserted_at = run_ts``."""
     fields = parse_spec(spec) if isinstance(spec, str) else spec
@@ -34,7 +45,7 @@ def core_projection(staged: DataFrame, spec: list[Field] | str, run_ts, keep_sou
 
 
 def core_full(staged: DataFrame, spec, run_ts, keep_source_stamp: bool = False) -> DataFrame:
-    latest = latest_per_key(staged, KEY, ORDER, TIE_BREAKERS)
+    latest = latest_per_key(staged, KEY, ORDER, tie_breakers(staged))
     return core_projection(latest, spec, run_ts, keep_source_stamp)
 
 
@@ -48,7 +59,7 @@ def core_increment(
     as_of: dt.datetime | None = None,
 ) -> DataFrame:
     """Deduplicated slice of staged rows to merge into ``core_prev``."""
-    src = dedup_slice(staged, KEY, TS, ORDER, core_prev, retention_days, as_of, TIE_BREAKERS)
+    src = dedup_slice(staged, KEY, TS, ORDER, core_prev, retention_days, as_of, tie_breakers(staged))
     return core_projection(src, spec, run_ts, keep_source_stamp)
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import checks as C
 from ..operators.hierarchy import user_manager_phones
 from ..operators.mart import incremental_detail, mart_watermarks, report, transaction_detail
-from ..operators.staging import EPOCH, cap_rows, shred
+from ..operators.staging import EPOCH, shred
 from ..session import configure
 from ..sources.landing import read_landing
 from ..sources.specs import STORES, TRANSACTIONS, USERS
@@ -49,7 +49,6 @@ def build_mart(
     as_of: dt.date,
     run_ts: dt.datetime,
     full_refresh: bool = False,
-    max_rows: int | None = None,
     buckets: int | None = None,
     stable_stamps: bool = False,
     own_phone_first: bool = False,
@@ -75,10 +74,12 @@ def build_mart(
 
     def stage_and_core(t: str) -> dict:
         spec, out = TABLES[t], {}
-        # staging: append documents landed after the table's high-water mark
-        wm = store.max_value(STG[t], "json_inserted_at", None)
-        landing = cap_rows(read_landing(spark, landing_paths[t], since=wm), max_rows)
-        out[STG[t]] = store.append(STG[t], shred(landing, spec, run_ts)).version
+        # staging: append documents landed after the table's high-water mark; a full refresh stages
+        # all of landing anew, so a document that landed late with an old stamp is repaired
+        wm = None if full_refresh else store.max_value(STG[t], "json_inserted_at", None)
+        landing = read_landing(spark, landing_paths[t], since=wm)
+        write = store.overwrite if full_refresh else store.append
+        out[STG[t]] = write(STG[t], shred(landing, spec, run_ts)).version
 
         # core: latest row per id; first run / full refresh rebuilds, later runs merge the newer
         # slice. Only staging folders appended since the core's last build are read: every row of

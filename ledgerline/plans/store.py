@@ -17,6 +17,7 @@ daily increment therefore rewrites the slice of the table it hits, not the whole
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from ..operators.staging import max_value
 from ..operators.upsert import assert_unique_source, upsert
 
 BUCKET = "_bucket"
@@ -87,7 +89,7 @@ class TableStore:
             return None
         d = json.loads(row["value"])
         v = Version(
-            d["version"], d["paths"], d.get("buckets", {}), d.get("key", []), d.get("n_buckets", 0), d.get("meta", {}),
+            d["version"], d["paths"] or sorted(d.get("buckets", {}).values()), d.get("buckets", {}), d.get("key", []), d.get("n_buckets", 0), d.get("meta", {}),
             d.get("partition_by", []), d.get("schema", ""),
         )
         self._known[name] = v
@@ -98,7 +100,7 @@ class TableStore:
 
     def _commit(self, name: str, v: Version) -> None:
         line = json.dumps(
-            {"version": v.version, "paths": v.paths, "buckets": v.buckets, "key": v.key, "n_buckets": v.n_buckets,
+            {"version": v.version, "paths": [] if v.buckets else v.paths, "buckets": v.buckets, "key": v.key, "n_buckets": v.n_buckets,
              "meta": v.meta, "partition_by": v.partition_by, "schema": v.schema}
         )
         self.spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("errorifexists").text(
@@ -107,7 +109,8 @@ class TableStore:
         self._known[name] = v
 
     def _data_dir(self, name: str, version: int) -> str:
-        return f"{self.root}/{name}/v={version:08d}"
+        """A folder of this attempt alone: what a crashed run left is never in the way of the next."""
+        return f"{self.root}/{name}/v={version:08d}-{uuid.uuid4().hex[:12]}"
 
     # ---------------------------------------------------------------------------------- read
     def read(self, name: str, skip_paths: int = 0) -> DataFrame | None:
@@ -145,8 +148,7 @@ class TableStore:
         """``COALESCE(MAX(col), default)`` of a stored table (a one-row aggregate)."""
         if not self.exists(name):
             return default
-        v = self.read(name).agg(F.max(col).alias("m")).first()["m"]
-        return default if v is None else v
+        return max_value(self.read(name), col, default)
 
     # --------------------------------------------------------------------------------- write
     def _write(self, df: DataFrame, path: str, layout: Layout, key: Sequence[str] = ()) -> None:
@@ -157,7 +159,8 @@ class TableStore:
             # one shuffle on the bucket so each bucket folder gets few, large files
             df = df.repartition(BUCKET)
         if layout.cluster_by:
-            df = df.sortWithinPartitions(*layout.cluster_by)
+            # the writer needs its rows in order of the folders; a sort without them would be undone
+            df = df.sortWithinPartitions(*parts, *layout.cluster_by)
         w = df.write.mode("errorifexists")
         if parts:
             w = w.partitionBy(*parts)

@@ -207,19 +207,6 @@ def q_hwm_append(spark: SparkSession, sf: str) -> DataFrame:
     return run1.unionByName(run2).select(*CDC_COLS)
 
 
-DEV_ROW_CAP = 5000
-
-
-def q_stage_capped(spark: SparkSession, sf: str) -> DataFrame:
-    """The development row cap (O-07) is the feature under test: the first staging run takes the
-    oldest ``DEV_ROW_CAP`` landed documents of the whole landing table, keeping whole ties."""
-    from .operators.staging import stage_increment
-
-    return stage_increment(_cdc_landing(spark, sf), A.CDC_SPEC, None, CDC_RUN1, max_rows=DEV_ROW_CAP).select(
-        "id", "event_id", "ts_ms", "json_inserted_at"
-    )
-
-
 def _staged_all(spark: SparkSession, sf: str) -> DataFrame:
     run1, run2 = _cdc_runs(spark, sf)
     return run1.unionByName(run2)
@@ -281,12 +268,8 @@ def q_mart_full(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_mart_watermarks(spark: SparkSession, sf: str) -> DataFrame:
     m = Scenario(spark, sf).mart_merged()
-    return m.agg(
-        F.max("dim_users_ts").alias("users_wm"),
-        F.max("dim_stores_ts").alias("stores_wm"),
-        F.max("source_inserted_at").alias("source_wm"),
-        F.count(F.lit(1)).alias("mart_rows"),
-    )
+    wm = mart_watermarks(m)
+    return m.agg(F.count(F.lit(1)).alias("mart_rows")).select(*[F.lit(wm[k]).alias(f"{k}_wm") for k in wm], "mart_rows")
 
 
 def q_affected_keys(spark: SparkSession, sf: str) -> DataFrame:
@@ -381,7 +364,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "iso_or_epoch": q_iso_or_epoch,
     "epoch_days": q_epoch_days,
     "hwm_append": q_hwm_append,
-    "stage_capped": q_stage_capped,
     "latest_per_key": q_latest_per_key,
     "latest_multi_sort": q_latest_multi_sort,
     "slice_newer": q_slice_newer,

@@ -24,12 +24,11 @@ SESSION_CONF = {
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime-settable part of ``SESSION_CONF`` to an existing session."""
+    """Apply ``SESSION_CONF`` to an existing session, but for what the application was started with."""
+    given = {k for k, _ in spark.sparkContext.getConf().getAll()}
     for k, v in SESSION_CONF.items():
-        try:
+        if k not in given:
             spark.conf.set(k, v)
-        except Exception:  # static conf on a shared session: leave as the cluster set it
-            pass
     return spark
 
 
@@ -53,14 +52,16 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts, streaming checkpoints and staged tables.
 
-    On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared file system). Only when
-    the session leaves it unset (local tests) do we create a private temporary folder and register
-    it, so later calls agree.
+    On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared file system). Only a local
+    session that leaves it unset gets a private temporary folder, which is registered, so later calls
+    agree; elsewhere executors would write to disks of their own, so that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)

@@ -145,10 +145,3 @@ def test_read_landing_pushes_watermark_into_scan(spark, tmp_path):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(landing_date" in plan and "PushedFilters: [IsNotNull(inserted_at), GreaterThan(inserted_at" in plan
     assert got.count() == 1
-
-
-def test_cap_rows_keeps_whole_ties(spark):
-    from ledgerline.operators.staging import cap_rows
-
-    df = spark.createDataFrame([(T(2024, 1, 1),), (T(2024, 1, 2),), (T(2024, 1, 2),), (T(2024, 1, 3),)], "inserted_at timestamp")
-    assert cap_rows(df, 2).count() == 3 and cap_rows(df, None).count() == 4

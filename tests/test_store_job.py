@@ -114,3 +114,63 @@ def test_shred_drop_columns(spark):
 
     st = shred(seed.landing(spark, seed.user_docs()), USERS, dt.datetime(2026, 7, 20, tzinfo=UTC), drop_columns=("password",))
     assert "password" not in st.columns and len(st.columns) == 89 + 4
+
+
+def test_a_crashed_attempt_is_not_in_the_way(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    store.append("t", spark.range(3))
+    # a run that wrote its folder and died before the commit
+    store._write(spark.range(7), store._data_dir("t", 2), Layout())
+    fresh = TableStore(spark, str(tmp_path))
+    assert fresh.append("t", spark.range(3, 5)).version == 2
+    assert sorted(r.id for r in TableStore(spark, str(tmp_path)).read("t").collect()) == [0, 1, 2, 3, 4]
+
+
+def test_clustering_survives_the_bucketed_write(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    store = TableStore(spark, str(tmp_path))
+    df = spark.range(4000).selectExpr("id", "pmod(xxhash64(id), 1000) as c")
+    store.overwrite("t", df, Layout(buckets=4, cluster_by=("c",)), key="id")
+    files = glob.glob(f"{tmp_path}/t/v=*/**/*.parquet", recursive=True)
+    assert files
+    for f in files:
+        c = pq.ParquetFile(f).read(columns=["c"])["c"].to_pylist()
+        assert c == sorted(c)
+
+
+def test_watermark_is_exact_where_clocks_are_set_back(spark):
+    import os
+    import time
+
+    from ledgerline.operators.staging import max_value, since_watermark
+
+    df = spark.sql("select timestamp_micros(1793514600000001) as t")  # 2026-11-01T06:30:00.000001Z
+    old = os.environ.get("TZ")
+    os.environ["TZ"] = "America/New_York"
+    time.tzset()
+    try:
+        assert int((max_value(df, "t").timestamp())) == 1793514600
+        assert since_watermark(df, "t", df, "t").count() == 0
+    finally:
+        os.environ.pop("TZ") if old is None else os.environ.update(TZ=old)
+        time.tzset()
+
+
+def test_ties_give_one_answer_in_any_layout(spark):
+    from pyspark.sql import functions as F
+
+    from ledgerline.operators.latest import latest_per_key
+    from ledgerline.plans.core import KEY, ORDER, tie_breakers
+
+    rows = spark.range(2000).selectExpr(
+        "cast(pmod(id, 20) as string) as id", "id as payload", "timestamp_seconds(5) as ts_ms",
+        "timestamp_seconds(9) as json_inserted_at", "current_timestamp() as inserted_at",
+    )
+    seen = {
+        tuple(sorted((r.id, r.payload) for r in latest_per_key(d, KEY, ORDER, tie_breakers(d)).collect()))
+        for d in (rows.repartition(n, F.rand(n)) for n in (1, 3, 7))
+    }
+    assert len(seen) == 1
