@@ -45,7 +45,7 @@ class _Rows:
     """Features of texts, restricted to ``index`` (feature -> number) if given. A feature is a word or
     beginning and a level: it is present if words with it stand in the text that often at least."""
 
-    def __init__(self, index: dict[int, int] | None = None, memo: int = 400_000):
+    def __init__(self, index: dict[int, int] | None = None, memo: int = 100_000):
         self.index, self.memo, self.known = index, memo, {}
         self.bases = None if index is None else {f & 0xFFFFFFFF for f in index}
 
@@ -60,7 +60,7 @@ class _Rows:
                 got = _features(w)
                 if self.bases is not None:
                     got = [x for x in got if x in self.bases]
-                known[w] = got
+                known[w] = got = tuple(got)
             for x in got:
                 total[x] = total.get(x, 0) + n
         found = [level << 32 | x for x, n in total.items() for level in LEVELS if n >= level]
@@ -133,18 +133,26 @@ def train(docs: DataFrame, positive: DataFrame, prior: float, id_col: str = "doc
     def count(batches):
         side = shared.value
         for b in batches:
-            rows, found = _Rows(), ([], [])
+            rows, found, held = _Rows(), ([], []), 0
             for i, t in zip(b["id"].to_pylist(), b["text"].to_pylist()):
                 if i in side and t is not None:
-                    got = rows(t)
+                    got = np.array(rows(t), dtype=np.int64)
                     for k in range(2):
                         if side[i][k]:
-                            found[k].extend(got)
-            pos, unl = (np.unique(np.array(f, dtype=np.int64), return_counts=True) for f in found)
-            f = np.concatenate([pos[0], unl[0]])
-            a, z = np.zeros(len(f), np.int64), np.zeros(len(f), np.int64)
-            a[: len(pos[0])], z[len(pos[0]) :] = pos[1], unl[1]
-            yield pa.RecordBatch.from_arrays([pa.array(f), pa.array(a), pa.array(z)], names=["f", "a", "z"])
+                            found[k].append(got)
+                            held += len(got)
+                if held > 1_000_000:  # counted in parts, so that memory stays bounded
+                    yield counted(found)
+                    found, held = ([], []), 0
+            yield counted(found)
+
+    def counted(found):
+        none = np.empty(0, np.int64)
+        pos, unl = (np.unique(np.concatenate([none, *f]), return_counts=True) for f in found)
+        f = np.concatenate([pos[0], unl[0]])
+        a, z = np.zeros(len(f), np.int64), np.zeros(len(f), np.int64)
+        a[: len(pos[0])], z[len(pos[0]) :] = pos[1], unl[1]
+        return pa.RecordBatch.from_arrays([pa.array(f), pa.array(a), pa.array(z)], names=["f", "a", "z"])
 
     n_pos, n_unl = len(pos), len(unl)
     counts = sample.mapInArrow(count, "f long, a long, z long").groupBy("f").agg(F.sum("a").alias("a"), F.sum("z").alias("z"))
