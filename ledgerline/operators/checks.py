@@ -147,14 +147,40 @@ class Check:
     severity: str = "error"  # or "warn"
 
 
-def run_checks(checks: Iterable[Check]) -> DataFrame:
-    """One report row per check: ``check, severity, violations, status`` (pass / warn / fail)."""
+@dataclass
+class RowCheck:
+    """A check of single rows; ``violated`` is the condition of a violating row (NULL passes)."""
+
+    name: str
+    violated: Column
+    severity: str = "error"  # or "warn"
+
+
+def not_null(table: str, *cols: str) -> list[RowCheck]:
+    """The ``RowCheck`` of O-24 for each of ``cols``."""
+    return [RowCheck(f"{table}.{c}.not_null", F.col(c).isNull()) for c in cols]
+
+
+def _row_counts(df: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
+    """``check, severity, violations`` of all row checks of a table, from one scan of it."""
+    rows = [
+        F.struct(F.lit(c.name).alias("check"), F.lit(c.severity).alias("severity"), F.count_if(c.violated).alias("violations"))
+        for c in checks
+    ]
+    return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
+
+
+def run_checks(checks: Iterable[Check], row_checks: Iterable[tuple[DataFrame, Sequence[RowCheck]]] = ()) -> DataFrame:
+    """One report row per check: ``check, severity, violations, status`` (pass / warn / fail).
+
+    ``row_checks`` are (table, its row checks); each table is scanned once for all of them."""
     parts = [
         c.violations.agg(F.count(F.lit(1)).alias("violations")).select(
             F.lit(c.name).alias("check"), F.lit(c.severity).alias("severity"), F.col("violations")
         )
         for c in checks
     ]
+    parts += [_row_counts(df, own) for df, own in row_checks if own]
     if not parts:
         raise ValueError("no checks given")
     out = parts[0]

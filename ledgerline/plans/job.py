@@ -16,6 +16,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import checks as C
 from ..operators.hierarchy import user_manager_phones
@@ -128,20 +129,36 @@ def build_mart(
 
     # source freshness of the stores landing (warn after 12 h, error after 24 h, measured at run_ts)
     fresh = C.check_freshness(read_landing(spark, landing_paths["stores"]), "inserted_at", run_ts)
+    staged = store.read(STG["transactions"])
     checks = C.run_checks(
         [
             C.Check("landing_stores.freshness.warn", fresh.filter("status = 'warn'"), "warn"),
             C.Check("landing_stores.freshness.error", fresh.filter("status = 'error'")),
-            C.Check("stg_transactions.id.not_null", C.check_not_null(store.read(STG["transactions"]), "id"), "warn"),
-            C.Check("stg_transactions.op.accepted", C.check_accepted(store.read(STG["transactions"]), "op", list("cudr"))),
-            C.Check("phones.user_phone.not_null", C.check_not_null(phones, "user_phone")),
+            C.Check("stg_transactions.op.accepted", C.check_accepted(staged, "op", list("cudr"))),
             C.Check("phones.user_phone.unique", C.check_unique(phones, "user_phone")),
-            C.Check("mart.transid.not_null", C.check_not_null(mart, "transid")),
             C.Check("mart.transid.unique", C.check_unique(mart, "transid")),
-            C.Check("mart.commission.eq_0", C.check_expr(mart, "commission = 0")),
+            C.Check("report.transid.unique", C.check_unique(rpt, "transid")),
             C.Check("dim_stores.one_merchant_per_store", C.check_single_owner(stores)),
             C.Check("dim_transactions.merchant_matches_store", C.check_matches_parent(txn, stores)),
-        ]
+        ],
+        [
+            (
+                staged,
+                [
+                    C.RowCheck("stg_transactions.id.not_null", F.col("id").isNull(), "warn"),
+                    *C.not_null("stg_transactions", "ts_ms", "json_inserted_at", "inserted_at", "op"),
+                ],
+            ),
+            (phones, C.not_null("phones", "user_phone")),
+            (
+                mart,
+                [
+                    *C.not_null("mart", "transid", "gmv", "commission", "source_inserted_at", "inserted_at"),
+                    C.RowCheck("mart.commission.eq_0", ~F.expr("commission = 0")),
+                ],
+            ),
+            (rpt, C.not_null("report", "transid", "transaction_day", "gmv")),
+        ],
     )
     return JobResult(rpt, checks, versions)
 

@@ -145,3 +145,12 @@ def test_read_landing_pushes_watermark_into_scan(spark, tmp_path):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(landing_date" in plan and "PushedFilters: [IsNotNull(inserted_at), GreaterThan(inserted_at" in plan
     assert got.count() == 1
+
+
+def test_row_checks_of_a_table_count_each_and_keep_severity(spark):
+    df = spark.createDataFrame([(1, None), (None, "x"), (None, None)], "a int, b string")
+    rows = [*C.not_null("t", "a"), C.RowCheck("t.b.not_null", F.col("b").isNull(), "warn"), C.RowCheck("t.a.is_1", ~F.expr("a = 1"))]
+    got = {r["check"]: (r.violations, r.status) for r in C.run_checks([], [(df, rows)]).collect()}
+    assert got == {"t.a.not_null": (2, "fail"), "t.b.not_null": (2, "warn"), "t.a.is_1": (0, "pass")}
+    empty = C.run_checks([], [(df.limit(0), rows)]).collect()
+    assert [r.violations for r in empty] == [0, 0, 0]

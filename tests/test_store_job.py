@@ -61,6 +61,13 @@ def test_job_incremental_run(spark, tmp_path):
     assert {r["transid"] for r in res1.report.collect()} == {"TXN0001", "TXN0002", "TXN0003"}
     report1 = {r["check"]: r["status"] for r in res1.checks.collect()}
     assert report1["mart.transid.unique"] == "pass"
+    for table, cols in (
+        ("stg_transactions", ("id", "ts_ms", "json_inserted_at", "inserted_at", "op")),
+        ("mart", ("transid", "gmv", "commission", "source_inserted_at", "inserted_at")),
+        ("report", ("transid", "transaction_day", "gmv")),
+    ):
+        assert all(f"{table}.{c}.not_null" in report1 for c in cols)
+    assert report1["report.transid.unique"] == report1["mart.commission.eq_0"] == "pass"
     assert report1["landing_stores.freshness.error"] == "pass"  # landed 23 h before run 1
     assert report1["landing_stores.freshness.warn"] == "warn"
 
