@@ -141,8 +141,9 @@ def _texts(batch, length: int):
 
 
 def _fingerprints(docs: DataFrame, length: int, frequent) -> DataFrame:
-    """(key, ctx, o, rid, start, windows) of every run; a run that a run of the same batch makes needless
-    has a negative number of windows and a key of its own."""
+    """(key, ctx, o, rid, start, windows, single) of every run; a run that a run of the same batch makes needless
+    has a negative number of windows and a key of its own. ``single`` marks a window of a frequent
+    fingerprint, whose key is already its own."""
 
     def run(batches):
         hot = np.array(sorted(frequent.value), dtype=np.uint64) if frequent else np.empty(0, np.uint64)
@@ -154,6 +155,7 @@ def _fingerprints(docs: DataFrame, length: int, frequent) -> DataFrame:
                 end = np.cumsum(size)
                 begin = end - size
                 who, start, windows, key, ctx = fingerprint_runs(raw, begin, end, length)
+                single = np.zeros(len(key), bool)
                 if len(hot):
                     busy = np.isin(key, hot)
                     if busy.any():  # each window of such a run on its own, dealt by its own hash
@@ -164,22 +166,23 @@ def _fingerprints(docs: DataFrame, length: int, frequent) -> DataFrame:
                         key = np.concatenate([key[~busy], _mix(np.repeat(key[busy], n) * _BASE + (own >> _U(40)))])
                         who, start, ctx = (np.concatenate([x[~busy], y]) for x, y in ((who, w), (start, at), (ctx, own)))
                         windows = np.concatenate([windows[~busy], np.ones(len(w), np.int64)])
+                        single = np.concatenate([single[~busy], np.ones(len(w), bool)])
                 rows = np.array([x[0] for x in group], dtype=np.int64)
                 offset = np.array([x[1] for x in group], dtype=np.int64)
-                got.append((rows[who], start + offset[who], windows, key, ctx))
+                got.append((rows[who], start + offset[who], windows, key, ctx, single))
             if not got:
                 continue
-            row, start, windows, key, ctx = (np.concatenate(x) for x in zip(*got))
+            row, start, windows, key, ctx, single = (np.concatenate(x) for x in zip(*got))
             o, rid = b["o"].to_numpy()[row], b["rid"].to_numpy()[row]
             order, later = _later(key, ctx, o, rid, start)
-            o, rid, start, windows, key, ctx = (x[order] for x in (o, rid, start, windows, key, ctx))
+            o, rid, start, windows, key, ctx, single = (x[order] for x in (o, rid, start, windows, key, ctx, single))
             own = _mix(rid.view(np.uint64) * _BASE + start.astype(np.uint64))
             key, windows = np.where(later, own, key), np.where(later, -windows, windows)
             for at in range(0, len(key), 100_000):
                 cut = slice(at, at + 100_000)
-                yield pa.RecordBatch.from_arrays([pa.array(x[cut]) for x in (key.view(np.int64), ctx.view(np.int64), o, rid, start, windows.astype(np.int32))], names=["key", "ctx", "o", "rid", "start", "windows"])
+                yield pa.RecordBatch.from_arrays([pa.array(x[cut]) for x in (key.view(np.int64), ctx.view(np.int64), o, rid, start, windows.astype(np.int32), single)], names=["key", "ctx", "o", "rid", "start", "windows", "single"])
 
-    return docs.select("o", "rid", "text").mapInArrow(run, "key long, ctx long, o long, rid long, start long, windows int")
+    return docs.select("o", "rid", "text").mapInArrow(run, "key long, ctx long, o long, rid long, start long, windows int, single boolean")
 
 
 def _window_hashes(raw: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
@@ -207,28 +210,28 @@ def _whole_groups(batches, columns: list[str], by: str = "key"):
 def _shared_runs(found: DataFrame) -> DataFrame:
     """What recurs: ``group`` 0 marks a run that an earlier equal one makes needless; other rows are the
     earliest of each of several different runs with one fingerprint, ``group`` being their number."""
-    cols = ["key", "ctx", "o", "rid", "start", "windows"]
+    cols = ["key", "ctx", "o", "rid", "start", "windows", "single"]
     dealt = found.repartition("key").sortWithinPartitions("key")
 
     def run(batches):
         for t in _whole_groups(batches, cols):
-            key, ctx, o, rid, start, windows = (t[c].to_numpy() for c in cols)
+            key, ctx, o, rid, start, windows, single = (t[c].to_numpy() for c in cols)
             again = np.concatenate(([False], key[1:] == key[:-1]))
             again[:-1] |= again[1:]
             again |= windows < 0
-            key, ctx, o, rid, start, windows = (x[again] for x in (key, ctx, o, rid, start, windows))
+            key, ctx, o, rid, start, windows, single = (x[again] for x in (key, ctx, o, rid, start, windows, single))
             if not len(key):
                 continue
             order, later = _later(key, ctx, o, rid, start)
-            key, o, rid, start, windows = (x[order] for x in (key, o, rid, start, windows))
+            key, o, rid, start, windows, single = (x[order] for x in (key, o, rid, start, windows, single))
             later |= windows < 0
             number = np.cumsum(np.concatenate(([True], key[1:] != key[:-1]))) - 1
             n = np.bincount(number, weights=~later).astype(np.int64)[number]
             keep = later | (n > 1)
-            out = (key, o, rid, start, np.abs(windows), np.where(later, 0, n))
-            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in out], names=["key", "o", "rid", "start", "windows", "group"])
+            out = (key, o, rid, start, np.abs(windows), np.where(later, 0, n), single)
+            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in out], names=["key", "o", "rid", "start", "windows", "group", "single"])
 
-    return dealt.mapInArrow(run, "key long, o long, rid long, start long, windows int, group long")
+    return dealt.mapInArrow(run, "key long, o long, rid long, start long, windows int, group long, single boolean")
 
 
 def _zipped(docs: DataFrame) -> DataFrame:
@@ -246,8 +249,8 @@ def _zipped(docs: DataFrame) -> DataFrame:
 
 def _fetched(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """(key, o, rid, start, bytes): the wanted runs with their bytes; members of large groups window by
-    window, dealt by the window's hash."""
-    lists = wanted.groupBy("rid").agg(F.collect_list(F.struct("key", "start", "windows", "group")).alias("w"))
+    window, dealt by the window's hash, unless they are windows that their key deals already."""
+    lists = wanted.groupBy("rid").agg(F.collect_list(F.struct("key", "start", "windows", "group", "single")).alias("w"))
     src = _zipped(docs.select("o", "rid", "text")).dropDuplicates(["rid"]).join(lists, "rid")
 
     def run(batches):
@@ -258,7 +261,7 @@ def _fetched(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                 raw = unpack.decompress(data)
                 for x in w:
                     s, n = x["start"], x["windows"]
-                    if x["group"] <= GROUP or n == 1:
+                    if x["group"] <= GROUP or x["single"]:
                         parts = [(x["key"], s, raw[s : s + n + length - 1])]
                     else:
                         cells = -(-x["group"] // CELL)
@@ -431,7 +434,7 @@ def spans_to_remove(docs: DataFrame, length: int) -> DataFrame:
     frequent = _frequent(docs, length, docs.count())
     shared = docs.sparkSession.sparkContext.broadcast(frequent)  # at most ``SAMPLE`` numbers
     recur = stored(_shared_runs(_fingerprints(docs, length, shared)), "recurring")
-    fetched = _fetched(docs, recur.where("group > 0").select("key", "rid", "start", "windows", "group"), length)
+    fetched = _fetched(docs, recur.where("group > 0").select("key", "rid", "start", "windows", "group", "single"), length)
     more = stored(_compared(fetched, length), "repeated")
     marks = recur.where("group = 0").select("rid", "start", "windows").unionByName(more)
     return marks.groupBy("rid").agg(F.collect_list(F.struct("start", "windows")).alias("spans"))

@@ -260,6 +260,20 @@ def test_repeated_strings_with_frequent_and_large_groups(spark, monkeypatch):
     assert _by_row(got) == _by_row(_brute_repeats(rows, 100))
 
 
+def test_repeated_strings_of_one_window_in_large_groups(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "FREQUENT", 1 << 40)
+    monkeypatch.setattr(substrings, "GROUP", 4)
+    monkeypatch.setattr(substrings, "BLOCK", 1)  # no two groups meet in a block by chance
+    rng = random.Random(5)
+    line = "".join(rng.choice("abcdef ") for _ in range(90))
+    texts = ["".join(rng.choice("ghijk") for _ in range(40)) + line + "".join(rng.choice("xyz") for _ in range(40)) for _ in range(30)]
+    cuts = [t[at : at + 100] for t in texts for at in (33, 36)]  # texts of one window
+    rows = list(enumerate(rng.sample(texts + cuts, 90)))
+    out = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), 100)
+    got = [(r.row.doc_id, r.n_bytes, hashlib.sha256(r.kept).hexdigest(), len(r.spans) // 2) for r in out.collect()]
+    assert _by_row(got) == _by_row(_brute_repeats(rows, 100))
+
+
 def test_interval_expansion():
     rng = random.Random(1)
     for _ in range(30):
