@@ -1,6 +1,8 @@
 """Registered queries: one per operator, each reading the driver tables at ``sf_dir``.
 
-Every query runs the library's operators over whole tables (no sampling, caps or key subsets);
+Every query runs the library's operators over whole tables (no sampling, caps or key subsets), but
+that ``shred_txn``, ``shred_store`` and ``shred_user`` return part of the columns of the first landed
+batch only, as their SQL does; ``shred_*_whole`` return every column of both batches.
 ``ledgerline.oracle`` holds the equivalent DuckDB SQL. Arrays are returned as comma-joined sorted
 strings and VARIANTs as their JSON text, so both engines hash the same scalars.
 """
@@ -63,6 +65,16 @@ def q_shred_user(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _shred_whole(table: str) -> Callable[[SparkSession, str], DataFrame]:
+    """Every document of both batches with every column of its spec and the envelope."""
+
+    def q(spark: SparkSession, sf: str) -> DataFrame:
+        st = Scenario(spark, sf).staged_all(table)
+        return st.select(*[F.to_json(c).alias(c) if kind == "variant" else F.col(c) for c, kind in st.dtypes])
+
+    return q
+
+
 # ---------------------------------------------------------------------- scalar JSON + epoch rules
 def _events(spark: SparkSession, sf: str) -> DataFrame:
     configure(spark)
@@ -357,6 +369,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "shred_txn": q_shred_txn,
     "shred_store": q_shred_store,
     "shred_user": q_shred_user,
+    "shred_txn_whole": _shred_whole("transactions"),
+    "shred_store_whole": _shred_whole("stores"),
+    "shred_user_whole": _shred_whole("users"),
     "json_scalar_rules": q_json_scalar_rules,
     "epoch_ms": _epoch_query("ms"),
     "epoch_us": _epoch_query("us"),
