@@ -208,6 +208,16 @@ def test_near_duplicates_in_a_large_group(spark, monkeypatch):
     assert _by_row(got) == _by_row(_brute_components(rows, 4, 80))
 
 
+def test_near_duplicates_of_classes_with_one_smallest_id(spark):
+    """Every class that holds id 1 has near copies of its own; id 9 is in three classes with smaller ids."""
+    rng = random.Random(6)
+    texts = [[f"w{rng.randrange(9999)}" for _ in range(60)] for _ in range(8)]
+    rows = [(1, " ".join(t)) for t in texts[:5]] + [(20 + i, " ".join(t + ["end"])) for i, t in enumerate(texts[:5])]
+    rows += [(2 + i, " ".join(t)) for i, t in enumerate(texts[5:])] + [(9, " ".join(t)) for t in texts[5:]]
+    got = [(r.id, r.n_shingles, r.component_id) for r in neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80).collect()]
+    assert _by_row(got) == _by_row(_brute_components(rows, 5, 80))
+
+
 # --- 6: repeated strings --------------------------------------------------------------------------
 
 
