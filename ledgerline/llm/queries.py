@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm import bpe, decontaminate, lengths, licences, multiindex, neardup, records, sharding, substrings, toxicity
+from ledgerline.llm import bpe, collocations, decontaminate, languages, lengths, licences, multiindex, neardup, negatives, records, sharding, substrings, toxicity
 from ledgerline.llm.common import table
 from ledgerline.session import scratch_path
 
@@ -126,3 +126,77 @@ def op5_licence_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
     family = F.array_sort(F.array_distinct(F.col("licences.family")))
     return out.select("row.doc_id", F.size("licences").cast("long").alias("n_paragraphs"), F.array_join(family, ",").alias("families"), F.round(F.array_min("licences.prob"), 3).alias("lowest_prob"), F.round(F.array_min("licences.alike"), 3).alias("lowest_alike"))
+
+
+@query
+def op11_string_kernel_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = languages.predict(docs, languages.train(docs))
+    return found.select(F.col("id").alias("doc_id"), languages.held_out("id").alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op12_son_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("text", "lang"), support=100, top=2000)
+
+
+# Words and pieces as in the operator; every phrase of one to five words is counted, without any pruning.
+ORACLE_SQL["op12_son_collocations"] = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+worded AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM worded GROUP BY lang),
+spans AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded),
+counted AS (
+  SELECT lang, array_to_string(w[i:i + size - 1], ' ') AS phrase, CAST(size AS INTEGER) AS size, count(*) AS f
+  FROM spans, (SELECT unnest(range(1, 6)) AS size) AS sizes WHERE i + size - 1 <= len(w) GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, k, l.f AS l, r.f AS r, n,
+         (1000::HUGEINT * c.f * n) // (l.f::HUGEINT * r.f) AS score
+  FROM (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, size)) AS k FROM counted WHERE size > 1) AS c
+  JOIN counted AS l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:k], ' ')
+  JOIN counted AS r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[k + 1:], ' ')
+  JOIN totals AS t ON t.lang = c.lang),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_phrases AS (
+  SELECT DISTINCT o.lang, o.phrase
+  FROM (SELECT lang, f, w, size, unnest(range(1, size + 1)) AS i FROM (SELECT *, string_split(phrase, ' ') AS w FROM counted WHERE size > 2)) AS b,
+       (SELECT unnest(range(2, 5)) AS part) AS parts
+  JOIN counted AS o ON o.lang = b.lang AND o.phrase = array_to_string(b.w[b.i:b.i + part - 1], ' ')
+  WHERE part < b.size AND b.i + part - 1 <= b.size AND 100 * b.f >= 100 * o.f),
+ranked AS (
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+  FROM lowest ANTI JOIN inner_phrases USING (lang, phrase))
+SELECT * FROM ranked WHERE rank <= 2000
+"""
+
+
+@query
+def op13_strassen_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, label)
+
+
+ORACLE_SQL["op13_strassen_negatives"] = """
+WITH used AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         CAST(list_sum(list_transform(list_zip(a.v, c.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM used AS a JOIN used AS c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives AS p JOIN scores AS s ON s.anchor_id = p.anchor_id AND NOT same
+ AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
