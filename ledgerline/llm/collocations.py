@@ -1,11 +1,12 @@
 """Operator 12: phrase collocations, mined by SON partitioning.
 
-Texts are cut into shards of about ``SHARD_BYTES`` per language. A shard that holds the share b / B of its
+Texts are cut into shards of about ``SHARD_BYTES``, one language each. A shard that holds the share b / B of its
 language's bytes is mined completely (level by level, as in Apriori) at the local support
-``support * b / B``. The shares add up to one, so a phrase that reaches the support in all reaches the local
-one in some shard. The union of the locally frequent phrases is kept as a bitmap of their hashes, of fixed
-size; two phrases of one bit only make it a superset. A second pass counts in every shard each phrase that the
-bitmap holds, and the counts are summed: they are exact for every frequent phrase.
+t = ceil(``support`` * b / B). The shares add up to one, so a phrase that reaches the support in all reaches the
+local one in some shard. Where it does not, it occurs t - 1 times at most: the local counts of a phrase and these bounds
+for the other shards say whether it can reach the support at all. What can is the union of candidates, kept as a bitmap
+of hashes of fixed size; phrases of one bit or hash only make it a superset. A second pass counts in every
+shard each phrase that the bitmap holds, and the counts are summed: they are exact.
 
 Within a shard, words are numbers and a phrase of j words is the pair (its first j - 1 words, its last word), so equal
 numbers mean equal phrases. Scores are decimals of 38 digits, divided without rounding.
@@ -14,18 +15,17 @@ numbers mean equal phrases. Scores are decimals of 38 digits, divided without ro
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import stored
 
-SHARD_BYTES = 48 << 20
+SHARD_BYTES = 40 << 20
 MAX_WORDS = 5
 BITS = 27  # the bitmap has 2**BITS bits: 16 MiB
-_CHUNK = 1 << 15  # bits of one row of the bitmap, as Spark's bitmap functions cut them
+_CHUNK = 1 << 15  # bits of one row of Spark's bitmap functions
 
 _BREAK = b"\xff"  # no byte of UTF-8
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0a\x0b\x0c\x0d", b"abcdefghijklmnopqrstuvwxyz " + b"\xff" * 10)
@@ -56,11 +56,11 @@ class Shard:
         self.parts.append(ids[: n + 1].copy())
         self.n_bytes += len(text)
 
-    def words(self) -> list[bytes]:
-        return list(self.number)[1:]
-
-    def ids(self) -> np.ndarray:
-        return np.concatenate(self.parts)
+    def close(self) -> tuple[np.ndarray, list[bytes]]:
+        """(numbers, words by number); the shard itself is emptied."""
+        ids, words = np.concatenate(self.parts), list(self.number)[1:]
+        self.parts, self.number = [], {}
+        return ids, words
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -75,25 +75,35 @@ def phrases(ids: np.ndarray, word_hash: np.ndarray, keep, max_words: int = MAX_W
     code = np.full(len(ids) + 1, -1, dtype=np.int32)  # of the phrase of j words that starts here
     word = code.copy()
     for j in range(1, max_words + 1):
-        if j == 1:
-            key = ids[at]
-        else:
+        if j > 1:
             at = at[at < len(ids) - j + 1]
             at = at[(code[at] >= 0) & (code[at + 1] >= 0)]
-            key = code[at].astype(np.int64) * n_words + word[at + (j - 1)]
         if not len(at):
             return
-        found, values = pd.factorize(key)
-        count = np.bincount(found, minlength=len(values))
-        first = np.empty(len(values), dtype=np.int32)
-        first[found[::-1]] = at[::-1]
-        h = np.zeros(len(values), dtype=np.uint64)
+        if j == 1:
+            found = ids[at]
+            count = np.bincount(found)
+            first = np.zeros(len(count), dtype=np.int32)
+            first[found[::-1]] = at[::-1]
+        else:
+            key = code[at].astype(np.int64) * n_words + word[at + (j - 1)]
+            order = np.argsort(key, kind="stable")
+            key = key[order]
+            new = np.concatenate(([True], key[1:] != key[:-1]))
+            del key
+            found = np.empty(len(at), dtype=np.int32)
+            found[order] = np.cumsum(new, dtype=np.int32) - 1
+            begin = np.flatnonzero(new)
+            count, first = np.diff(np.append(begin, len(at))), at[order[begin]]
+            del order, new, begin
+        h = np.zeros(len(count), dtype=np.uint64)
         for i in range(j):
             h = mix(h + word_hash[ids[first + i]])
         kept = keep(count, h)
         number = np.where(kept, np.cumsum(kept) - 1, -1).astype(np.int32)
         code.fill(-1)
         code[at] = number[found]
+        del found, number
         if j == 1:
             word, n_words = code.copy(), int(kept.sum())
         yield j, first[kept], count[kept], h[kept]
@@ -120,12 +130,13 @@ def _shards(batches, size: int):
         yield lang, total, shard
 
 
-def _hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
+def _hashes(lang: str, words: list[bytes]) -> np.ndarray:
+    seed = xxhash.xxh32_intdigest(lang.encode())
+    return np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in words), np.uint64, len(words))
 
 
-def _bit(h: np.ndarray, bits: int) -> np.ndarray:
-    return (h >> np.uint64(64 - bits)).astype(np.int64)
+def _blocks(n: int, size: int = 1 << 16):
+    return (slice(at, at + size) for at in range(0, n, size))
 
 
 def frequent_phrases(rows: DataFrame, support: int, shard_bytes: int = SHARD_BYTES, bits: int = BITS) -> tuple[DataFrame, DataFrame]:
@@ -138,41 +149,41 @@ def frequent_phrases(rows: DataFrame, support: int, shard_bytes: int = SHARD_BYT
     source = rows.join(totals, "lang").select("lang", "total", "text").coalesce(max(1, -(-all_bytes // shard_bytes)))
 
     def mine(batches):
-        for _, total, shard in _shards(batches, shard_bytes):
-            bitmap = np.zeros(1 << (bits - 3), dtype=np.uint8)
-            local = lambda count, h: count * total >= support * shard.n_bytes  # noqa: B023, E731
-            for _, _, _, h in phrases(shard.ids(), _hashes(shard.words()), local):
-                at = _bit(h, bits)
-                np.bitwise_or.at(bitmap, at >> 3, np.left_shift(1, at & 7).astype(np.uint8))
-            part = min(_CHUNK, 1 << bits) >> 3
-            used = np.flatnonzero(bitmap.reshape(-1, part).any(axis=1))
-            for at in range(0, len(used), 256):
-                some = used[at : at + 256]
-                yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int64)), pa.array([bitmap[i * part : (i + 1) * part].tobytes() for i in some], pa.binary())], names=["part", "bits"])
-
-    union = source.mapInArrow(mine, "part long, bits binary").groupBy("part").agg(F.expr("bitmap_or_agg(bits)").alias("bits"))
+        for lang, total, shard in _shards(batches, shard_bytes):
+            least = -(-support * shard.n_bytes // max(1, total))  # of an empty shard 0: nothing to count
+            ids, words = shard.close()
+            yield _mined([lang], None, [least - 1 if least else 0])
+            for _, _, n, h in phrases(ids, _hashes(lang, words), lambda count, h: count >= least):  # noqa: B023
+                for some in _blocks(len(n)):
+                    yield _mined([lang] * len(n[some]), h[some].astype(np.int64), n[some] - (least - 1))
+
+    # sum of (count - bound) over the shards that report a phrase, against what all bounds leave to the support
+    mined = source.mapInArrow(mine, "lang string, hash long, over long").groupBy("lang", "hash").agg(F.sum("over").alias("over"))
+    mined = stored(mined, "mined")
+    lack = mined.where("hash is null").select("lang", (F.lit(support) - F.col("over")).alias("lack"))
+    bit = mined.where("hash is not null").join(lack, "lang").where("over >= lack").select(F.shiftrightunsigned("hash", 64 - bits).alias("bit"))
+    union = bit.groupBy(F.expr(f"bit div {_CHUNK}").alias("part")).agg(F.expr(f"bitmap_construct_agg(bit % {_CHUNK})").alias("bits"))
     bitmap = np.zeros(1 << (bits - 3), dtype=np.uint8)
     step = min(_CHUNK, 1 << bits) >> 3
-    for r in union.toLocalIterator():  # at most 2**bits bits in all
+    for r in union.toLocalIterator():  # 2**bits bits in all
         bitmap[r.part * step : (r.part + 1) * step] = np.frombuffer(r.bits, dtype=np.uint8)[:step]
     sent = spark.sparkContext.broadcast(bitmap)
 
     def count(batches):
         held = sent.value
-        for lang, _, shard in _shards(batches, shard_bytes):
-            ids, words = shard.ids(), shard.words()
-            yield _counted([(lang, None, 0, int((ids >= 0).sum()))])
 
-            def known(count, h):
-                at = _bit(h, bits)
-                return (held[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+        def known(count, h):
+            at = (h >> np.uint64(64 - bits)).astype(np.int64)
+            return (held[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
-            for j, first, n, _ in phrases(ids, _hashes(words), known):
-                for at in range(0, len(first), 1 << 16):
-                    some = first[at : at + (1 << 16)]
-                    parts = ids[some[:, None] + np.arange(j)].tolist()
+        for lang, _, shard in _shards(batches, shard_bytes):
+            ids, words = shard.close()
+            yield _counted([(lang, None, 0, int((ids >= 0).sum()))])
+            for j, first, n, _ in phrases(ids, _hashes(lang, words), known):
+                for some in _blocks(len(first)):
+                    parts = ids[first[some, None] + np.arange(j)].tolist()
                     text = [b" ".join([words[i] for i in p]) for p in parts]
-                    yield _counted(zip([lang] * len(text), text, [j] * len(text), n[at : at + (1 << 16)].tolist()))
+                    yield _counted(zip([lang] * len(text), text, [j] * len(text), n[some].tolist()))
 
     counted = source.mapInArrow(count, "lang string, phrase string, size int, f long")
     # nearly all rows are phrases with few counts each; the words in all are one row a shard
@@ -180,11 +191,24 @@ def frequent_phrases(rows: DataFrame, support: int, shard_bytes: int = SHARD_BYT
     return counted.where("phrase is null").select("lang", F.col("f").alias("n")), counted.where("phrase is not null")
 
 
+def _mined(lang: list[str], h, over) -> pa.RecordBatch:
+    h = pa.nulls(len(lang), pa.int64()) if h is None else pa.array(h, pa.int64())
+    return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), h, pa.array(over, pa.int64())], names=["lang", "hash", "over"])
+
+
 def _counted(rows) -> pa.RecordBatch:
     lang, phrase, size, f = zip(*rows)
     return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(phrase, pa.binary()).cast(pa.string()), pa.array(size, pa.int32()), pa.array(f, pa.int64())], names=["lang", "phrase", "size", "f"])
 
 
+def exact_score(a: str, n: str, left: str, right: str, scale: int) -> Column:
+    """floor(scale * a * n / (left * right)) of positive counts, in decimals: products may pass 64 bits."""
+    wide = lambda c: F.col(c).cast("decimal(18,0)")
+    above = (F.lit(scale).cast("decimal(10,0)") * wide(a) * wide(n)).cast("decimal(38,0)")
+    below = (wide(left) * wide(right)).cast("decimal(38,0)")
+    return F.call_function("div", above, below)
+
+
 def collocations(
     docs: DataFrame, support: int = 100, top: int = 2000, scale: int = 1000, text_col: str = "text", lang_col: str = "lang", shard_bytes: int = SHARD_BYTES, bits: int = BITS
 ) -> DataFrame:
@@ -215,10 +239,7 @@ def collocations(
     cuts = cuts.withColumn("head", F.array_join(F.slice(words, F.lit(1), F.col("k")), " ")).withColumn("tail", F.array_join(F.slice(words, F.col("k") + 1, F.col("size")), " "))
     part = lambda key, value: f.select("lang", F.col("phrase").alias(key), F.col("f").alias(value))
     cuts = cuts.join(part("head", "l"), ["lang", "head"]).join(part("tail", "r"), ["lang", "tail"]).join(n, "lang")
-    wide = lambda c: F.col(c).cast("decimal(18,0)")
-    above = (wide("a") * wide("n") * F.lit(scale).cast("decimal(10,0)")).cast("decimal(38,0)")
-    below = (wide("l") * wide("r")).cast("decimal(38,0)")
-    cuts = cuts.withColumn("above", above).withColumn("below", below).withColumn("score", F.expr("above div below"))
+    cuts = cuts.withColumn("score", exact_score("a", "n", "l", "r", scale))
     best = cuts.groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
     out = best.select("lang", "phrase", "a", "n", "cut.score", "cut.l", "cut.r")
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
