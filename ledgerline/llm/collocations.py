@@ -14,6 +14,8 @@ numbers mean equal phrases. Scores are decimals of 38 digits, divided without ro
 
 from __future__ import annotations
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -23,6 +25,8 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import stored
 
 SHARD_BYTES = 40 << 20
+TASK_BYTES = 256 << 20  # text that a counting task reads, shard by shard, summing before the shuffle
+SUMS = 1 << 20  # distinct phrases that it holds at once
 MAX_WORDS = 5
 BITS = 27  # the bitmap has 2**BITS bits: 16 MiB
 _CHUNK = 1 << 15  # bits of one row of Spark's bitmap functions
@@ -145,8 +149,9 @@ def frequent_phrases(rows: DataFrame, support: int, shard_bytes: int = SHARD_BYT
     spark = rows.sparkSession
     totals = stored(rows.groupBy("lang").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("total")), "totals")
     all_bytes = totals.agg(F.sum("total").alias("n")).first()["n"] or 0
-    # a task reads about one shard; no shuffle. A join by size: few languages are broadcast, many are not
-    source = rows.join(totals, "lang").select("lang", "total", "text").coalesce(max(1, -(-all_bytes // shard_bytes)))
+    # no shuffle: a mining task reads about one shard, a counting task several. A join by size: few languages are broadcast, many are not
+    source = rows.join(totals, "lang").select("lang", "total", "text")
+    cut = lambda size: source.coalesce(max(1, -(-all_bytes // size)))
 
     def mine(batches):
         for lang, total, shard in _shards(batches, shard_bytes):
@@ -158,7 +163,7 @@ def frequent_phrases(rows: DataFrame, support: int, shard_bytes: int = SHARD_BYT
                     yield _mined([lang] * len(n[some]), h[some].astype(np.int64), n[some] - (least - 1))
 
     # sum of (count - bound) over the shards that report a phrase, against what all bounds leave to the support
-    mined = source.mapInArrow(mine, "lang string, hash long, over long").groupBy("lang", "hash").agg(F.sum("over").alias("over"))
+    mined = cut(shard_bytes).mapInArrow(mine, "lang string, hash long, over long").groupBy("lang", "hash").agg(F.sum("over").alias("over"))
     mined = stored(mined, "mined")
     lack = mined.where("hash is null").select("lang", (F.lit(support) - F.col("over")).alias("lack"))
     bit = mined.where("hash is not null").join(lack, "lang").where("over >= lack").select(F.shiftrightunsigned("hash", 64 - bits).alias("bit"))
@@ -176,16 +181,17 @@ def frequent_phrases(rows: DataFrame, support: int, shard_bytes: int = SHARD_BYT
             at = (h >> np.uint64(64 - bits)).astype(np.int64)
             return (held[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
+        sums: dict[tuple, Counter] = {}
         for lang, _, shard in _shards(batches, shard_bytes):
             ids, words = shard.close()
-            yield _counted([(lang, None, 0, int((ids >= 0).sum()))])
+            yield from _summed(sums, (lang, 0), [None], [int((ids >= 0).sum())])
             for j, first, n, _ in phrases(ids, _hashes(lang, words), known):
                 for some in _blocks(len(first)):
                     parts = ids[first[some, None] + np.arange(j)].tolist()
-                    text = [b" ".join([words[i] for i in p]) for p in parts]
-                    yield _counted(zip([lang] * len(text), text, [j] * len(text), n[some].tolist()))
+                    yield from _summed(sums, (lang, j), [b" ".join([words[i] for i in p]) for p in parts], n[some].tolist())
+        yield from _flushed(sums)
 
-    counted = source.mapInArrow(count, "lang string, phrase string, size int, f long")
+    counted = cut(max(shard_bytes, TASK_BYTES)).mapInArrow(count, "lang string, phrase string, size int, f long")
     # nearly all rows are phrases with few counts each; the words in all are one row a shard
     counted = stored(counted.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f")).where(f"f >= {support} or phrase is null"), "phrases")
     return counted.where("phrase is null").select("lang", F.col("f").alias("n")), counted.where("phrase is not null")
@@ -196,9 +202,23 @@ def _mined(lang: list[str], h, over) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), h, pa.array(over, pa.int64())], names=["lang", "hash", "over"])
 
 
-def _counted(rows) -> pa.RecordBatch:
-    lang, phrase, size, f = zip(*rows)
-    return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(phrase, pa.binary()).cast(pa.string()), pa.array(size, pa.int32()), pa.array(f, pa.int64())], names=["lang", "phrase", "size", "f"])
+def _summed(sums: dict[tuple, Counter], key: tuple, phrase: list, n: list[int]):
+    """Add counts; all sums go out once more than ``SUMS`` phrases are held."""
+    held = sums.setdefault(key, Counter())
+    for p, x in zip(phrase, n):
+        held[p] += x
+    if sum(map(len, sums.values())) > SUMS:
+        yield from _flushed(sums)
+
+
+def _flushed(sums: dict[tuple, Counter]):
+    while sums:
+        (lang, size), held = sums.popitem()
+        phrase, f = list(held), list(held.values())
+        for some in _blocks(len(f)):
+            n = len(f[some])
+            text = pa.array(phrase[some], pa.binary()).cast(pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), text, pa.array([size] * n, pa.int32()), pa.array(f[some], pa.int64())], names=["lang", "phrase", "size", "f"])
 
 
 def exact_score(a: str, n: str, left: str, right: str, scale: int) -> Column:

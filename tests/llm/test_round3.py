@@ -124,8 +124,11 @@ def _phrase_rows():
 
 
 @pytest.mark.parametrize(("shard", "bits", "parts", "top"), [(1 << 20, 27, 1, 2000), (400, 27, 5, 2000), (60, 27, 7, 6), (2000, 6, 3, 2000)])
-def test_collocations(spark, shard, bits, parts, top):
-    """Whole in one shard, in many, in shards of a text each, and with a bitmap in which most bits are set."""
+def test_collocations(spark, monkeypatch, shard, bits, parts, top):
+    """Whole in one shard, in many, in shards of a text each, and with a bitmap in which most bits are set; sums
+    that are sent at once, and that are held."""
+    monkeypatch.setattr(collocations, "SUMS", 1 << 20 if parts == 1 else 10)
+    monkeypatch.setattr(collocations, "TASK_BYTES", 3 * shard)
     rows = _phrase_rows()
     docs = spark.createDataFrame([(t, lang, "p", 1, 2) for t, lang in rows], TEXT_SCHEMA).repartition(parts)
     got = collocations.collocations(docs, support=7, top=top, shard_bytes=shard, bits=bits)
