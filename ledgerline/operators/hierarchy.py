@@ -128,6 +128,9 @@ def stable_stamps(new: DataFrame, previous: DataFrame, content=PHONE_CONTENT) ->
 
 
 def _phones(users: DataFrame, run_ts, max_level: int) -> DataFrame:
+    """In two phases. The first groups by (user_phone, listed phone), so a phone of very many users (all users
+    without one form one group) is spread over tasks and combined there, scalars included; the second
+    meets each distinct pair once."""
     chain = manager_chain(users, max_level=max_level, keep=("phone", "name", "inserted_at"))
     mp = _ordered_non_null("phone", max_level)
     mn = _ordered_non_null("name", max_level)
@@ -139,11 +142,12 @@ def _phones(users: DataFrame, run_ts, max_level: int) -> DataFrame:
         F.get(mn, 0).alias("agent_name"),
         F.explode(F.concat(F.array(F.col("phone")), mp)).alias("hp"),
     ).filter(F.col("hp").isNotNull())
-    return rows.groupBy("user_phone").agg(
-        F.min("user_name").alias("user_name"),
-        F.array_sort(F.collect_set("hp")).alias("hierarchy_phone"),
-        F.min("agent_phone").alias("agent_phone"),
-        F.min("agent_name").alias("agent_name"),
-        F.max("inserted_at").alias("source_inserted_at"),
+    scalars = [F.min(c).alias(c) for c in ("user_name", "agent_phone", "agent_name")]
+    pairs = rows.groupBy("user_phone", "hp").agg(*scalars, F.max("inserted_at").alias("source_inserted_at"))
+    out = pairs.groupBy("user_phone").agg(
+        F.array_sort(F.collect_list("hp")).alias("hierarchy_phone"), *scalars, F.max("source_inserted_at").alias("source_inserted_at")
+    )
+    return out.select(
+        "user_phone", "user_name", "hierarchy_phone", "agent_phone", "agent_name", "source_inserted_at",
         F.lit(run_ts).cast("timestamp").alias("inserted_at"),
     )

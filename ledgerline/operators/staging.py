@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.jsonx import as_variant, extract_field_sql
+from ..functions.jsonx import as_variant, extract_field_sql, json_value
 from ..sources.specs import Field, parse_spec
 
 EPOCH = dt.datetime(1970, 1, 1, tzinfo=dt.timezone.utc)
@@ -78,19 +78,25 @@ def since_watermark(df: DataFrame, col: str, target: DataFrame | None, target_co
     return df.filter(F.col(col) > F.lit(wm))
 
 
-def stage_increment(
-    landing: DataFrame,
-    spec,
-    target: DataFrame | None,
-    run_ts,
-    drop_columns: tuple[str, ...] = (),
-) -> DataFrame:
-    """Rows to append to a staging table: landed after the target's ``max(json_inserted_at)``,
-    shredded and stamped (O-04 + O-03 + O-08). ``target=None`` is a full refresh (O-06)."""
-    fresh = since_watermark(landing, "inserted_at", target, "json_inserted_at")
-    return shred(fresh, spec, run_ts, drop_columns=drop_columns)
-
+def shred_or_quarantine(
+    df: DataFrame, spec: list[Field] | str, run_ts=None, json_col: str = "data", key_path: str | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(staged rows, quarantined documents) of a landing with JSON **text**: every landed row is in one of the two.
 
-def append_increment(increment: DataFrame, path: str) -> None:
-    """Insert-only merge of new staged rows (O-05)."""
-    increment.write.mode("append").parquet(path)
+    A document goes to quarantine if its text does not parse (which includes an object that repeats a key), if it
+    is no object, or, with ``key_path``, if it holds no scalar there; a NULL document does as well. Quarantined
+    rows keep the columns they landed with, and get ``reason`` and ``inserted_at_staging`` = ``run_ts``: mended
+    documents can be landed again from there. Each document is parsed once per side; nothing is shuffled.
+    """
+    text = F.col(json_col)
+    marked = df.withColumn("__doc", F.try_parse_json(text))
+    is_object = F.expr("try_variant_get(__doc, '$', 'map<string,variant>') is not null")
+    reason = F.when(text.isNull(), "no document").when(F.col("__doc").isNull(), "not parsable").when(~is_object, "not an object")
+    if key_path:
+        reason = reason.when(json_value("__doc", key_path).isNull(), "no key")
+    marked = marked.withColumn("__reason", reason)
+    good = marked.where("__reason is null").drop(json_col, "__reason").withColumnRenamed("__doc", json_col)
+    bad = marked.where("__reason is not null").select(
+        *df.columns, F.col("__reason").alias("reason"), F.lit(run_ts).cast("timestamp").alias("inserted_at_staging")
+    )
+    return shred(good, spec, run_ts, json_col), bad

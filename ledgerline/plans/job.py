@@ -4,9 +4,9 @@
       -> phone hierarchy mart (O-15, O-16) -> transaction mart, full or incremental (O-17..O-22)
       -> report view (O-23) -> checks (O-24..O-31)
 
-Every table is a versioned snapshot in a ``TableStore``; each step reads the previous step's
-committed snapshot, so lineage is cut at every table and a lost executor only repeats the step it
-was in. ``full_refresh`` rebuilds cores and the mart from all staged rows (O-06).
+Every table is a Parquet folder kept by ``Tables``; each step reads the previous step's table, so
+lineage is cut at every table and a lost executor only repeats the step it was in. ``full_refresh``
+rebuilds staging, cores and the mart from all landed documents (O-06).
 """
 
 from __future__ import annotations
@@ -22,11 +22,11 @@ from ..operators import checks as C
 from ..operators.hierarchy import user_manager_phones
 from ..operators.mart import incremental_detail, mart_watermarks, report, transaction_detail
 from ..operators.staging import EPOCH, shred
-from ..session import configure
-from ..sources.landing import read_landing
+from ..session import configure, scratch_path
+from ..sources.landing import PARTITION_COL, empty_landing, read_landing
 from ..sources.specs import STORES, TRANSACTIONS, USERS
 from .core import core_full, core_increment
-from .store import Layout, TableStore
+from .tables import Tables, newest_partition
 
 TABLES = {"users": USERS, "stores": STORES, "transactions": TRANSACTIONS}
 STG = {t: f"stg_{t}" for t in TABLES}
@@ -40,12 +40,11 @@ REPORT_VIEW = "rpt_transaction_detail"
 class JobResult:
     report: DataFrame
     checks: DataFrame
-    versions: dict
 
 
 def build_mart(
     spark: SparkSession,
-    landing_paths: dict[str, str],
+    landing_paths: dict[str, str] | None,
     warehouse: str,
     as_of: dt.date,
     run_ts: dt.datetime,
@@ -56,6 +55,7 @@ def build_mart(
     refresh_removed_salesmen: bool = False,
     repair_late_stores: bool = False,
     threads: int = 3,
+    streamed: bool = False,
 ) -> JobResult:
     """Run one build. The four flags switch on the fixes of SURVEY Q2, Q12, Q3 and Q6 (off by
     default: the reference's behaviour).
@@ -66,70 +66,70 @@ def build_mart(
     ``buckets`` (hash buckets of the keyed core and mart tables) defaults to the session's
     ``spark.sql.shuffle.partitions``, which a cluster is already sized by (e.g. ~20k partitions for
     100 TB keeps a bucket at a few GB); it is fixed when a table is first written.
+
+    ``streamed``: staging is kept by ``streaming.stream.stream_staging``, whose batches are loads of the staging
+    tables; the build then starts from them, and ``landing_paths`` serve the freshness check only.
     """
     configure(spark)
     if buckets is None:
         buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-    store = TableStore(spark, warehouse)
-    versions = {}
-
-    def stage_and_core(t: str) -> dict:
-        spec, out = TABLES[t], {}
-        # staging: append documents landed after the table's high-water mark; a full refresh stages
-        # all of landing anew, so a document that landed late with an old stamp is repaired
-        wm = None if full_refresh else store.max_value(STG[t], "json_inserted_at", None)
-        landing = read_landing(spark, landing_paths[t], since=wm)
-        write = store.overwrite if full_refresh else store.append
-        out[STG[t]] = write(STG[t], shred(landing, spec, run_ts)).version
-
-        # core: latest row per id; first run / full refresh rebuilds, later runs merge the newer
-        # slice. Only staging folders appended since the core's last build are read: every row of
-        # an earlier folder has ts_ms <= the core's maximum (merged, or beaten by a newer row of its
-        # key), so it can never pass the strict slice predicate again. Each run reads O(new rows).
-        keep = t == "stores"
-        n_stg = len(store.current(STG[t]).paths)
-        if full_refresh or not store.exists(CORE[t]):
-            core = core_full(store.read(STG[t]), spec, run_ts, keep)
-            v = store.overwrite(CORE[t], core, Layout(buckets=buckets), key="id", meta={"staging_paths": n_stg})
+    tables = Tables(spark, warehouse)
+    load_id = f"run-{run_ts:%Y%m%dT%H%M%S.%f}"
+
+    def stage(t: str) -> None:
+        """Append documents landed after the table's high-water mark, which the newest load holds; a full refresh
+        stages all of landing anew, so a document that landed late with an old stamp is repaired."""
+        if full_refresh:
+            tables.replace(STG[t], shred(read_landing(spark, landing_paths[t]), TABLES[t], run_ts), load_id=load_id)
+        else:
+            wm = tables.max_of_newest_load(STG[t], "json_inserted_at")
+            tables.append(STG[t], shred(read_landing(spark, landing_paths[t], since=wm), TABLES[t], run_ts), load_id)
+
+    def stage_and_core(t: str) -> None:
+        if not streamed:
+            stage(t)
+        # core: latest row per id; first run / full refresh rebuilds, later runs merge the slice beyond the
+        # core's newest ts_ms, a pushed literal that skips the row groups of older loads
+        spec, keep = TABLES[t], t == "stores"
+        schema = shred(empty_landing(spark), spec, run_ts).schema
+        staged = tables.read(STG[t], schema)
+        if full_refresh or not tables.exists(CORE[t]):
+            tables.replace(CORE[t], core_full(staged, spec, run_ts, keep), "id", buckets)
         else:
-            done = store.current(CORE[t]).meta.get("staging_paths", 0)
-            staged = store.read(STG[t], skip_paths=done)
-            if staged is None:
-                v = store.touch(CORE[t], {"staging_paths": n_stg})
-            else:
-                inc = core_increment(store.read(CORE[t]), staged, spec, run_ts, keep)
-                v = store.upsert(CORE[t], inc, "id", meta={"staging_paths": n_stg})
-        out[CORE[t]] = v.version
-        return out
+            tables.merge(CORE[t], core_increment(tables.read(CORE[t]), staged, spec, run_ts, keep), "id")
 
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-        for done_versions in pool.map(stage_and_core, list(TABLES)):
-            versions.update(done_versions)
-
-    # phone hierarchy mart: rebuilt every run, clustered by phone
-    previous = store.read(PHONES) if stable_stamps and store.exists(PHONES) else None
-    phones = user_manager_phones(store.read(CORE["users"]), run_ts, own_phone_first=own_phone_first, previous=previous)
-    versions[PHONES] = store.overwrite(PHONES, phones, Layout(cluster_by=("user_phone",))).version
-
-    txn, stores, phones = store.read(CORE["transactions"]), store.read(CORE["stores"]), store.read(PHONES)
-    mart_layout = Layout(buckets=buckets, cluster_by=("merchant_code", "salesman_phone"))
-    if full_refresh or not store.exists(MART):
-        v = store.overwrite(MART, transaction_detail(txn, stores, phones, as_of, run_ts), mart_layout, key="transid")
+        list(pool.map(stage_and_core, TABLES))
+
+    # phone hierarchy mart: rebuilt every run, its files in ranges of the phone
+    previous = tables.read(PHONES) if stable_stamps and tables.exists(PHONES) else None
+    phones = user_manager_phones(tables.read(CORE["users"]), run_ts, own_phone_first=own_phone_first, previous=previous)
+    if previous is not None:  # a table cannot be replaced by a plan that reads it
+        path = scratch_path(spark, "phones")
+        phones.write.parquet(path)
+        phones = spark.read.parquet(path)
+    tables.replace(PHONES, phones, cluster_by=("user_phone",))
+
+    txn, stores, phones = tables.read(CORE["transactions"]), tables.read(CORE["stores"]), tables.read(PHONES)
+    cluster = ("merchant_code", "salesman_phone")
+    if full_refresh or not tables.exists(MART):
+        tables.replace(MART, transaction_detail(txn, stores, phones, as_of, run_ts), "transid", buckets, cluster)
     else:
-        mart = store.read(MART)
+        mart = tables.read(MART)
         inc = incremental_detail(
             txn, stores, phones, mart, as_of, run_ts, mart_watermarks(mart), refresh_removed_salesmen, repair_late_stores
         )
-        v = store.upsert(MART, inc, "transid", mart_layout)
-    versions[MART] = v.version
+        tables.merge(MART, inc, "transid", cluster)
 
-    mart = store.read(MART)
+    mart = tables.read(MART)
     rpt = report(mart)
     rpt.createOrReplaceTempView(REPORT_VIEW)
 
-    # source freshness of the stores landing (warn after 12 h, error after 24 h, measured at run_ts)
-    fresh = C.check_freshness(read_landing(spark, landing_paths["stores"]), "inserted_at", run_ts)
-    staged = store.read(STG["transactions"])
+    # source freshness of the stores landing (warn after 12 h, error after 24 h, measured at run_ts): its
+    # newest day holds the newest document
+    landed = newest_partition(spark.read.parquet(landing_paths["stores"]), PARTITION_COL)
+    fresh = C.check_freshness(landed, "inserted_at", run_ts)
+    staged = tables.read(STG["transactions"])
     checks = C.run_checks(
         [
             C.Check("landing_stores.freshness.warn", fresh.filter("status = 'warn'"), "warn"),
@@ -160,7 +160,7 @@ def build_mart(
             (rpt, C.not_null("report", "transid", "transaction_day", "gmv")),
         ],
     )
-    return JobResult(rpt, checks, versions)
+    return JobResult(rpt, checks)
 
 
 __all__ = ["build_mart", "JobResult", "EPOCH"]

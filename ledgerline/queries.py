@@ -1,8 +1,7 @@
 """Registered queries: one per operator, each reading the driver tables at ``sf_dir``.
 
-Every query runs the library's operators over whole tables (no sampling, caps or key subsets), but
-that ``shred_txn``, ``shred_store`` and ``shred_user`` return part of the columns of the first landed
-batch only, as their SQL does; ``shred_*_whole`` return every column of both batches.
+Every query runs the library's operators over whole tables (no sampling, caps or key subsets); ``shred_*``
+return the columns most used of all documents, ``shred_*_whole`` every column.
 ``ledgerline.oracle`` holds the equivalent DuckDB SQL. Arrays are returned as comma-joined sorted
 strings and VARIANTs as their JSON text, so both engines hash the same scalars.
 """
@@ -20,11 +19,15 @@ from .operators import checks as C
 from .operators.hierarchy import walk_hierarchy
 from .operators.latest import latest_per_key, slice_newer, slice_retention
 from .operators.mart import affected_keys, mart_watermarks
-from .operators.staging import shred, since_watermark
+from .operators.staging import shred, shred_or_quarantine, since_watermark
 from .plans.core import core_full, core_merge
+from .plans.job import CORE, MART, STG, TABLES, build_mart
 from .plans.scenario import Scenario
-from .session import configure
+from .plans.tables import Tables, newest_partition, save_bucketed, write_clustered
+from .session import configure, scratch_path
 from .sources import adapters as A
+from .sources.landing import PARTITION_COL, write_landing
+from .streaming.stream import staging_sink, stream_staging, stream_staging_once
 
 UTC = dt.timezone.utc
 CDC_RUN1 = dt.datetime(2024, 1, 15, 1, 0, tzinfo=UTC)
@@ -39,7 +42,7 @@ def _csv(c: str) -> Column:
 
 # ------------------------------------------------------------------------------------ shredding
 def q_shred_txn(spark: SparkSession, sf: str) -> DataFrame:
-    st = Scenario(spark, sf).staged("transactions", 1)
+    st = Scenario(spark, sf).staged_all("transactions")
     return st.select(
         "id", "__v", "transid", "partner_transid", "store_code", "merchant_code", "merchant_name", "amount",
         "initial_amount", "total_fee", "status", "currency", "partner_payment_at", "paid_at", "created_at",
@@ -49,7 +52,7 @@ def q_shred_txn(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_shred_store(spark: SparkSession, sf: str) -> DataFrame:
-    st = Scenario(spark, sf).staged("stores", 1)
+    st = Scenario(spark, sf).staged_all("stores")
     return st.select(
         "id", "__v", "code", "name", "merchant_code", "status", J.json_value("sale_info", "phone").alias("sale_phone"),
         "created_at", "approved_at", "rejected_at", "is_default", "is_supplier", "index", "manager_phone", "op", "ts_ms",
@@ -58,7 +61,7 @@ def q_shred_store(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_shred_user(spark: SparkSession, sf: str) -> DataFrame:
-    st = Scenario(spark, sf).staged("users", 1)
+    st = Scenario(spark, sf).staged_all("users")
     return st.select(
         "id", "__v", "name", "phone", "code", "status", "direct_manager", "created_at", "updated_at", "email",
         "op", "ts_ms", "json_inserted_at", "inserted_at",
@@ -234,7 +237,7 @@ def q_latest_per_key(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_latest_multi_sort(spark: SparkSession, sf: str) -> DataFrame:
-    return latest_per_key(_staged_all(spark, sf), "id", ["k", "ts_ms"]).select("id", "event_id", "k", "ts_ms")
+    return latest_per_key(_staged_all(spark, sf), "id", ["k", "ts_ms"], ["event_id"]).select("id", "event_id", "k", "ts_ms")
 
 
 def q_slice_newer(spark: SparkSession, sf: str) -> DataFrame:
@@ -300,12 +303,7 @@ def q_mart_merged(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_mart_job(spark: SparkSession, sf: str) -> DataFrame:
     """The end-to-end job (O-32) over stored tables: land batch 1, build; land batch 2, build
-    incrementally (bucket-scoped upserts of cores and mart); return the stored mart."""
-    from .plans.job import MART, TABLES, build_mart
-    from .plans.store import TableStore
-    from .session import scratch_path
-    from .sources.landing import write_landing
-
+    incrementally (bucket-scoped merges of cores and mart); return the stored mart."""
     sc = Scenario(spark, sf)
     root = scratch_path(spark, "mart-job")
     paths = {t: f"{root}/landing/{t}" for t in TABLES}
@@ -313,7 +311,74 @@ def q_mart_job(spark: SparkSession, sf: str) -> DataFrame:
         for t in TABLES:
             write_landing(sc.landing(t, batch), paths[t])
         build_mart(spark, paths, f"{root}/warehouse", A.AS_OF, run, buckets=16)
-    return _mart_out(TableStore(spark, f"{root}/warehouse").read(MART))
+    return _mart_out(Tables(spark, f"{root}/warehouse").read(MART))
+
+
+def q_stream_then_build(spark: SparkSession, sf: str) -> DataFrame:
+    """The job fed by streams (O-09): each batch lands, three streams stage it, the job builds from their tables.
+    The second transactions batch is staged once more, as Spark does after a failure, and must not count twice."""
+    sc = Scenario(spark, sf)
+    root = scratch_path(spark, "stream-then-build")
+    paths = {t: f"{root}/landing/{t}" for t in TABLES}
+    tables = Tables(spark, f"{root}/warehouse")
+    for batch, run in ((1, A.RUN1), (2, A.RUN2)):
+        streams = []
+        for t, spec in TABLES.items():
+            write_landing(sc.landing(t, batch), paths[t])
+            streams.append(stream_staging(tables, STG[t], paths[t], f"{root}/checkpoints/{t}", spec, run))
+        for s in streams:
+            s.awaitTermination()
+        if batch == 2:
+            staging_sink(tables, STG["transactions"], TABLES["transactions"], run)(sc.landing("transactions", 2), 1)
+        build_mart(spark, paths, tables.root, A.AS_OF, run, buckets=16, streamed=True)
+    return _mart_out(tables.read(MART))
+
+
+def q_merge_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """The mart of batch 1 as a bucketed table, the increment of batch 2 merged into it by key (O-11, O-22)."""
+    sc = Scenario(spark, sf)
+    tables = Tables(spark, scratch_path(spark, "merge-buckets"))
+    tables.replace("mart", sc.mart1(), "transid", buckets=16)
+    tables.merge("mart", sc.mart_increment(), "transid")
+    return _mart_out(tables.read("mart"))
+
+
+def q_layout_clustered(spark: SparkSession, sf: str) -> DataFrame:
+    """The mart written in ranges of merchant and salesman (O-14) and read back."""
+    path = scratch_path(spark, "layout-clustered")
+    write_clustered(Scenario(spark, sf).mart_full(), path, ["merchant_code", "salesman_phone"], spread_by=["transid"])
+    return _mart_out(spark.read.parquet(path))
+
+
+def q_full_refresh_staging(spark: SparkSession, sf: str) -> DataFrame:
+    """A document that lands late with old stamps is missed by the high-water marks; a full refresh of staging and
+    core repairs it (O-06). Late here: a newer state of every 13th order, landed behind the mark."""
+    sc = Scenario(spark, sf)
+    root = scratch_path(spark, "full-refresh")
+    paths = {t: f"{root}/landing/{t}" for t in TABLES}
+    for batch, run in ((1, A.RUN1), (2, A.RUN2)):
+        for t in TABLES:
+            write_landing(sc.landing(t, batch), paths[t])
+        if batch == 1:
+            build_mart(spark, paths, f"{root}/warehouse", A.AS_OF, run, buckets=16)
+    write_landing(A.late_txns_landing(spark, sf), paths["transactions"])
+    build_mart(spark, paths, f"{root}/warehouse", A.AS_OF, A.RUN2, full_refresh=True, buckets=16)
+    return Tables(spark, f"{root}/warehouse").read(CORE["transactions"]).select("id", "status")
+
+
+def q_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as JSON text, some of them broken: what is staged and what goes to quarantine (O-03), all in all."""
+    landed = A.events_text_landing(_events(spark, sf))
+    good, bad = shred_or_quarantine(landed, "id=_id.$oid:S event_id:INT k=p.k:INT", CDC_RUN1, key_path="_id.$oid")
+    good = good.select("event_id", F.lit("staged").alias("outcome"), "k")
+    return good.unionByName(bad.select(F.col("topic").cast("long").alias("event_id"), F.col("reason").alias("outcome"), F.lit(None).cast("long").alias("k")))
+
+
+def q_unique_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """Uniqueness (O-25) of a table bucketed by the key: the counts need no shuffle."""
+    path = scratch_path(spark, "bucketed")
+    table = save_bucketed(_staged_all(spark, sf).select("id", "event_id"), path, "id", buckets=16)
+    return C.check_unique(table, "id")
 
 
 def q_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -325,7 +390,10 @@ def _checks(spark: SparkSession, sf: str) -> dict[str, Callable[[], C.Check]]:
     sc = Scenario(spark, sf)
 
     def stores_landed() -> DataFrame:
-        return A.stores_landing(spark, sf, 1).unionByName(A.stores_landing(spark, sf, 2))
+        path = scratch_path(spark, "stores-landed")
+        for batch in (1, 2):
+            write_landing(sc.landing("stores", batch), path)
+        return newest_partition(spark.read.parquet(path), PARTITION_COL)
 
     return {
         "chk_not_null": lambda: C.Check("phone_mart.user_phone.not_null", C.check_not_null(sc.phones1(), "user_phone")),
@@ -360,8 +428,6 @@ def q_check_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_stream_staging(spark: SparkSession, sf: str) -> DataFrame:
-    from .streaming.stream import stream_staging_once
-
     return stream_staging_once(spark, sf)
 
 
@@ -393,6 +459,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_incremental": q_mart_incremental,
     "mart_merged": q_mart_merged,
     "mart_job": q_mart_job,
+    "stream_then_build": q_stream_then_build,
+    "merge_buckets": q_merge_buckets,
+    "layout_clustered": q_layout_clustered,
+    "full_refresh_staging": q_full_refresh_staging,
+    "quarantine": q_quarantine,
+    "unique_bucketed": q_unique_bucketed,
     "report": q_report,
     "chk_not_null": _check_query("chk_not_null", ["user_phone", "user_name", "agent_phone"]),
     "chk_unique": _check_query("chk_unique"),

@@ -228,6 +228,12 @@ def txns_landing(spark: SparkSession, sf_dir: str, batch: int = 1) -> DataFrame:
     return to_landing(t2, _txn_doc(), op, T2_TS, T2_LANDED, "payments.transactions")
 
 
+def late_txns_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A newer state of every 13th order that lands behind the high-water mark of batch 2."""
+    t = txn_rows(spark, sf_dir).filter(F.col("k") % 13 == 6).withColumn("status", F.lit("late"))
+    return to_landing(t, _txn_doc(), "u", T2_TS + dt.timedelta(hours=1), T1_LANDED, "payments.transactions")
+
+
 # ------------------------------------------------------------------------------ generic CDC
 CDC_SPEC = "id=_id.$oid:S event_id:INT event_type:S value:DOUBLE_PRECISION props:JSONB k=props.k:INT"
 CDC_CUT = dt.datetime(2024, 1, 15, tzinfo=UTC)
@@ -246,3 +252,21 @@ def events_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     ts = F.col("ts").cast("timestamp")
     return to_landing(e, doc, op, ts, ts, "events")
+
+
+def events_text_landing(e: DataFrame) -> DataFrame:
+    """Every event as JSON text under its envelope, five of nine kinds broken: cut short, a repeated key, no document,
+    no object, no key. ``topic`` holds the event's number, to find it again in quarantine."""
+    n = F.col("event_id").cast("string")
+    whole = F.concat(F.lit('{"_id":{"$oid":"e'), n, F.lit('"},"event_id":'), n, F.lit(',"p":'), F.col("props"), F.lit("}"))
+    kind = F.col("event_id") % 9
+    text = (
+        F.when(kind == 1, F.expr("substring(props, 1, length(props) - 1)"))
+        .when(kind == 2, F.concat(F.lit('{"a":1,"a":'), n, F.lit("}")))
+        .when(kind == 3, F.lit(None).cast("string"))
+        .when(kind == 4, F.concat(F.lit("["), n, F.lit("]")))
+        .when(kind == 5, F.concat(F.lit('{"_id":{},"event_id":'), n, F.lit("}")))
+        .otherwise(whole)
+    )
+    ts = F.col("ts").cast("timestamp")
+    return e.select(text.alias("data"), F.lit("c").alias("op"), n.alias("topic"), F.lit("events").alias("database_type"), ts.alias("ts_ms"), ts.alias("inserted_at"))

@@ -83,3 +83,9 @@ def read_landing(spark: SparkSession, path: str, since: dt.datetime | None = Non
         first_day = F.date_sub(F.to_date(F.lit(since)), 1)
         df = df.filter((F.col(PARTITION_COL) >= first_day) & (F.col("inserted_at") > F.lit(since)))
     return df.select(*ENVELOPE)
+
+
+def empty_landing(spark: SparkSession) -> DataFrame:
+    """No documents, with the envelope's columns: stands in where only a plan's schema is asked for."""
+    schema = "data variant, op string, topic string, database_type string, ts_ms timestamp, inserted_at timestamp"
+    return spark.createDataFrame([], schema)

@@ -1,50 +1,59 @@
-"""Streaming staging of landed files (O-09).
+"""Streaming staging of landed files (O-09), a sink that holds every batch exactly once.
 
 The CDC feed lands change documents as Parquet files; a Structured Streaming file source picks up
-each new file exactly once (its checkpoint is the high-water mark), every micro-batch is shredded
-with the same projection as batch staging, and written to ``<staging>/batch_id=<n>`` with
-overwrite. Re-running a micro-batch after a failure rewrites the same directory, so the sink is
-idempotent and the staging table never holds a batch twice.
+each new file exactly once (its checkpoint is the high-water mark), and every micro-batch is shredded
+with the same projection as batch staging and appended as one load of a staging table. The batch id is
+kept with the rows (``load_id``), and a load that is written again replaces itself: a micro-batch that
+Spark repeats after a failure leaves the table as it was. ``plans.job.build_mart(streamed=True)`` starts from
+these tables.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.staging import shred
+from ..plans.tables import Tables
 from ..session import configure, scratch_path
 from ..sources import adapters as A
 from ..sources.landing import ENVELOPE, write_landing
 
 
+def staging_sink(tables: Tables, name: str, spec, run_ts: dt.datetime | None = None) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function: the documents of micro-batch n become load ``stream-n`` of table ``name``.
+
+    ``run_ts=None`` stamps each micro-batch with its own start time (the warehouse's
+    ``CURRENT_TIMESTAMP()``); a fixed value makes reruns reproducible.
+    """
+
+    def write_batch(df: DataFrame, batch_id: int) -> None:
+        stamp = run_ts or dt.datetime.now(dt.timezone.utc)
+        tables.append(name, shred(df.select(*ENVELOPE), spec, stamp), f"stream-{batch_id:012d}")
+
+    return write_batch
+
+
 def stream_staging(
-    spark: SparkSession,
+    tables: Tables,
+    name: str,
     landing_path: str,
-    staging_path: str,
     checkpoint_path: str,
     spec,
     run_ts: dt.datetime | None = None,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
 ):
-    """Start the stream; with ``available_now`` it processes everything landed so far and stops.
-
-    ``run_ts=None`` stamps each micro-batch with its own start time (the warehouse's
-    ``CURRENT_TIMESTAMP()``); a fixed value makes reruns reproducible.
-    """
-    schema = spark.read.parquet(landing_path).schema
-    reader = spark.readStream.schema(schema)
+    """Start the stream into staging table ``name``; with ``available_now`` it processes everything landed so far
+    and stops."""
+    spark = tables.spark
+    reader = spark.readStream.schema(spark.read.parquet(landing_path).schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    src = reader.parquet(landing_path).select(*ENVELOPE)
-
-    def write_batch(df: DataFrame, batch_id: int) -> None:
-        stamp = run_ts or dt.datetime.now(dt.timezone.utc)
-        shred(df, spec, stamp).write.mode("overwrite").parquet(f"{staging_path}/batch_id={batch_id}")
-
-    w = src.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint_path)
+    w = reader.parquet(landing_path).writeStream.foreachBatch(staging_sink(tables, name, spec, run_ts))
+    w = w.option("checkpointLocation", checkpoint_path)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
@@ -54,11 +63,9 @@ def stream_staging_once(spark: SparkSession, sf_dir: str, run_ts: dt.datetime |
     configure(spark)
     root = scratch_path(spark, "stream-staging")
     write_landing(A.events_landing(spark, sf_dir), f"{root}/landing", files=spark.sparkContext.defaultParallelism)
-    q = stream_staging(
-        spark, f"{root}/landing", f"{root}/staging", f"{root}/_checkpoint", A.CDC_SPEC,
-        run_ts or dt.datetime(2024, 1, 15, 1, 0, tzinfo=dt.timezone.utc),
-    )
-    q.awaitTermination()
-    return spark.read.parquet(f"{root}/staging").select(
+    tables = Tables(spark, root)
+    run = run_ts or dt.datetime(2024, 1, 15, 1, 0, tzinfo=dt.timezone.utc)
+    stream_staging(tables, "staging", f"{root}/landing", f"{root}/_checkpoint", A.CDC_SPEC, run).awaitTermination()
+    return tables.read("staging").select(
         "id", "event_id", "event_type", "value", "k", "op", "ts_ms", "json_inserted_at", "inserted_at"
     )

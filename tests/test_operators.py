@@ -154,3 +154,48 @@ def test_row_checks_of_a_table_count_each_and_keep_severity(spark):
     assert got == {"t.a.not_null": (2, "fail"), "t.b.not_null": (2, "warn"), "t.a.is_1": (0, "pass")}
     empty = C.run_checks([], [(df.limit(0), rows)]).collect()
     assert [r.violations for r in empty] == [0, 0, 0]
+
+
+def test_phone_mart_spreads_users_without_a_phone(spark):
+    """Users without a phone form one group: its listed phones are made distinct by a shuffle on both columns
+    before they are collected, and the row is kept."""
+    users = spark.range(300).selectExpr(
+        "cast(id as string) as id", "if(id % 3 = 1, null, concat('p', id % 40)) as phone", "concat('n', id) as name",
+        "cast(id div 4 as string) as direct_manager", "'ACTIVE' as status", "timestamp_seconds(id) as inserted_at",
+    )
+    out = user_manager_phones(users, T(2024, 1, 1))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    deals = [line.split("hashpartitioning(")[1].split(", ENSURE")[0] for line in plan.split("\n") if "Exchange hashpartitioning(user_phone" in line]
+    assert len(deals) == 2 and any("hp#" in d for d in deals)  # first by both, then by the phone
+    (row,) = out.where("user_phone is null").collect()
+    people = {r.id: r for r in users.collect()}
+    listed, names = set(), []
+    for p in people.values():
+        if p.phone is None:
+            above, boss = [], p.direct_manager
+            for _ in range(6):
+                above.append(people[boss].phone)
+                boss = people[boss].direct_manager
+            found = [x for x in above if x is not None]
+            listed |= set(found)
+            names += [p.name] * bool(found)
+    assert row.hierarchy_phone == sorted(listed) and row.user_name == min(names)
+
+
+def test_walk_equals_a_recursive_query(spark):
+    """The unrolled joins against Spark's own recursion, on random managers with cycles and loops."""
+    import random
+
+    for seed in range(3):
+        rng = random.Random(seed)
+        n = 40
+        rows = [(str(i), rng.choice([None, str(rng.randrange(n)), str(i), "gone"]), rng.choice(["ACTIVE", "ACTIVE", "OFF", None])) for i in range(n)]
+        users = spark.createDataFrame(rows, "id string, direct_manager string, status string")
+        users.createOrReplaceTempView("people")
+        want = spark.sql("""
+            WITH RECURSIVE edge AS (SELECT id AS lower, direct_manager AS upper FROM people WHERE status = 'ACTIVE' AND direct_manager IS NOT NULL),
+            path (start, upper, depth) AS (
+              SELECT lower, upper, 1 FROM edge
+              UNION ALL SELECT p.start, e.upper, p.depth + 1 FROM path AS p JOIN edge AS e ON e.lower = p.upper WHERE p.depth < 6)
+            SELECT start, upper, depth FROM path""")
+        assert sorted(map(tuple, walk_hierarchy(users).collect())) == sorted(map(tuple, want.collect())), seed

@@ -1,14 +1,17 @@
-"""Snapshot store (bucket-scoped upsert, append, atomic versions) and the end-to-end job."""
+"""Tables as Parquet folders (loads, bucket-scoped merges, range-clustered files) and the end-to-end job."""
 
 import datetime as dt
+import glob
 import json
+import os
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators.upsert import DuplicateSourceKeys
-from ledgerline.plans.job import MART, PHONES, build_mart
-from ledgerline.plans.store import Layout, TableStore
+from ledgerline.plans.job import CORE, MART, PHONES, STG, TABLES, build_mart
+from ledgerline.plans.tables import Tables, newest_partition, save_bucketed, write_clustered
 from ledgerline.sources.landing import write_landing
 
 from . import seed
@@ -16,33 +19,137 @@ from . import seed
 UTC = dt.timezone.utc
 
 
-def test_store_upsert_rewrites_only_touched_buckets(spark, tmp_path):
-    st = TableStore(spark, str(tmp_path / "wh"))
-    base = spark.range(1000).select(F.col("id").alias("k"), F.lit("v1").alias("val"))
-    v1 = st.overwrite("t", base, Layout(buckets=16), key="k")
-    assert len(v1.buckets) == 16
-    src = spark.createDataFrame([(5, "v2"), (2000, "new")], "k long, val string")
-    v2 = st.upsert("t", src, "k")
-    changed = {b for b, p in v2.buckets.items() if p != v1.buckets.get(b)}
-    assert 1 <= len(changed) <= 2  # only the buckets of keys 5 and 2000
-    out = {r["k"]: r["val"] for r in st.read("t").collect()}
-    assert len(out) == 1001 and out[5] == "v2" and out[2000] == "new" and out[6] == "v1"
+def _files(path):
+    """Every data file below ``path`` with what tells whether it was written again."""
+    return {f: (os.stat(f).st_ino, os.stat(f).st_mtime_ns) for f in glob.glob(f"{path}/**/*.parquet", recursive=True)}
 
 
-def test_store_upsert_rejects_duplicate_source_keys(spark, tmp_path):
-    st = TableStore(spark, str(tmp_path / "wh"))
-    st.overwrite("t", spark.range(10).withColumnRenamed("id", "k"), Layout(buckets=4), key="k")
+def test_merge_writes_only_touched_buckets(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path))
+    tables.replace("t", spark.range(1000).select(F.col("id").alias("k"), F.lit("v1").alias("val")), "k", buckets=16)
+    before = _files(f"{tmp_path}/t")
+    assert len({os.path.dirname(f) for f in before}) == len(before) == 16  # one file a bucket
+    src = spark.createDataFrame([(5, "v2"), (2000, "new")], "k long, val string")
+    touched = tables.merge("t", src, "k")
+    assert 1 <= len(touched) <= 2
+    after = _files(f"{tmp_path}/t")
+    kept = {f: s for f, s in before.items() if int(f.split("_bucket=")[1].split("/")[0]) not in touched}
+    assert len(kept) == 16 - len(touched) and kept.items() <= after.items()
+    want = {**dict.fromkeys(range(1000), "v1"), 5: "v2", 2000: "new"}
+    assert {r["k"]: r["val"] for r in tables.read("t").collect()} == want
+    # a merge that is run again, say after a crash while it committed, changes nothing; the bucket count is remembered
+    assert tables.merge("t", src, "k") == touched
+    assert sorted(map(tuple, Tables(spark, str(tmp_path)).read("t").collect())) == sorted(want.items())
+    assert tables.merge("t", src.limit(0), "k") == []
+
+
+def test_merge_runs_its_source_once(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path))
+    tables.replace("t", spark.range(100).withColumnRenamed("id", "k"), "k", buckets=8)
+    runs = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            runs.add(b.num_rows)
+            yield b
+
+    tables.merge("t", spark.range(50, 150).withColumnRenamed("id", "k").mapInArrow(count, "k long"), "k")
+    assert runs.value == 100 and tables.read("t").count() == 150
+
+
+def test_merge_keys(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path))
+    tables.replace("t", spark.range(10).selectExpr("id as k", "cast(null as string) as v"), "k", buckets=4)
     with pytest.raises(DuplicateSourceKeys):
-        st.upsert("t", spark.createDataFrame([(1,), (1,)], "k long"), "k")
+        tables.merge("t", spark.createDataFrame([(1, "a"), (1, "b")], "k long, v string"), "k")
+    with pytest.raises(ValueError):
+        tables.replace("plain", spark.range(3))
+        tables.merge("plain", spark.range(3), "id")
+    # NULL keys match nothing: they are inserted
+    tables.merge("t", spark.createDataFrame([(None, "x"), (3, "y")], "k long, v string"), "k")
+    tables.merge("t", spark.createDataFrame([(None, "x")], "k long, v string"), "k")
+    rows = tables.read("t").collect()
+    assert len(rows) == 12 and [r.v for r in rows if r.k == 3] == ["y"] and sum(r.k is None for r in rows) == 2
+
+
+def test_loads_replace_themselves(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path))
+    assert not tables.exists("h") and tables.max_of_newest_load("h", "id", -1) == -1
+    tables.append("h", spark.range(3), "run-1")
+    first = _files(f"{tmp_path}/h")
+    tables.append("h", spark.range(3, 5), "run-2")
+    tables.append("h", spark.range(3, 6), "run-2")  # the same load again
+    tables.append("h", spark.range(0), "run-3")  # no rows, no folder
+    assert sorted(r.id for r in tables.read("h").collect()) == [0, 1, 2, 3, 4, 5]
+    assert first.items() <= _files(f"{tmp_path}/h").items() and len(os.listdir(f"{tmp_path}/h")) <= 4
+    assert tables.max_of_newest_load("h", "id") == 5
+    tables.replace("h", spark.range(2), load_id="run-4")
+    assert sorted(r.id for r in tables.read("h").collect()) == [0, 1]
+
+
+def test_newest_partition_reads_no_column(spark, tmp_path, capfd):
+    df = spark.range(100).selectExpr("id", "pmod(id, 5) as day")
+    df.write.partitionBy("day").parquet(str(tmp_path / "p"))
+    table = spark.read.parquet(str(tmp_path / "p"))
+    assert sorted(r.id for r in newest_partition(table, "day").collect()) == list(range(4, 100, 5))
+    plan = table.agg(F.max("day"))._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<>" in plan
+    plan = newest_partition(table, "day").agg(F.max("id"))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan
+    assert newest_partition(table.where("day > 9"), "day").count() == 0
+
+
+def _ranges(path, column):
+    out = []
+    for f in sorted(_files(path)):
+        m = pq.ParquetFile(f).metadata
+        i = m.schema.names.index(column)
+        stats = [m.row_group(g).column(i).statistics for g in range(m.num_row_groups)]
+        out.append((min(s.min for s in stats), max(s.max for s in stats)))
+    return sorted(out)
+
+
+def test_clustered_files_hold_ranges_that_hardly_overlap(spark, tmp_path):
+    df = spark.range(40_000).selectExpr("id", "if(id % 3 = 0, 7, pmod(xxhash64(id), 1000)) as c").repartition(8, "id")
+    write_clustered(df, str(tmp_path / "c"), ["c"], files=6, spread_by=["id"])
+    back = spark.read.parquet(str(tmp_path / "c"))
+    assert back.exceptAll(df).isEmpty() and back.count() == 40_000
+    ranges = _ranges(str(tmp_path / "c"), "c")
+    assert len(ranges) == 6 and all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+    # the value that a third of all rows have is cut over several files by the key
+    assert sum(lo <= 7 <= hi for lo, hi in ranges) >= 2
+    sizes = [pq.ParquetFile(f).metadata.num_rows for f in _files(str(tmp_path / "c"))]
+    assert max(sizes) < 2 * 40_000 / 6
+    for f in _files(str(tmp_path / "c")):
+        c = pq.ParquetFile(f).read(columns=["c"])["c"].to_pylist()
+        assert c == sorted(c)
+
+
+def test_clustered_with_value_partitions(spark, tmp_path):
+    df = spark.range(300).selectExpr("concat('p', id % 3) as p", "id as k")
+    write_clustered(df, str(tmp_path / "c"), ["k"], partition_by=["p"], files=3)
+    assert sorted(d for d in os.listdir(tmp_path / "c") if d[0] == "p") == ["p=p0", "p=p1", "p=p2"]
+    assert spark.read.parquet(str(tmp_path / "c")).select("p", "k").exceptAll(df).isEmpty()
+
+
+def test_clustering_survives_the_bucketed_write(spark, tmp_path):
+    df = spark.range(4000).selectExpr("id", "pmod(xxhash64(id), 1000) as c")
+    Tables(spark, str(tmp_path)).replace("t", df, "id", buckets=4, cluster_by=("c",))
+    files = _files(f"{tmp_path}/t")
+    assert len(files) == 4
+    for f in files:
+        c = pq.ParquetFile(f).read(columns=["c"])["c"].to_pylist()
+        assert c == sorted(c)
+
 
+def test_bucketed_table_is_counted_without_an_exchange(spark, tmp_path):
+    from ledgerline.operators.checks import check_unique
 
-def test_store_append_and_versions(spark, tmp_path):
-    st = TableStore(spark, str(tmp_path / "wh"))
-    assert not st.exists("h")
-    st.append("h", spark.range(3))
-    st.append("h", spark.range(3, 5))
-    assert st.read("h").count() == 5 and st.current("h").version == 2
-    assert st.max_value("h", "id", -1) == 4 and st.max_value("missing", "id", -1) == -1
+    table = save_bucketed(spark.range(1000).selectExpr("pmod(id, 900) as k", "id"), str(tmp_path / "bucketed_unique"), "k", 8)
+    check = check_unique(table, "k")
+    assert sorted(map(tuple, check.collect())) == [(k, 2) for k in range(100)]
+    assert "Exchange" not in check._jdf.queryExecution().executedPlan().toString()
+    assert len(_files(str(tmp_path / "bucketed_unique"))) == 8
 
 
 def _land(spark, root, docs_by_table, ts, landed, op="c"):
@@ -100,19 +207,63 @@ def test_job_incremental_run(spark, tmp_path):
     res3 = build_mart(spark, paths, wh, dt.date(2026, 7, 20), dt.datetime(2026, 7, 18, tzinfo=UTC), buckets=8)
     c = sorted(tuple(r) for r in res3.report.select(*cols).collect())
     assert c == a
-    st = TableStore(spark, wh)
-    assert st.read(PHONES).count() == 3 and st.read(MART).count() == 4
+    tables = Tables(spark, wh)
+    assert tables.read(PHONES).count() == 3 and tables.read(MART).count() == 4
+
+    # a run that is repeated, as after a crash half way, stages its load once
+    again = build_mart(spark, paths, wh, dt.date(2026, 7, 20), run2, buckets=8)
+    assert sorted(tuple(r) for r in again.report.select(*cols).collect()) == a
+    assert tables.read(STG["transactions"]).count() == 7 and tables.read(CORE["transactions"]).count() == 5
+
+
+def test_stable_stamps_in_the_job(spark, tmp_path):
+    root = str(tmp_path)
+    paths = {t: f"{root}/landing/{t}" for t in TABLES}
+    docs = {"users": seed.user_docs(), "stores": seed.store_docs(), "transactions": seed.txn_docs()}
+    _land(spark, f"{root}/landing", docs, seed.TS, seed.LANDED)
+    runs = [dt.datetime(2026, 7, d, 1, 0, tzinfo=UTC) for d in (16, 17)]
+    for run in runs:
+        build_mart(spark, paths, f"{root}/wh", dt.date(2026, 7, 20), run, buckets=4, stable_stamps=True)
+    stamps = {r.t for r in Tables(spark, f"{root}/wh").read(PHONES).select(F.unix_micros("inserted_at").alias("t")).collect()}
+    assert stamps == {int(runs[0].timestamp()) * 1_000_000}
 
 
-def test_store_layout_partition_and_cluster(spark, tmp_path):
-    st = TableStore(spark, str(tmp_path / "wh"))
-    df = spark.range(200).select((F.col("id") % 3).cast("string").alias("p"), F.col("id").alias("k"))
-    v = st.overwrite("t", df, Layout(buckets=4, cluster_by=("k",), partition_by=("p",)), key="k")
-    assert all("/_bucket=" in path for path in v.paths)
-    back = st.read("t")
-    assert sorted((r["p"], r["k"]) for r in back.collect()) == sorted((r["p"], r["k"]) for r in df.collect())
-    st.upsert("t", spark.createDataFrame([("9", 5)], "p string, k long"), "k")
-    assert {r["p"] for r in st.read("t").filter("k = 5").collect()} == {"9"}
+def test_streamed_job_counts_a_replayed_batch_once(spark, tmp_path):
+    from ledgerline.streaming.stream import staging_sink, stream_staging
+
+    root = str(tmp_path)
+    paths = {t: f"{root}/landing/{t}" for t in TABLES}
+    docs = {"users": seed.user_docs(), "stores": seed.store_docs(), "transactions": seed.txn_docs()}
+    _land(spark, f"{root}/landing", docs, seed.TS, seed.LANDED)
+    run = dt.datetime(2026, 7, 16, 1, 0, tzinfo=UTC)
+    tables = Tables(spark, f"{root}/wh")
+    for t, spec in TABLES.items():
+        stream_staging(tables, STG[t], paths[t], f"{root}/ckpt/{t}", spec, run).awaitTermination()
+        staging_sink(tables, STG[t], spec, run)(spark.read.parquet(paths[t]), 0)  # Spark repeats batch 0
+        assert tables.read(STG[t]).count() == len(docs[t])
+    streamed = build_mart(spark, paths, tables.root, dt.date(2026, 7, 20), run, buckets=4, streamed=True)
+    batch = build_mart(spark, paths, f"{root}/wh2", dt.date(2026, 7, 20), run, buckets=4)
+    assert sorted(map(str, streamed.report.collect())) == sorted(map(str, batch.report.collect()))
+    assert streamed.report.count() == 3
+
+
+def test_quarantine_takes_what_cannot_be_staged(spark):
+    from ledgerline.operators.staging import shred_or_quarantine
+
+    texts = ['{"_id":{"$oid":"a"},"n":1}', '{"_id":{"$oid":"b"}', '{"a":1,"a":2}', None, "[1]", "7", "null", "", '{"_id":{}}', '{"_id":{"$oid":null}}', '{"_id":{"$oid":"a"},"n":"x"}']
+    rows = [(t, "c", f"{i}", "db", seed.TS, seed.LANDED) for i, t in enumerate(texts)]
+    landed = spark.createDataFrame(rows, "data string, op string, topic string, database_type string, ts_ms timestamp, inserted_at timestamp")
+    good, bad = shred_or_quarantine(landed, "id=_id.$oid:S n:INT", seed.LANDED, key_path="_id.$oid")
+    assert sorted((r.id, r.n or 0) for r in good.collect()) == [("a", 0), ("a", 1)]
+    got = {int(r.topic): (r.data, r.reason) for r in bad.collect()}
+    assert got == {
+        1: (texts[1], "not parsable"), 2: (texts[2], "not parsable"), 3: (None, "no document"), 4: ("[1]", "not an object"), 5: ("7", "not an object"),
+        6: ("null", "not an object"), 7: ("", "not parsable"), 8: (texts[8], "no key"), 9: (texts[9], "no key"),
+    }
+    good, bad = shred_or_quarantine(landed, "id=_id.$oid:S n:INT", seed.LANDED)
+    assert good.count() == 4 and bad.count() == 7
+    none = landed.limit(0)
+    assert [d.count() for d in shred_or_quarantine(none, "id=_id.$oid:S", seed.LANDED)] == [0, 0]
 
 
 def test_shred_drop_columns(spark):
@@ -123,31 +274,6 @@ def test_shred_drop_columns(spark):
     assert "password" not in st.columns and len(st.columns) == 89 + 4
 
 
-def test_a_crashed_attempt_is_not_in_the_way(spark, tmp_path):
-    store = TableStore(spark, str(tmp_path))
-    store.append("t", spark.range(3))
-    # a run that wrote its folder and died before the commit
-    store._write(spark.range(7), store._data_dir("t", 2), Layout())
-    fresh = TableStore(spark, str(tmp_path))
-    assert fresh.append("t", spark.range(3, 5)).version == 2
-    assert sorted(r.id for r in TableStore(spark, str(tmp_path)).read("t").collect()) == [0, 1, 2, 3, 4]
-
-
-def test_clustering_survives_the_bucketed_write(spark, tmp_path):
-    import glob
-
-    import pyarrow.parquet as pq
-
-    store = TableStore(spark, str(tmp_path))
-    df = spark.range(4000).selectExpr("id", "pmod(xxhash64(id), 1000) as c")
-    store.overwrite("t", df, Layout(buckets=4, cluster_by=("c",)), key="id")
-    files = glob.glob(f"{tmp_path}/t/v=*/**/*.parquet", recursive=True)
-    assert files
-    for f in files:
-        c = pq.ParquetFile(f).read(columns=["c"])["c"].to_pylist()
-        assert c == sorted(c)
-
-
 def test_watermark_is_exact_where_clocks_are_set_back(spark):
     import os
     import time
