@@ -37,6 +37,7 @@ _ODD = re.compile("[\x1c-\x1f]")  # white space to ``re`` but not to the split p
 _CLASSES = [("l", regex.compile(r" ?\p{L}+")), ("n", regex.compile(r" ?\p{N}+")), ("s", regex.compile(r"\s+"))]
 _MORE = {k: regex.compile(p) for k, p in (("l", r"\p{L}+"), ("n", r"\p{N}+"), ("s", r"\s+"), ("o", r"[^\s\p{L}\p{N}]+"))}
 _PRETOKEN = regex.compile(SPLIT)
+PIECE = 4096  # characters fed to the transducer, and ids to the decoder, at once
 
 
 def byte_letters() -> dict[int, str]:
@@ -61,15 +62,11 @@ class MergeTable:
         for text, i in self.special.items():
             self.bytes_of[i] = text.encode()
         self.byte_id = np.array([vocab[letter[b]] for b in range(256)], dtype=np.int64)
+        self._byte = self.byte_id.tolist()
         self.merge: dict[tuple[int, int], tuple[int, int]] = {}
         for rank, pair in enumerate(model["merges"]):
             x, y = pair.split(" ") if isinstance(pair, str) else pair
             self.merge.setdefault((vocab[x], vocab[y]), (rank, vocab[x + y]))
-        keys = np.array([a << 32 | b for a, b in self.merge], dtype=np.int64)
-        order = np.argsort(keys)
-        self._keys = keys[order]
-        self._rank = np.array([r for r, _ in self.merge.values()], dtype=np.int64)[order]
-        self._to = np.array([t for _, t in self.merge.values()], dtype=np.int64)[order]
         self.lookahead = self._lookahead()
         self.longest = max((len(b) for b in self.bytes_of.values()), default=1)
 
@@ -92,6 +89,28 @@ class MergeTable:
 
     def tokenize(self, data: bytes) -> list[int]:
         """All tokens of one pre-token: lowest rank first, leftmost among equals."""
+        return self._scanned(data) if len(data) <= 64 else self._queued(data)
+
+    def _scanned(self, data: bytes) -> list[int]:
+        """For short data: look over the ranks of all neighbours for each merge."""
+        one, merge, top = self._byte, self.merge, (1 << 60, -1)
+        ids = [one[x] for x in data]
+        found = [merge.get(pair, top) for pair in zip(ids, ids[1:])]
+        while found:
+            best = min(found)
+            if best is top:
+                break
+            i = found.index(best)
+            ids[i : i + 2] = [best[1]]
+            del found[i]
+            if i:
+                found[i - 1] = merge.get((ids[i - 1], ids[i]), top)
+            if i < len(found):
+                found[i] = merge.get((ids[i], ids[i + 1]), top)
+        return ids
+
+    def _queued(self, data: bytes) -> list[int]:
+        """For long data: neighbours in a heap."""
         ids = self.byte_id[np.frombuffer(data, dtype=np.uint8)].tolist()
         n = len(ids)
         nxt, prv = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -115,44 +134,6 @@ class MergeTable:
                 heapq.heappush(heap, (m[0], prv[i], ids[prv[i]], t, m[1]))
         return [t for t in ids if t >= 0]
 
-    def tokenize_many(self, parts: list[bytes]) -> list[np.ndarray]:
-        """``tokenize`` of many short pre-tokens at once: each round merges in every one of them the
-        leftmost pair of lowest rank."""
-        out: list[np.ndarray] = [np.empty(0, np.int64)] * len(parts)
-        where = np.array([i for i, p in enumerate(parts) if p], dtype=np.int64)
-        if not len(where):
-            return out
-        ids = self.byte_id[np.frombuffer(b"".join(parts), dtype=np.uint8)]
-        size = np.array([len(parts[i]) for i in where], dtype=np.int64)
-        top = np.int64(len(self._keys))
-        while len(where):
-            ends = np.cumsum(size)
-            begins = ends - size
-            key = np.empty(len(ids), np.int64)
-            key[:-1] = ids[:-1] << 32 | ids[1:]
-            key[ends - 1] = -1
-            at = np.minimum(np.searchsorted(self._keys, key), top - 1)
-            rank = np.where(self._keys[at] == key, self._rank[at], top)
-            best = np.minimum.reduceat(rank, begins)
-            over = best == top
-            if over.any():
-                for k in np.flatnonzero(over).tolist():
-                    out[where[k]] = ids[begins[k] : ends[k]].copy()
-                stay = np.repeat(~over, size)
-                ids, rank, at = ids[stay], rank[stay], at[stay]
-                where, size, best = where[~over], size[~over], best[~over]
-                if not len(where):
-                    break
-                ends = np.cumsum(size)
-                begins = ends - size
-            hit = np.flatnonzero(rank == np.repeat(best, size))
-            owner = np.searchsorted(ends, hit, side="right")
-            first = hit[np.concatenate(([True], owner[1:] != owner[:-1]))]
-            ids[first] = self._to[at[first]]
-            ids = np.delete(ids, first + 1)
-            size = size - 1
-        return out
-
 
 class BpeStream:
     """Tokens of one pre-token fed in pieces; holds at most ``lookahead`` + ``slack`` bytes and a piece."""
@@ -161,7 +142,9 @@ class BpeStream:
         self.merges, self.held = merges, b""
         self.limit = merges.lookahead + max(slack, merges.longest)
 
-    def feed(self, data: bytes) -> Iterator[int]:
+    def feed(self, data: bytes) -> list[int]:
+        """The tokens that have become stable: nothing that may still come can change them."""
+        out: list[int] = []
         for at in range(0, len(data), self.limit):
             self.held += data[at : at + self.limit]
             if len(self.held) > self.limit:
@@ -170,8 +153,9 @@ class BpeStream:
                     if end + len(self.merges.bytes_of[t]) > stable:
                         break
                     end += len(self.merges.bytes_of[t])
-                    yield t
+                    out.append(t)
                 self.held = self.held[end:]
+        return out
 
     def finish(self) -> list[int]:
         data, self.held = self.held, b""
@@ -182,30 +166,36 @@ class TextStream:
     """Text in pieces -> token ids: special texts, pre-tokens and merges, all incremental.
 
     A pre-token is closed once three more characters are known (the longest contraction); one that
-    grows past ``long`` characters is handed to its ``BpeStream`` while it is still open. The last
+    grows past ``long`` characters is handed to the ``BpeStream`` while it is still open. The last
     white-space character of an open run is always kept back, since it may belong to the next word.
+    Short pre-tokens that were closed before are remembered, up to ``memo`` of them.
     """
 
-    def __init__(self, merges: MergeTable, long: int = 4096, slack: int = 4096):
-        self.merges, self.long, self.slack = merges, long, slack
-        self.buf, self.run, self.bpe = "", "", None
+    def __init__(self, merges: MergeTable, long: int = 4096, slack: int = 4096, memo: int = 200_000):
+        self.merges, self.long = merges, long
+        self.buf, self.run, self.bpe = "", "", BpeStream(merges, slack)
+        self.known: dict[str, list[int]] = {}
+        self.memo = memo
         s = sorted(merges.special, key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, s))) if s else None
         self.prefixes = {t[:n] for t in s for n in range(1, len(t))}
         self.keep = max(map(len, self.prefixes), default=0)
 
-    def feed(self, text: str) -> Iterator[int]:
+    def feed(self, text: str) -> list[int]:
         self.buf += text
-        yield from self._step(False)
+        return self._step(False)
 
-    def finish(self) -> Iterator[int]:
-        yield from self._step(True)
+    def finish(self, text: str = "") -> list[int]:
+        """The rest, with ``text`` as the last piece."""
+        self.buf += text
+        return self._step(True)
 
-    def _step(self, final: bool) -> Iterator[int]:
+    def _step(self, final: bool) -> list[int]:
+        out: list[int] = []
         while self.special and (m := self.special.search(self.buf)):
             seg, rest = self.buf[: m.start()], self.buf[m.end() :]
-            yield from self._split(seg, True)
-            yield self.merges.special[m.group()]
+            self._split(seg, True, out)
+            out.append(self.merges.special[m.group()])
             self.buf = rest
         end = len(self.buf)
         if not final:
@@ -214,40 +204,51 @@ class TextStream:
                     end -= n
                     break
         rest = self.buf[end:]
-        left = yield from self._split(self.buf[:end], final)
-        self.buf = left + rest
+        self.buf = self._split(self.buf[:end], final, out) + rest
+        return out
 
-    def _split(self, seg: str, final: bool):
+    def _closed(self, p: str) -> list[int]:
+        """A whole pre-token through the ``BpeStream``."""
+        got = self.known.get(p)
+        if got is None:
+            data = p.encode()
+            got = self.bpe.feed(data) + self.bpe.finish()
+            if len(p) <= 64:
+                if len(self.known) >= self.memo:
+                    self.known.clear()
+                self.known[p] = got
+        return got
+
+    def _split(self, seg: str, final: bool, out: list[int]) -> str:
         """Emit what is closed in ``seg``; returns what must wait (nothing, when ``final``)."""
         if self.run:
             m = _MORE[self.run].match(seg)
             end = m.end() if m else 0
             if end == len(seg) and not final:
                 keep = min(end, 1) if self.run == "s" else 0
-                yield from self.bpe.feed(seg[: end - keep].encode())
+                out += self.bpe.feed(seg[: end - keep].encode())
                 return seg[end - keep :]
             if self.run == "s" and end < len(seg):
                 end -= 1  # the last white-space character goes with what follows
-            yield from self.bpe.feed(seg[:end].encode())
-            yield from self.bpe.finish()
+            out += self.bpe.feed(seg[:end].encode())
+            out += self.bpe.finish()
             self.run, seg = "", seg[end:]
-        closed, at = [], 0
+        if final:
+            for p in _PRETOKEN.findall(seg):
+                out += self._closed(p)
+            return ""
+        at = 0
         for m in _PRETOKEN.finditer(seg):
-            if not final and m.end() + 3 > len(seg):
+            if m.end() + 3 > len(seg):
                 break
-            closed.append(m.group())
+            out += self._closed(m.group())
             at = m.end()
-        for p in closed:
-            s = BpeStream(self.merges, self.slack)
-            yield from s.feed(p.encode())
-            yield from s.finish()
         left = seg[at:]
-        if not final and len(left) > self.long:
+        if len(left) > self.long:
             self.run = next((k for k, p in _CLASSES if p.fullmatch(left)), "o" if _MORE["o"].fullmatch(left.removeprefix(" ")) else "")
             if self.run:
-                self.bpe = BpeStream(self.merges, self.slack)
                 keep = 1 if self.run == "s" else 0
-                yield from self.bpe.feed(left[: len(left) - keep].encode())
+                out += self.bpe.feed(left[: len(left) - keep].encode())
                 left = left[len(left) - keep :]
         return left
 
@@ -271,12 +272,15 @@ class Encoder:
 
     A unit is a run of white space and the non-white run after it. A pre-token always ends where
     white space follows a non-white character, and there the transducer holds nothing: its output
-    for a unit depends on that unit alone. The memo is bounded and only saves repeated work. Short
-    pre-tokens end before the lookahead is reached, so they are merged many at a time.
+    for a unit depends on that unit alone. Every unit not remembered is fed to the transducer, in pieces of
+    ``PIECE`` characters; ``fed`` counts these units and ``held`` is the most that the transducer has held, in
+    characters and bytes. The memo is bounded and only saves repeated work.
     """
 
-    def __init__(self, merges: MergeTable, memo: int = 500_000, long: int = 4096):
-        self.merges, self.limit, self.long = merges, memo, long
+    def __init__(self, merges: MergeTable, memo: int = 500_000, long: int = PIECE):
+        self.merges, self.limit = merges, memo
+        self.stream = TextStream(merges, long)
+        self.fed, self.held = 0, 0
         self._clear()
 
     def _clear(self) -> None:
@@ -285,31 +289,29 @@ class Encoder:
         self.offset = np.zeros(1, dtype=np.int64)
         self.count = 0
 
+    def _run(self, unit: str) -> Iterator[list[int]]:
+        """The transducer's output for a unit; it holds nothing before and after."""
+        s, at = self.stream, 0
+        while len(unit) - at > PIECE:
+            yield s.feed(unit[at : at + PIECE])
+            self.held = max(self.held, len(s.buf) + len(s.bpe.held))
+            at += PIECE
+        yield s.finish(unit[at:])
+
     def _learn(self, units: list[str]) -> None:
-        """Run the transducer over units not yet known and append their ids to the memo."""
-        odd = [u for u in units if len(u) > self.long or (self.merges.special and any(t in u for t in self.merges.special))]
-        known = set(odd)
-        short = [u for u in units if u not in known] if odd else units
-        plain: list[str] = []
-        n_parts = np.empty(len(short), np.int64)
-        for i, u in enumerate(short):
-            p = _PRETOKEN.findall(u)
-            n_parts[i] = len(p)
-            plain += p
-        index = {p: i for i, p in enumerate(dict.fromkeys(plain))}
-        parts = self.merges.tokenize_many([p.encode() for p in index])
-        flat = [parts[index[p]] for p in plain]
-        size = np.fromiter(map(len, flat), np.int64, len(flat))
-        size = np.diff(np.concatenate(([0], np.cumsum(size)))[np.concatenate(([0], np.cumsum(n_parts)))])
-        for u in odd:
-            ids = np.fromiter(encode_stream(self.merges, [u]), np.int32)
-            flat.append(ids)
-            size = np.append(size, len(ids))
+        """Feed units not yet known to the transducer and append their ids to the memo."""
+        flat: list[int] = []
+        ends = np.empty(len(units), np.int64)
+        for i, u in enumerate(units):
+            for ids in self._run(u):
+                flat += ids
+            ends[i] = len(flat)
         start = self.offset[self.count]
-        self.flat = np.concatenate([self.flat[:start], *flat], dtype=np.int32, casting="same_kind")
-        self.offset = np.concatenate([self.offset[: self.count + 1], start + np.cumsum(size)])
-        self.code.update(zip(short + odd, range(self.count, self.count + len(units))))
+        self.flat = np.concatenate([self.flat[:start], np.array(flat, dtype=np.int32)])
+        self.offset = np.concatenate([self.offset[: self.count + 1], start + ends])
+        self.code.update(zip(units, range(self.count, self.count + len(units))))
         self.count += len(units)
+        self.fed += len(units)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, ids per text) of some texts; pass groups of bounded size."""
@@ -377,7 +379,7 @@ def encode_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_
                 texts, at = [], 0
                 for k in n.tolist():
                     d = Decoder(bytes_of)
-                    texts.append(d.feed(ids[at : at + k].tolist()) + d.finish())
+                    texts.append("".join([*(d.feed(ids[i : min(i + PIECE, at + k)].tolist()) for i in range(at, at + k, PIECE)), d.finish()]))
                     at += k
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(n))).astype(np.int32)), pa.array(ids))
                 cols = [pa.array([r[0] for r in rows], b.schema.field("id").type), lists, pa.array(texts, pa.string())]
