@@ -78,7 +78,7 @@ def test_stream_has_constant_memory_and_equal_ids(library, step):
     stream, ids, held = bpe.TextStream(merges, long=64, slack=200), [], 0
     for at in range(0, len(text), step):
         ids += stream.feed(text[at : at + step])
-        held = max(held, len(stream.buf) + (len(stream.bpe.held) if stream.bpe else 0))
+        held = max(held, len(stream.buf) + len(stream.bpe.held))
     ids += stream.finish()
     assert ids == library.encode(text, add_special_tokens=False).ids
     assert held < merges.lookahead + 200 + merges.longest + 3 * step + 100
@@ -86,6 +86,21 @@ def test_stream_has_constant_memory_and_equal_ids(library, step):
     assert "".join(one.feed([i]) for i in ids) + one.finish() == text
 
 
+def test_every_unit_goes_through_the_transducer(library):
+    """What the query's encoder does: each different unit is fed once, and long ones in pieces, so that the
+    transducer never holds more than its lookahead, its slack and two pieces."""
+    merges = bpe.MergeTable(open(vocabulary("byte_bpe_50k.json"), encoding="utf-8").read())
+    texts = ["one two  two three", "", "x" * 300_000 + " tail", "\n" * 50_000 + "é" * 30_000, "one <|endoftext|> two", "\x1c odd"]
+    enc = bpe.Encoder(merges)
+    ids, n = enc.encode(texts)
+    assert [int(x) for x in ids] == [i for t in texts for i in library.encode(t, add_special_tokens=False).ids] and len(n) == len(texts)
+    units = {u for t in texts for u in ([t] if "\x1c" in t else bpe._UNIT.findall(t))}
+    assert enc.fed == len(units)
+    enc.encode(texts)
+    assert enc.fed == len(units)
+    assert 0 < enc.held <= merges.lookahead + 4096 + merges.longest + 2 * bpe.PIECE
+
+
 def test_lookahead_is_sufficient():
     """Random merge lists: no continuation changes a token that ends before the lookahead."""
     rng = random.Random(3)
@@ -110,7 +125,7 @@ def test_lookahead_is_sufficient():
             for _ in range(6):
                 more = text + bytes(rng.choice(b"ab") for _ in range(rng.randrange(1, 20)))
                 assert table.tokenize(more)[: len(stable)] == stable
-                assert table.tokenize_many([more])[0].tolist() == table.tokenize(more)
+                assert table._scanned(more) == table._queued(more)
 
 
 # --- 9: records -----------------------------------------------------------------------------------
@@ -434,3 +449,33 @@ def test_licences(spark):
         assert [(x.para, x.family) for x in r.licences] == want.get(r.row.doc_id, [])
     plan = licences.scan(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_finer_entries_leave_out_their_own_chunk(spark):
+    """Unrelated signatures that share one entry: no finer group holds nearly all of them, and a pair within the
+    signature distance shares at least one."""
+    rng = np.random.default_rng(2)
+    n = 600
+    sig = rng.integers(0, 1 << 16, (n, neardup.PLACES)).astype(np.uint16)
+    sig[:, : neardup.WIDTH] = sig[0, : neardup.WIDTH]  # the first chunk is the same in all
+    far = rng.choice(np.arange(neardup.WIDTH, neardup.PLACES), neardup.REACH, replace=False)
+    sig[1] = sig[0]
+    sig[1, far] += 1
+    key = int(neardup.entries(sig[:1])[0, 0])
+    reps = spark.createDataFrame([(i, s.tobytes()) for i, s in enumerate(sig)], "id long, sig binary")
+    members = spark.createDataFrame([(key, 0, i, i) for i in range(n)], "key long, slot int, id long, comp long")
+    fine = neardup._refined(members, reps)
+    assert max(r["count"] for r in fine.groupBy("key").count().collect()) <= 3
+    assert fine.where("id < 2").groupBy("key").count().where("count > 1").count() > 0
+    first = [int(x) for x in neardup._first_slot(sig[:1], sig[1:2], neardup.FINE, np.zeros(1, np.int64))]
+    assert {r.fine for r in fine.where("id < 2").groupBy("key", "fine").count().where("count > 1").collect()} >= set(first) and first[0] >= len(neardup._choices(neardup.WIDTH, neardup.FINE))
+
+
+def test_licences_of_repeated_rows_are_those_of_one(spark):
+    """Ten equal rows against one: the same lines, families and probabilities."""
+    texts = ["plain words here\nthis is licensed under a version of the public software", "Released under the MIT License.", "nothing at all\nof note", "Distributed under the ISC License."]
+    filler = [(100 + i, f"some ordinary line number {i}\nand another one of {i * 7} words") for i in range(60)]
+    once = spark.createDataFrame(list(enumerate(texts)) + filler, "doc_id long, text string")
+    many = spark.createDataFrame(list(enumerate(texts)) * 10 + filler, "doc_id long, text string").repartition(4)
+    found = lambda df: {(r.row.doc_id, tuple((x.para, x.family, round(x.prob, 9)) for x in r.licences)) for r in licences.scan(df).collect() if r.row.doc_id < 100}
+    assert found(once) == found(many)
