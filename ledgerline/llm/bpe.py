@@ -171,7 +171,7 @@ class TextStream:
     Short pre-tokens that were closed before are remembered, up to ``memo`` of them.
     """
 
-    def __init__(self, merges: MergeTable, long: int = 4096, slack: int = 4096, memo: int = 50_000):
+    def __init__(self, merges: MergeTable, long: int = 4096, slack: int = 4096, memo: int = 100_000):
         self.merges, self.long = merges, long
         self.buf, self.run, self.bpe = "", "", BpeStream(merges, slack)
         self.known: dict[str, list[int]] = {}
