@@ -12,7 +12,7 @@ import datetime as dt
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -170,10 +170,47 @@ def _row_counts(df: DataFrame, checks: Sequence[RowCheck]) -> DataFrame:
     return df.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
 
-def run_checks(checks: Iterable[Check], row_checks: Iterable[tuple[DataFrame, Sequence[RowCheck]]] = ()) -> DataFrame:
+class CheckedWrite:
+    """Row checks of a table counted by the very job that writes it (``DataFrame.observe``), so none scans it.
+
+    ``Tables`` calls ``watch`` on the rows on their way to the files, above the last shuffle: a task that runs again
+    there counts once. A merge writes some buckets only; it leaves the rows of the others in ``rest``, which are
+    the only ones that ``counts`` reads. One object serves one write.
+    """
+
+    def __init__(self, checks: Sequence[RowCheck]):
+        self.checks, self.rest, self._seen = list(checks), None, None
+
+    def watch(self, df: DataFrame) -> DataFrame:
+        if self._seen is not None:
+            raise ValueError("a CheckedWrite serves one write")
+        self._seen = Observation()
+        counts = [F.count_if(c.violated).alias(f"c{i}") for i, c in enumerate(self.checks)]
+        return df.observe(self._seen, F.count(F.lit(1)).alias("rows"), *counts)
+
+    def counts(self, spark: SparkSession) -> DataFrame:
+        """``check, severity, violations`` of the whole table; a merge that wrote nothing leaves all rows to ``rest``."""
+        got = self._seen.get if self._seen is not None else {}
+        rows = [
+            F.struct(F.lit(c.name).alias("check"), F.lit(c.severity).alias("severity"), F.lit(got.get(f"c{i}", 0)).cast("long").alias("violations"))
+            for i, c in enumerate(self.checks)
+        ]
+        out = spark.range(1).select(F.inline(F.array(*rows)))
+        if self.rest is not None:
+            both = out.unionByName(_row_counts(self.rest, self.checks))
+            out = both.groupBy("check", "severity").agg(F.sum("violations").alias("violations"))
+        return out
+
+
+def run_checks(
+    checks: Iterable[Check],
+    row_checks: Iterable[tuple[DataFrame, Sequence[RowCheck]]] = (),
+    written: Iterable[tuple[SparkSession, CheckedWrite]] = (),
+) -> DataFrame:
     """One report row per check: ``check, severity, violations, status`` (pass / warn / fail).
 
-    ``row_checks`` are (table, its row checks); each table is scanned once for all of them."""
+    ``row_checks`` are (table, its row checks); each table is scanned once for all of them. ``written`` holds
+    the checks that were counted while their tables were written."""
     parts = [
         c.violations.agg(F.count(F.lit(1)).alias("violations")).select(
             F.lit(c.name).alias("check"), F.lit(c.severity).alias("severity"), F.col("violations")
@@ -181,6 +218,7 @@ def run_checks(checks: Iterable[Check], row_checks: Iterable[tuple[DataFrame, Se
         for c in checks
     ]
     parts += [_row_counts(df, own) for df, own in row_checks if own]
+    parts += [w.counts(spark) for spark, w in written if w.checks]
     if not parts:
         raise ValueError("no checks given")
     out = parts[0]

@@ -108,18 +108,28 @@ def build_mart(
         path = scratch_path(spark, "phones")
         phones.write.parquet(path)
         phones = spark.read.parquet(path)
-    tables.replace(PHONES, phones, cluster_by=("user_phone",))
+    phone_checks = C.CheckedWrite(C.not_null("phones", "user_phone"))
+    tables.replace(PHONES, phones, cluster_by=("user_phone",), checks=phone_checks)
 
     txn, stores, phones = tables.read(CORE["transactions"]), tables.read(CORE["stores"]), tables.read(PHONES)
     cluster = ("merchant_code", "salesman_phone")
+    # counted as the mart is written; the report is a view of its columns, so its row checks are too
+    mart_checks = C.CheckedWrite(
+        [
+            *C.not_null("mart", "transid", "gmv", "commission", "source_inserted_at", "inserted_at"),
+            C.RowCheck("mart.commission.eq_0", ~F.expr("commission = 0")),
+            *C.not_null("report", "transid", "gmv"),
+            C.RowCheck("report.transaction_day.not_null", F.to_date("transaction_date").isNull()),
+        ]
+    )
     if full_refresh or not tables.exists(MART):
-        tables.replace(MART, transaction_detail(txn, stores, phones, as_of, run_ts), "transid", buckets, cluster)
+        tables.replace(MART, transaction_detail(txn, stores, phones, as_of, run_ts), "transid", buckets, cluster, checks=mart_checks)
     else:
         mart = tables.read(MART)
         inc = incremental_detail(
             txn, stores, phones, mart, as_of, run_ts, mart_watermarks(mart), refresh_removed_salesmen, repair_late_stores
         )
-        tables.merge(MART, inc, "transid", cluster)
+        tables.merge(MART, inc, "transid", cluster, checks=mart_checks)
 
     mart = tables.read(MART)
     rpt = report(mart)
@@ -149,16 +159,8 @@ def build_mart(
                     *C.not_null("stg_transactions", "ts_ms", "json_inserted_at", "inserted_at", "op"),
                 ],
             ),
-            (phones, C.not_null("phones", "user_phone")),
-            (
-                mart,
-                [
-                    *C.not_null("mart", "transid", "gmv", "commission", "source_inserted_at", "inserted_at"),
-                    C.RowCheck("mart.commission.eq_0", ~F.expr("commission = 0")),
-                ],
-            ),
-            (rpt, C.not_null("report", "transid", "transaction_day", "gmv")),
         ],
+        [(spark, phone_checks), (spark, mart_checks)],
     )
     return JobResult(rpt, checks)
 

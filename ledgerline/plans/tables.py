@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
+from ..operators.checks import CheckedWrite
 from ..operators.staging import max_value
 from ..operators.upsert import assert_unique_source, upsert
 from ..session import scratch_path
@@ -52,7 +53,8 @@ def newest_partition(df: DataFrame, partition_col: str) -> DataFrame:
 
 
 def write_clustered(
-    df: DataFrame, path: str, cluster_by: Sequence[str], partition_by: Sequence[str] = (), files: int | None = None, spread_by: Sequence[str] = ()
+    df: DataFrame, path: str, cluster_by: Sequence[str], partition_by: Sequence[str] = (), files: int | None = None, spread_by: Sequence[str] = (),
+    checks: CheckedWrite | None = None,
 ) -> None:
     """Write ``df`` so that each file holds a narrow range of ``cluster_by`` (O-14).
 
@@ -63,7 +65,8 @@ def write_clustered(
     """
     order = [*partition_by, *cluster_by, *spread_by]
     ranged = df.repartitionByRange(files, *order) if files else df.repartitionByRange(*order)
-    w = ranged.sortWithinPartitions(*order).write.mode("overwrite")
+    rows = ranged.sortWithinPartitions(*order)
+    w = (checks.watch(rows) if checks else rows).write.mode("overwrite")
     (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
 
 
@@ -112,26 +115,35 @@ class Tables:
         w = df.withColumn(LOAD, F.lit(load_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         w.partitionBy(LOAD).parquet(self.path(name))
 
-    def replace(self, name: str, df: DataFrame, key=None, buckets: int = 0, cluster_by: Sequence[str] = (), load_id: str = "") -> None:
+    def replace(
+        self, name: str, df: DataFrame, key=None, buckets: int = 0, cluster_by: Sequence[str] = (), load_id: str = "",
+        checks: CheckedWrite | None = None,
+    ) -> None:
         """The table holds exactly ``df`` from now on. ``df`` may not read the table itself.
 
         With ``key`` the table is bucketed for ``merge``; else ``cluster_by`` deals its rows by ranges, or ``load_id``
-        makes it one load."""
+        makes it one load. ``checks`` are counted as the rows are written."""
         if key:
-            self._write_buckets(df, name, _keys(key), buckets, cluster_by, "static")
-        elif cluster_by:
-            write_clustered(df, self.path(name), cluster_by)
-        elif load_id:
+            self._write_buckets(df, name, _keys(key), buckets, cluster_by, "static", checks)
+            return
+        if cluster_by:
+            write_clustered(df, self.path(name), cluster_by, checks=checks)
+            return
+        df = checks.watch(df) if checks else df
+        if load_id:
             w = df.withColumn(LOAD, F.lit(load_id)).write.mode("overwrite").option("partitionOverwriteMode", "static")
             w.partitionBy(LOAD).parquet(self.path(name))
         else:
             df.write.mode("overwrite").parquet(self.path(name))
 
-    def merge(self, name: str, source: DataFrame, key, cluster_by: Sequence[str] = ()) -> list[int]:
+    def merge(
+        self, name: str, source: DataFrame, key, cluster_by: Sequence[str] = (), checks: CheckedWrite | None = None
+    ) -> list[int]:
         """Upsert ``source`` on ``key`` (update matched, insert new, delete nothing); the buckets written.
 
         Rows of one key in the source raise, as in a warehouse MERGE. NULL keys match nothing and are
-        inserted. The list of touched buckets is bounded by their number.
+        inserted. The list of touched buckets is bounded by their number. ``checks`` are counted over the rows
+        written; the rows of the other buckets are left to them as ``rest``.
         """
         keys = _keys(key)
         target = self.raw(name)
@@ -149,12 +161,15 @@ class Tables:
         touched = sorted(r[BUCKET] for r in stats)
         if touched:
             old = target.where(F.col(BUCKET).isin(touched)).drop(BUCKET)
-            self._write_buckets(upsert(old, src.drop(BUCKET), keys), name, keys, n, cluster_by, "dynamic")
+            self._write_buckets(upsert(old, src.drop(BUCKET), keys), name, keys, n, cluster_by, "dynamic", checks)
+        if checks and len(touched) < n:
+            checks.rest = self.raw(name).where(~F.col(BUCKET).isin(touched)).drop(BUCKET)
         return touched
 
-    def _write_buckets(self, df: DataFrame, name: str, keys: list[str], n: int, cluster_by: Sequence[str], mode: str) -> None:
+    def _write_buckets(self, df: DataFrame, name: str, keys: list[str], n: int, cluster_by: Sequence[str], mode: str, checks: CheckedWrite | None = None) -> None:
         marked = [F.col(f"`{c}`").alias(c, metadata={_BUCKETS: n}) if c == keys[0] else F.col(f"`{c}`") for c in df.columns]
         # bucket i goes to task i: no two buckets share one, and each has one sorted run of files
         out = df.withColumn(BUCKET, bucket_of(keys, n)).repartitionById(n, F.col(BUCKET)).sortWithinPartitions(BUCKET, *cluster_by)
-        w = out.select(*marked, BUCKET).write.mode("overwrite").option("partitionOverwriteMode", mode)
+        out = out.select(*marked, BUCKET)
+        w = (checks.watch(out) if checks else out).write.mode("overwrite").option("partitionOverwriteMode", mode)
         w.partitionBy(BUCKET).parquet(self.path(name))

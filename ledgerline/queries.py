@@ -343,6 +343,26 @@ def q_merge_buckets(spark: SparkSession, sf: str) -> DataFrame:
     return _mart_out(tables.read("mart"))
 
 
+def q_checks_on_write(spark: SparkSession, sf: str) -> DataFrame:
+    """Row checks (O-24, O-27, O-31) counted while the mart is written and while the increment is merged into it."""
+    sc = Scenario(spark, sf)
+    tables = Tables(spark, scratch_path(spark, "checks-on-write"))
+
+    def checks(table: str) -> C.CheckedWrite:
+        return C.CheckedWrite(
+            [
+                *C.not_null(table, "transid", "gmv", "commission"),
+                C.RowCheck(f"{table}.salesman_phone.not_null", F.col("salesman_phone").isNull(), "warn"),
+                C.RowCheck(f"{table}.gmv.lt_300000", ~F.expr("gmv < 300000")),
+            ]
+        )
+
+    first, then = checks("first"), checks("merged")
+    tables.replace("mart", sc.mart1(), "transid", buckets=16, checks=first)
+    tables.merge("mart", sc.mart_increment(), "transid", checks=then)
+    return C.run_checks([], written=[(spark, first), (spark, then)])
+
+
 def q_layout_clustered(spark: SparkSession, sf: str) -> DataFrame:
     """The mart written in ranges of merchant and salesman (O-14) and read back."""
     path = scratch_path(spark, "layout-clustered")
@@ -461,6 +481,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mart_job": q_mart_job,
     "stream_then_build": q_stream_then_build,
     "merge_buckets": q_merge_buckets,
+    "checks_on_write": q_checks_on_write,
     "layout_clustered": q_layout_clustered,
     "full_refresh_staging": q_full_refresh_staging,
     "quarantine": q_quarantine,

@@ -152,6 +152,43 @@ def test_bucketed_table_is_counted_without_an_exchange(spark, tmp_path):
     assert len(_files(str(tmp_path / "bucketed_unique"))) == 8
 
 
+def _counts(write, spark):
+    return {r["check"]: r["violations"] for r in write.counts(spark).collect()}
+
+
+def test_checks_are_counted_by_the_write(spark, tmp_path):
+    """Equal to a scan of the whole table after a replace, a merge of some buckets and one of none; the write's own
+    job counts, so a replaced table is not read again."""
+    from ledgerline.operators.checks import CheckedWrite, RowCheck, run_checks
+
+    def checks():
+        return CheckedWrite([RowCheck("v.not_null", F.col("v").isNull(), "warn"), RowCheck("v.small", ~F.expr("v < 90"))])
+
+    tables = Tables(spark, str(tmp_path))
+    rows = spark.range(100).selectExpr("id as k", "if(id % 10 = 0, null, id) as v")
+    first = checks()
+    tables.replace("t", rows, "k", buckets=16, checks=first)
+    assert first.rest is None and "parquet" not in first.counts(spark)._jdf.queryExecution().executedPlan().toString()
+    assert _counts(first, spark) == {"v.not_null": 10, "v.small": 9}
+    some = checks()
+    touched = tables.merge("t", spark.createDataFrame([(0, 5), (500, None), (501, 700)], "k long, v long"), "k", checks=some)
+    assert 0 < len(touched) < 16 and some.rest is not None
+    assert _counts(some, spark) == {"v.not_null": 10, "v.small": 10}
+    none = checks()
+    tables.merge("t", rows.limit(0), "k", checks=none)
+    assert _counts(none, spark) == {"v.not_null": 10, "v.small": 10}
+    report = run_checks([], written=[(spark, some)]).collect()
+    assert {(r["check"], r["status"]) for r in report} == {("v.not_null", "warn"), ("v.small", "fail")}
+    # an empty table, a clustered one, a load
+    for kw in ({"key": "k", "buckets": 4}, {"cluster_by": ("k",)}, {"load_id": "run-1"}, {}):
+        for df, expected in ((rows, {"v.not_null": 10, "v.small": 9}), (rows.limit(0), {"v.not_null": 0, "v.small": 0})):
+            w = checks()
+            tables.replace(f"u{len(kw)}{'-'.join(kw)}", df, checks=w, **kw)
+            assert _counts(w, spark) == expected
+    with pytest.raises(ValueError):
+        w.watch(rows)
+
+
 def _land(spark, root, docs_by_table, ts, landed, op="c"):
     for t, docs in docs_by_table.items():
         write_landing(seed.landing(spark, docs, ts, landed, op), f"{root}/{t}")
