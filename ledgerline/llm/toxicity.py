@@ -11,8 +11,9 @@ fitting the unlabelled texts as clean one by one).
 
 Features are words and word beginnings of 4 to 7 letters that stand in a text once, twice or three
 times at least. Spark counts them over
-the training texts (summed per batch before the shuffle) and keeps the ones that confirmed texts have
-more often than chance; numpy then fits the weights on the sparse rows of the training texts. Scoring
+all training texts (summed in parts before the shuffle) and keeps the ones that confirmed texts have
+more often than chance, up to a number of features. Numpy then fits the weights on the sparse rows of a bounded
+sample of the training texts, so a feature that no sampled text has keeps the weight 0. Scoring
 is one narrow pass over whole texts.
 """
 
@@ -29,12 +30,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import packed
+from ledgerline.llm.common import packed, stored
 
 _WORDS = re.compile(r"\w+").findall
 LEVELS = (1, 2, 3)  # occurrences at which a word or beginning counts as a further feature
 MIN_GAIN = 9.0  # deviance a feature needs, about the logarithm of the number of features tried
-MAX_POSITIVE, MAX_UNLABELLED, MAX_FEATURES = 4000, 12000, 8192  # bounds of the training sample and the model
+MAX_POSITIVE, MAX_UNLABELLED, MAX_FEATURES = 4000, 12000, 8192  # bounds of the sample the weights are fitted on, and of the model
+PART = 1_000_000  # features of texts held before they are summed
 
 
 def _features(word: str) -> list[int]:
@@ -112,14 +114,17 @@ def fit_nnpu(cols: np.ndarray, starts: np.ndarray, positive: np.ndarray, n_featu
 def train(docs: DataFrame, positive: DataFrame, prior: float, id_col: str = "doc_id", text_col: str = "text", max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED, max_features: int = MAX_FEATURES) -> Model:
     """Fit on ``docs``, of which the rows whose id is in ``positive`` (one id column) are confirmed.
 
-    The sample is bounded by ``max_positive`` and ``max_unlabelled`` rows, taken in order of a hash of
-    the id; only its chosen features reach the driver. Null ids and texts, and ids of ``positive``
+    Features are counted over every text, confirmed or not, and the ``max_features`` of greatest gain are kept.
+    The weights are fitted on a sample bounded by ``max_positive`` and ``max_unlabelled`` rows, taken in order of
+    a hash of the id; only its chosen features reach the driver. Null ids and texts, and ids of ``positive``
     without a text, take no part. Without a confirmed text the model scores every text ``prior``.
     """
     prior = float(min(max(prior, 1e-3), 0.5))
     ids = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id")).where("id is not null").distinct()
-    marks = positive.select(F.col(positive.columns[0]).alias("id")).where("id is not null").distinct().withColumn("pos", F.lit(True))
-    marked = ids.join(marks, "id", "left").withColumn("pos", F.coalesce("pos", F.lit(False))).withColumn("h", F.xxhash64("id"))
+    # written, so that Spark knows their size and broadcasts them only while they are few
+    confirmed = stored(positive.select(F.col(positive.columns[0]).alias("id")).where("id is not null").distinct(), "confirmed")
+    marks = confirmed.withColumn("pos", F.lit(True))
+    marked = stored(ids.join(marks, "id", "left").withColumn("pos", F.coalesce("pos", F.lit(False))).withColumn("h", F.xxhash64("id")), "marked")
     # the unlabelled sample stands for all texts, so it may hold confirmed ones as well
     pos = {r.id for r in marked.where("pos").orderBy("h", "id").limit(max_positive).select("id").collect()}
     unl = {r.id for r in marked.orderBy("h", "id").limit(max_unlabelled).select("id").collect()}
@@ -129,22 +134,21 @@ def train(docs: DataFrame, positive: DataFrame, prior: float, id_col: str = "doc
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(side)  # at most max_positive + max_unlabelled ids
     sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    texts = sample.where("id is not null and text is not null").join(marks, "id", "left").select("text", F.coalesce("pos", F.lit(False)).alias("pos"))
 
     def count(batches):
-        side = shared.value
+        rows, found, held = _Rows(memo=50_000), ([], []), 0
         for b in batches:
-            rows, found, held = _Rows(), ([], []), 0
-            for i, t in zip(b["id"].to_pylist(), b["text"].to_pylist()):
-                if i in side and t is not None:
-                    got = np.array(rows(t), dtype=np.int64)
-                    for k in range(2):
-                        if side[i][k]:
-                            found[k].append(got)
-                            held += len(got)
-                if held > 1_000_000:  # counted in parts, so that memory stays bounded
+            for t, p in zip(b["text"].to_pylist(), b["pos"].to_pylist()):
+                got = np.array(rows(t), dtype=np.int64)
+                found[1].append(got)
+                if p:
+                    found[0].append(got)
+                held += len(got)
+                if held > PART:  # counted in parts, so that memory stays bounded
                     yield counted(found)
                     found, held = ([], []), 0
-            yield counted(found)
+        yield counted(found)
 
     def counted(found):
         none = np.empty(0, np.int64)
@@ -154,8 +158,8 @@ def train(docs: DataFrame, positive: DataFrame, prior: float, id_col: str = "doc
         a[: len(pos[0])], z[len(pos[0]) :] = pos[1], unl[1]
         return pa.RecordBatch.from_arrays([pa.array(f), pa.array(a), pa.array(z)], names=["f", "a", "z"])
 
-    n_pos, n_unl = len(pos), len(unl)
-    counts = sample.mapInArrow(count, "f long, a long, z long").groupBy("f").agg(F.sum("a").alias("a"), F.sum("z").alias("z"))
+    n_pos, n_unl = marked.agg(F.count_if("pos"), F.count("*")).first()
+    counts = texts.mapInArrow(count, "f long, a long, z long").groupBy("f").agg(F.sum("a").alias("a"), F.sum("z").alias("z"))
     # a feature is kept if chance would hardly give it so many confirmed texts (Poisson deviance)
     due = (F.col("a") + F.col("z")) * (n_pos / (n_pos + n_unl))
     gain = F.col("a") * F.log(F.col("a") / due) - F.col("a") + due

@@ -208,3 +208,18 @@ def test_negatives_empty(spark):
     assert negatives.mine(lone, F.col("id") % 3 == 0, F.col("label")).count() == 0
     vast = spark.createDataFrame([(i, i % 2, [1e30 * (i - 2), 1.0], 1, "v", 1, 0.1) for i in range(6)], VEC_SCHEMA)
     negatives.mine(vast, F.col("id") % 3 == 0, F.col("label")).collect()  # wraps, but does not crash
+
+
+def test_toxic_features_are_counted_over_all_texts(spark):
+    """Words rare within the fitted sample are features if the whole corpus holds them often enough."""
+    import zlib
+
+    from ledgerline.llm import toxicity
+
+    words = [f"vile{chr(97 + k)}" for k in range(8)]
+    rows = [(i, f"plain words here {words[i % 8]}" if i < 400 else f"plain words here and there {i}") for i in range(2000)]
+    docs = spark.createDataFrame([*rows, (None, "vilea"), (5000, None)], "doc_id long, text string").repartition(4)
+    marks = spark.createDataFrame([(i,) for i in range(400)], "doc_id long")
+    model = toxicity.train(docs, marks, 0.2, max_positive=16, max_unlabelled=60)
+    assert {1 << 32 | zlib.crc32(b"=" + w.encode()) for w in words} <= set(model.index)
+    assert toxicity.train(docs, marks.limit(0), 0.2).index == {}
