@@ -43,6 +43,13 @@ def runs(batches: Iterable, size, limit: int) -> Iterator[list]:
         yield group
 
 
+def slices(batches: Iterable, rows: int = 256) -> Iterator:
+    """The record batches in slices of ``rows`` rows, so that few texts are Python objects at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def components(edges: DataFrame, name: str = "components", max_rounds: int = 60) -> DataFrame:
     """(node, component): the smallest node reachable over undirected ``edges`` (a, b).
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import LAST, packed, runs, stored
+from ledgerline.llm.common import LAST, packed, runs, slices, stored
 
 GRAM = 32
 SLICE = 1 << 20  # bytes of text that one vector step handles
@@ -239,7 +239,7 @@ def _zipped(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         pack = zstandard.ZstdCompressor(level=1)
-        for b in batches:
+        for b in slices(batches):
             data = [pack.compress((t or "").encode("utf-8", "surrogatepass")) for t in b["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(data, pa.binary()) if f.name == "text" else b[f.name] for f in b.schema], names=b.schema.names)
 
@@ -255,8 +255,8 @@ def _fetched(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
 
     def run(batches):
         unpack = zstandard.ZstdDecompressor()
-        for b in batches:
-            out = ([], [], [], [], [])
+        for b in slices(batches):
+            out, held = ([], [], [], [], []), 0
             for o, rid, data, w in zip(b["o"].to_pylist(), b["rid"].to_pylist(), b["text"].to_pylist(), b["w"].to_pylist()):
                 raw = unpack.decompress(data)
                 for x in w:
@@ -273,9 +273,10 @@ def _fetched(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                     for key, at, text in parts:
                         for col, v in zip(out, (key, o, rid, at, text)):
                             col.append(v)
-                if len(out[0]) > 20_000:
-                    yield batch(out)
-                    out = ([], [], [], [], [])
+                    held += sum(len(text) for _, _, text in parts)
+                    if len(out[0]) > 20_000 or held > 1 << 22:
+                        yield batch(out)
+                        out, held = ([], [], [], [], []), 0
             if out[0]:
                 yield batch(out)
 
@@ -463,7 +464,7 @@ def remove_repeats(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
 
     def run(batches):
         unpack = zstandard.ZstdDecompressor()
-        for b in batches:
+        for b in slices(batches):
             kept, size, cut = [], [], []
             for data, spans in zip(b["text"].to_pylist(), b["spans"].to_pylist()):
                 raw = unpack.decompress(data)

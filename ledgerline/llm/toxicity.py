@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import packed, stored
+from ledgerline.llm.common import packed, slices, stored
 
 _WORDS = re.compile(r"\w+").findall
 LEVELS = (1, 2, 3)  # occurrences at which a word or beginning counts as a further feature
@@ -138,7 +138,7 @@ def train(docs: DataFrame, positive: DataFrame, prior: float, id_col: str = "doc
 
     def count(batches):
         rows, found, held = _Rows(memo=50_000), ([], []), 0
-        for b in batches:
+        for b in slices(batches):
             for t, p in zip(b["text"].to_pylist(), b["pos"].to_pylist()):
                 got = np.array(rows(t), dtype=np.int64)
                 found[1].append(got)
@@ -169,7 +169,7 @@ def train(docs: DataFrame, positive: DataFrame, prior: float, id_col: str = "doc
 
     def sparse(batches):
         side, rows = shared.value, _Rows(sent.value)
-        for b in batches:
+        for b in slices(batches):
             got = [(i, sorted(rows(t))) for i, t in zip(b["id"].to_pylist(), b["text"].to_pylist()) if i in side and t is not None]
             got = [(k == 0, f) for i, f in got for k in range(2) if side[i][k]]
             if got:
@@ -193,7 +193,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     def run(batches):
         m = sent.value
         rows = _Rows(m.index)
-        for b in batches:
+        for b in slices(batches):
             z = np.array([m.bias + sum(m.weights[k] for k in rows(t or "")) for t in b["text"].to_pylist()], dtype=np.float64)
             s = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
             yield pa.RecordBatch.from_arrays([b["row"], b["text"], pa.array(s)], names=["row", "text", "score"])
