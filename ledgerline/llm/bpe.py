@@ -28,7 +28,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from ledgerline.llm.common import runs
+from ledgerline.llm.common import runs, slices
 
 # Fixed value: the published split pattern of byte-level BPE vocabularies.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -373,7 +373,7 @@ def encode_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_
     def run(batches):
         enc = encoder(spec.value)
         bytes_of = enc.merges.bytes_of
-        for b in batches:
+        for b in slices(batches, 1024):
             for rows in runs(zip(b["id"].to_pylist(), b["text"].to_pylist()), lambda r: len(r[1] or ""), 1 << 20):
                 ids, n = enc.encode([t or "" for _, t in rows])
                 texts, at = [], 0

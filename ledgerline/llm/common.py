@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,10 +45,15 @@ def runs(batches: Iterable, size, limit: int) -> Iterator[list]:
 
 
 def slices(batches: Iterable, rows: int = 256) -> Iterator:
-    """The record batches in slices of ``rows`` rows, so that few texts are Python objects at a time."""
-    for b in batches:
-        for at in range(0, b.num_rows, rows):
-            yield b.slice(at, rows)
+    """The record batches in slices of ``rows`` rows, so that few texts are Python objects at a time. At the end of
+    a task its worker, which serves later ones too, gives free memory back to the system."""
+    try:
+        for b in batches:
+            for at in range(0, b.num_rows, rows):
+                yield b.slice(at, rows)
+    finally:
+        for pool in (pa.default_memory_pool(), pa.system_memory_pool()):
+            pool.release_unused()
 
 
 def components(edges: DataFrame, name: str = "components", max_rounds: int = 60) -> DataFrame:

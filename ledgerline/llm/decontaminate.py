@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerline.llm.common import packed, runs
+from ledgerline.llm.common import packed, runs, slices
 
 # Words: runs of 0-9, a-z and everything beyond ASCII, after lower-casing A-Z.
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -238,7 +238,7 @@ def find(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col
 def _pass(shared, window: int, shard_bytes: int, clean: bool):
     def run(batches):
         phrases = Phrases(shared.value, window)
-        for b in batches:
+        for b in slices(batches, 4096):
             texts, at = b["text"].to_pylist(), 0
             for group in runs(texts, lambda t: len(t or ""), shard_bytes):
                 n_words, spans, items = scan_shard(group, phrases)
