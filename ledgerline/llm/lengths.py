@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import runs
+from ledgerline.llm.common import runs, stored
 from ledgerline.llm.tokens import unit_encoder
 
 BLOCK = 1024  # lengths per block of the two-level suffix sum
@@ -44,9 +44,9 @@ def suffix_sums(hist: DataFrame) -> DataFrame:
 
     Two levels: a window inside each block of ``BLOCK`` lengths, and one over the blocks' totals.
     Only the latter is one task; it holds (longest length / ``BLOCK``) rows, whatever the corpus.
-    Repeated lengths are added up; null lengths are dropped.
+    Repeated lengths are added up; null lengths are dropped. The histogram is written once, as it is read twice.
     """
-    h = hist.where("n_tokens is not null").groupBy("n_tokens").agg(F.sum("n_docs").alias("n_docs"))
+    h = stored(hist.where("n_tokens is not null").groupBy("n_tokens").agg(F.sum("n_docs").alias("n_docs")), "lengths")
     h = h.withColumn("block", F.expr(f"n_tokens div {BLOCK}"))
     inside = Window.partitionBy("block").orderBy(F.desc("n_tokens"))
     above = Window.orderBy(F.desc("block")).rowsBetween(Window.unboundedPreceding, -1)

@@ -5,16 +5,21 @@ For a query, the pairs are visited in order of summed distance (the negative inn
 the query's halves and the pair's centroids) with a heap, until their cells hold enough entries; those
 are reranked by the exact inner product.
 
-Centroids are fitted on a bounded sample (``SAMPLE`` vectors); every vector is indexed. How many entries a
-query must visit is calibrated: a bounded sample of queries is searched exhaustively in one pass over
-the index, and the number is the smallest with which the cells visited would have held ``target`` of their
-true neighbours. Rerank blocks are cells of one first-half centroid, split into parts of bounded size;
-a query goes to a part once, with the list of the second-half centroids it visits there.
+Centroids are fitted on a bounded sample (``SAMPLE`` vectors); every vector is indexed. Their number grows with
+the square root of the table (``centroids_for``), so that cells stay small; at ``CENTROIDS[1]`` of a half it stays,
+which bounds the heap's steps and the table of cell sizes. How many entries a query must visit is calibrated:
+a bounded sample of queries is searched exhaustively in one pass over the index, and the number is the
+smallest with which the cells visited would have held ``target`` of their true neighbours.
+
+Rerank blocks are sections (neighbouring first-half centroids), split into parts of bounded size. Cells are visited in
+order of their sum, so the last sum tells which cells they were: a query goes to each part of the sections that
+it visits once, with that one number.
 """
 
 from __future__ import annotations
 
 import heapq
+import math
 
 import numpy as np
 import pandas as pd
@@ -24,7 +29,8 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import stored
 
-SAMPLE, CENTROIDS, PROBES = 20_000, 32, 200
+SAMPLE, CENTROIDS, PROBES = 20_000, (32, 256), 200
+SECTIONS = 32  # most sections a query is sent to
 PART, QUERY_PART = 8192, 2048  # entries and queries of one rerank block
 
 
@@ -56,15 +62,23 @@ def _kmeans(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return c
 
 
-def fit(vectors: DataFrame, centroids: int = CENTROIDS, sample: int = SAMPLE) -> np.ndarray | None:
-    """Centroids (2, k, ceil(d / 2)) of the halves, from ``sample`` vectors in order of a hash of the id."""
+def centroids_for(n: int) -> int:
+    """Centroids of each half for ``n`` vectors: about as many cells as vectors, within ``CENTROIDS``."""
+    return min(CENTROIDS[1], max(CENTROIDS[0], math.ceil(math.sqrt(n))))
+
+
+def fit(vectors: DataFrame, centroids: int, sample: int = SAMPLE) -> np.ndarray | None:
+    """Centroids (2, k, ceil(d / 2)) of the halves, from ``sample`` vectors in order of a hash of the id. Those of the
+    first half stand in order along the direction of their widest spread, so that a section is one region."""
     rows = vectors.orderBy(F.xxhash64("id"), "id").limit(sample).select("vec").toArrow()["vec"].combine_chunks()
     x = _matrix(pa.concat_arrays(rows.chunks) if isinstance(rows, pa.ChunkedArray) else rows)
     if not len(x):
         return None
     half = -(-x.shape[1] // 2)
     x = np.pad(x, ((0, 0), (0, 2 * half - x.shape[1])))
-    return np.stack([_kmeans(x[:, h * half : (h + 1) * half], min(centroids, len(x))) for h in range(2)])
+    first, second = (_kmeans(x[:, h * half : (h + 1) * half], min(centroids, len(x))) for h in range(2))
+    along = np.linalg.svd(first - first.mean(axis=0), full_matrices=False)[2][0]
+    return np.stack([first[np.argsort(first @ along, kind="stable")], second])
 
 
 def _halves(x: np.ndarray, half: int) -> tuple[np.ndarray, np.ndarray]:
@@ -89,37 +103,38 @@ def index(vectors: DataFrame, centers: np.ndarray) -> DataFrame:
 def visit(d1: np.ndarray, d2: np.ndarray, count: np.ndarray, enough: int) -> list[tuple[int, int]]:
     """Centroid pairs in order of ``d1[i] + d2[j]`` until their cells hold ``enough`` entries.
 
-    Multi-sequence search: the halves are sorted, the heap holds the frontier, and a pair is pushed when
-    both its predecessors are done.
+    Multi-sequence search: the halves are sorted, and the heap holds the next pair of each sorted row; a row
+    enters it when the first pair of the row before is done.
     """
     o1, o2 = np.argsort(d1, kind="stable"), np.argsort(d2, kind="stable")
     s1, s2 = d1[o1].tolist(), d2[o2].tolist()
     size = count[np.ix_(o1, o2)].tolist()
     o1, o2 = o1.tolist(), o2.tolist()
     heap, out, held = [(s1[0] + s2[0], 0, 0)], [], 0
-    reached = [0] * len(s1)  # how many of each row are done
     while heap and held < enough:
-        _, i, j = heapq.heappop(heap)
-        reached[i] = j + 1
+        _, i, j = heap[0]
         if size[i][j]:
             held += size[i][j]
             out.append((o1[i], o2[j]))
-        if i + 1 < len(s1) and reached[i + 1] == j:
-            heapq.heappush(heap, (s1[i + 1] + s2[j], i + 1, j))
-        if j + 1 < len(s2) and (i == 0 or reached[i - 1] > j + 1):
-            heapq.heappush(heap, (s1[i] + s2[j + 1], i, j + 1))
+        if j + 1 < len(s2):
+            heapq.heapreplace(heap, (s1[i] + s2[j + 1], i, j + 1))
+        else:
+            heapq.heappop(heap)
+        if j == 0 and i + 1 < len(s1):
+            heapq.heappush(heap, (s1[i + 1] + s2[0], i + 1, 0))
     return out
 
 
 def _top(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, ids: np.ndarray, k: int, allowed=None):
     """(query, id, score) of the ``k`` best per query, ties to smaller ids; scores are summed the same way
-    wherever a vector stands, so equal vectors have equal scores."""
+    wherever a vector stands, so equal vectors have equal scores. ``allowed`` tells, for a range of the queries, which
+    entries each may have."""
     out = []
     for at in range(0, len(q), 256):
         s = q[at : at + 256] @ x.T
         s[q_ids[at : at + 256, None] == ids] = -np.inf
         if allowed is not None:
-            s[~allowed[at : at + 256]] = -np.inf
+            s[~allowed(at, at + 256)] = -np.inf
         least = np.partition(s, -k, axis=1)[:, -k] if s.shape[1] > k else np.full(len(s), -np.inf)
         row, col = np.nonzero((s >= (least - 1e-9 * np.maximum(1, np.abs(least)))[:, None]) & (s > -np.inf))
         exact = np.einsum("ij,ij->i", q[at + row], x[col])
@@ -160,11 +175,10 @@ def calibrate(indexed: DataFrame, centers: np.ndarray, count: np.ndarray, k: int
     needed = []
     for query_id, rows in true.groupby("query_id"):
         a, b = _halves(vec[query_id][None], centers.shape[2])
-        held, before = 0, {}
-        for c1, c2 in visit(-(centers[0] @ a[0]), -(centers[1] @ b[0]), count, total):
-            before[c1, c2] = held
-            held += int(count[c1, c2])
-        needed += [before[x, y] + 1 for x, y in zip(rows["c1"], rows["c2"])]
+        order = np.argsort(-((centers[0] @ a[0])[:, None] + centers[1] @ b[0]), axis=None, kind="stable")
+        before = np.empty(count.size, np.int64)  # entries in the cells that the heap would give earlier
+        before[order] = np.cumsum(count.ravel()[order]) - count.ravel()[order]
+        needed += (before[rows["c1"] * count.shape[1] + rows["c2"]] + 1).tolist()
     return int(np.quantile(needed, target, method="higher")) if needed else total
 
 
@@ -172,43 +186,50 @@ def search(indexed: DataFrame, queries: DataFrame, centers: np.ndarray, count: n
     """(query_id, rank, id, score): for each of ``queries`` (id, vec), the ``k`` best of the entries visited."""
     sent = indexed.sparkSession.sparkContext.broadcast((centers, count))  # bounded: 2 k d/2 and k * k numbers
 
+    k1 = count.shape[0]
+
     def route(batches):
         centers, count = sent.value
         for b in batches:
             if not b.num_rows:
                 continue
-            row, first, second = [], [], []
+            row, section, last = [], [], []
             for i, (x, y) in enumerate(zip(*_halves(_matrix(b["vec"]), centers.shape[2]))):
-                by: dict[int, list[int]] = {}
-                for c1, c2 in visit(-(centers[0] @ x), -(centers[1] @ y), count, enough):
-                    by.setdefault(c1, []).append(c2)
-                row += [i] * len(by)
-                first += by.keys()
-                second += by.values()
+                d1, d2 = -(centers[0] @ x), -(centers[1] @ y)
+                cells = visit(d1, d2, count, enough)
+                here = sorted({c1 * SECTIONS // k1 for c1, _ in cells})
+                row += [i] * len(here)
+                section += here
+                last += [float(d1[cells[-1][0]] + d2[cells[-1][1]])] * len(here)
             take = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_arrays([b["id"].take(take), b["vec"].take(take), pa.array(first, pa.int32()), pa.array(second, pa.list_(pa.int32()))], names=["query_id", "q", "c1", "cells"])
+            yield pa.RecordBatch.from_arrays([b["id"].take(take), b["vec"].take(take), pa.array(section, pa.int32()), pa.array(last, pa.float64())], names=["query_id", "q", "section", "last"])
 
-    asked = queries.mapInArrow(route, "query_id long, q array<double>, c1 int, cells array<int>")
-    parts = lambda df, key, size: df.groupBy("c1").agg(F.ceil(F.count("*") / size).cast("int").alias(key))
+    asked = queries.mapInArrow(route, "query_id long, q array<double>, section int, last double")
+    indexed = indexed.withColumn("section", F.expr(f"cast((c1 * {SECTIONS}) div {k1} as int)"))
+    parts = lambda df, key, size: df.groupBy("section").agg(F.ceil(F.count("*") / size).cast("int").alias(key))
     n_parts, q_parts = parts(indexed, "parts", PART), parts(asked, "q_parts", QUERY_PART)
-    both = n_parts.join(q_parts, "c1")
-    left = asked.join(both, "c1").withColumn("qp", F.pmod(F.xxhash64("query_id"), F.col("q_parts")).cast("int"))
-    left = left.select("query_id", "q", "cells", "c1", "qp", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    right = indexed.join(both, "c1").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    right = right.select("id", "vec", "c2", "c1", "part", F.explode(F.sequence(F.lit(0), F.col("q_parts") - 1)).alias("qp"))
+    both = n_parts.join(q_parts, "section")
+    left = asked.join(both, "section").withColumn("qp", F.pmod(F.xxhash64("query_id"), F.col("q_parts")).cast("int"))
+    left = left.select("query_id", "q", "last", "section", "qp", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+    right = indexed.join(both, "section").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    right = right.select("id", "vec", "c1", "c2", "section", "part", F.explode(F.sequence(F.lit(0), F.col("q_parts") - 1)).alias("qp"))
 
     def rerank(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if not len(a) or not len(b):
             return pd.DataFrame({"query_id": [], "id": [], "score": []}).astype({"query_id": "int64", "id": "int64"})
-        allowed = np.zeros((len(a), count_side), dtype=bool)
-        for i, cells in enumerate(a["cells"]):
-            allowed[i, cells] = True
-        x, c2 = np.stack(b["vec"].to_numpy()), b["c2"].to_numpy()
-        q, i, s = _top(np.stack(a["q"].to_numpy()), a["query_id"].to_numpy(), x, b["id"].to_numpy(), k, allowed[:, c2])
+        centers, _ = sent.value
+        q, c1, c2 = np.stack(a["q"].to_numpy()), b["c1"].to_numpy(), b["c2"].to_numpy()
+        d1, d2 = (-(x @ c.T) for x, c in zip(_halves(q, centers.shape[2]), centers))
+        last = a["last"].to_numpy()
+        last = (last + 1e-9 * np.maximum(1, np.abs(last)))[:, None]  # sums may be rounded otherwise than by the heap
+
+        def allowed(begin, end):
+            return d1[begin:end, c1] + d2[begin:end, c2] <= last[begin:end]
+
+        q, i, s = _top(q, a["query_id"].to_numpy(), np.stack(b["vec"].to_numpy()), b["id"].to_numpy(), k, allowed)
         return pd.DataFrame({"query_id": q, "id": i, "score": s})
 
-    count_side = count.shape[1]
-    keys = ("c1", "part", "qp")
+    keys = ("section", "part", "qp")
     found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(rerank, "query_id long, id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
@@ -223,7 +244,7 @@ def nearest(table: DataFrame, is_query, k: int = 20, target: float = 0.97, id_co
     and no row is a neighbour of its own id. Fewer candidates than ``k`` give fewer rows.
     """
     vectors = usable(table, id_col, vec_col).dropDuplicates(["id", "vec"])
-    centers = fit(vectors)
+    centers = fit(vectors, centroids_for(vectors.count()))
     if centers is None:
         return vectors.selectExpr("id as query_id", "cast(null as int) as rank", "id", "cast(null as double) as score").where("false")
     indexed = stored(index(vectors, centers), "multi_index")

@@ -395,6 +395,33 @@ def test_nearest(spark):
     assert multiindex.nearest(few.where("false"), F.col("id") == 0).count() == 0
 
 
+def test_centroids_grow_and_few_entries_are_visited(spark):
+    """6,000 clustered vectors: recall against brute force, and how many entries a query visits."""
+    assert [multiindex.centroids_for(n) for n in (0, 1000, 2000, 50_000, 10**9)] == [32, 32, 45, 224, 256]
+    rng = np.random.default_rng(5)
+    n = 6000
+    x = rng.normal(size=(60, 24))[rng.integers(0, 60, n)] + 0.4 * rng.normal(size=(n, 24))
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(4)
+    vectors = multiindex.usable(table, "vec_id", "embedding")
+    centers = multiindex.fit(vectors, multiindex.centroids_for(n))
+    assert centers.shape == (2, 78, 12)
+    indexed = multiindex.index(vectors, centers)
+    count = np.zeros((78, 78), dtype=np.int64)
+    for r in indexed.groupBy("c1", "c2").count().collect():
+        count[r.c1, r.c2] = r["count"]
+    assert multiindex.calibrate(indexed, centers, count, 20, 0.97) < n / 4
+    got = {}
+    for r in multiindex.nearest(table, F.col("id") % 20 == 0, k=20).collect():
+        got.setdefault(r.query_id, set()).add(r.id)
+    hits = 0
+    for q, found in got.items():
+        s = x @ x[q]
+        s[q] = -np.inf
+        hits += len(found & set(np.argsort(-s)[:20].tolist()))
+        assert len(found) == 20
+    assert len(got) == n // 20 and hits >= 0.9 * 20 * len(got)
+
+
 def test_multi_sequence_order():
     rng = np.random.default_rng(1)
     a, b, n = rng.normal(size=7), rng.normal(size=7), rng.integers(0, 3, size=(7, 7))
