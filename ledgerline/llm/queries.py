@@ -101,7 +101,9 @@ SHARD_BYTES = 1 << 20
 
 @query
 def op3_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.assign(table(spark, sf_dir, "documents"), SHARD_BYTES).select(F.col("id").alias("doc_id"), "n_bytes", "shard", "depth", "shard_bytes")
+    docs, path = table(spark, sf_dir, "documents"), scratch_path(spark, "shards")
+    sharding.write_shards(docs, SHARD_BYTES, path)
+    return sharding.read_shards(docs, path).select("row.doc_id", "n_bytes", "shard", "depth", "shard_bytes")
 
 
 ORACLE_SQL["op3_extendible_shards"] = f"""

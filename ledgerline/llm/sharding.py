@@ -7,7 +7,7 @@ next bit, until every shard fits; what fits keeps its short prefix.
 
 Splits need no passes over the texts: one aggregate gives the bytes of all prefixes of a depth that
 the total suggests, the levels above are sums of it, and only prefixes that are still too large are
-looked at deeper, round by round. Rows move by (id, bytes, hash) alone.
+looked at deeper, round by round. Rows move by (id, bytes, hash) alone; ``write_shards`` then moves the texts once.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import row_key, stored
+from ledgerline.llm.common import packed, row_key, stored
 
 BITS = 60
 
@@ -51,9 +51,13 @@ def assign(docs: DataFrame, limit_bytes: int, id_col: str = "doc_id", text_col:
     n = F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long")
     base = docs.select(row_key(id_col, text_col).alias("rid"), F.col(id_col).alias("id"), n.alias("n_bytes"), place_bits(id_col).alias("h"))
     # numbered rows are written, so that a recomputed task cannot number them anew
-    base = stored(base.withColumn("u", F.monotonically_increasing_id()), "places")
+    return _assigned(stored(base.withColumn("u", F.monotonically_increasing_id()), "places"), limit_bytes).drop("u")
+
+
+def _assigned(base: DataFrame, limit_bytes: int) -> DataFrame:
+    """``assign`` of numbered rows (rid, id, n_bytes, h, u), with their number ``u``."""
     more = F.lpad(F.bin(F.shiftrightunsigned(F.xxhash64("u"), 64 - BITS)), BITS, "0")
-    left = base.withColumn("bits", F.concat("h", more)).drop("h", "u")
+    left = base.withColumn("bits", F.concat("h", more)).drop("h")
     total = base.agg(F.sum("n_bytes")).first()[0] or 0
     low, high = 0, min(2 * BITS, math.ceil(math.log2(max(1, total / limit_bytes))) + 4)
     placed = []
@@ -69,11 +73,28 @@ def assign(docs: DataFrame, limit_bytes: int, id_col: str = "doc_id", text_col:
     out = placed[0]
     for p in placed[1:]:
         out = out.unionByName(p)
-    return out.select("rid", "id", "n_bytes", F.expr("substring(bits, 1, depth)").alias("shard"), F.col("depth").cast("int").alias("depth"), "shard_bytes")
+    return out.select("u", "rid", "id", "n_bytes", F.expr("substring(bits, 1, depth)").alias("shard"), F.col("depth").cast("int").alias("depth"), "shard_bytes")
 
 
-def write_shards(docs: DataFrame, assigned: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Write the texts as Parquet, one folder per shard (``shard=``; the empty prefix is ``root``)."""
-    where = assigned.select("rid", F.when(F.col("shard") == "", "root").otherwise(F.col("shard")).alias("shard")).groupBy("rid").agg(F.min("shard").alias("shard"))
-    rows = docs.withColumn("rid", row_key(id_col, text_col)).join(where, "rid").drop("rid")
-    rows.repartition("shard").write.partitionBy("shard").parquet(path)
+def write_shards(docs: DataFrame, limit_bytes: int, path: str, id_col: str = "doc_id", text_col: str = "text") -> None:
+    """Write the texts as Parquet, one folder per shard (``shard=``; the empty prefix is ``root``), as (row, text): see
+    ``packed`` for ``row``, so no input column can clash. Shards are those of ``assign``; a row goes to its own
+    one by its number, so rows that are repeated are split like others. A shard is written by one task. An empty
+    table gives no folder, and none is read back.
+    """
+    rows = stored(packed(docs, text_col).withColumn("u", F.monotonically_increasing_id()), "numbered")
+    n = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
+    named = rows.select(F.col(f"row.`{id_col}`").alias("id"), "text", "u")
+    base = named.select(row_key("id", "text").alias("rid"), "id", n.alias("n_bytes"), place_bits("id").alias("h"), "u")
+    where = _assigned(stored(base, "places"), limit_bytes).select("u", F.when(F.col("shard") == "", "root").otherwise(F.col("shard")).alias("shard"))
+    rows.join(where, "u").drop("u").repartition("shard").write.partitionBy("shard").parquet(path)
+
+
+def read_shards(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
+    """(row, text, n_bytes, shard, depth, shard_bytes): the rows that ``write_shards`` wrote of a table like ``docs``, with
+    the bytes of each shard as read back."""
+    kind = packed(docs, text_col).withColumn("shard", F.lit("")).schema
+    rows = docs.sparkSession.read.schema(kind).parquet(path).withColumn("shard", F.when(F.col("shard") == "root", "").otherwise(F.col("shard")))
+    rows = rows.withColumn("n_bytes", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"))
+    sizes = rows.groupBy("shard").agg(F.sum("n_bytes").alias("shard_bytes"))
+    return rows.join(sizes, "shard").select("row", "text", "n_bytes", "shard", F.length("shard").alias("depth"), "shard_bytes")

@@ -368,6 +368,24 @@ def test_shards(spark, docs, empty):
     assert sharding.assign(empty, 100).count() == 0
 
 
+def test_written_shards(spark, docs, empty):
+    """The files hold every row once, in the shards of ``assign``; repeated rows are split to keep the limit."""
+    def written(table, limit):
+        path = scratch_path(spark, "shards")
+        sharding.write_shards(table, limit, path)
+        return sharding.read_shards(table, path).collect()
+
+    for limit in (3000, 10**6):
+        key = lambda x: tuple(map(repr, x))
+        want = sorted(((r.id, r.n_bytes, r.shard, r.depth, r.shard_bytes) for r in sharding.assign(docs, limit).collect()), key=key)
+        assert sorted(((r.row.doc_id, r.n_bytes, r.shard, r.depth, r.shard_bytes) for r in written(docs, limit)), key=key) == want
+    copies = spark.createDataFrame([(1, "x" * 50, 7, "s")] * 30, "doc_id long, text string, rid int, shard string")
+    got = written(copies, 100)
+    assert len(got) == 30 and {(r.row.rid, r.row.shard, r.text) for r in got} == {(7, "s", "x" * 50)}
+    assert max(r.shard_bytes for r in got) <= 100
+    assert written(empty, 100) == []
+
+
 # --- 1: nearest neighbours ------------------------------------------------------------------------
 
 
