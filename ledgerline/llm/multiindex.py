@@ -204,7 +204,8 @@ def search(indexed: DataFrame, queries: DataFrame, centers: np.ndarray, count: n
             take = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays([b["id"].take(take), b["vec"].take(take), pa.array(section, pa.int32()), pa.array(last, pa.float64())], names=["query_id", "q", "section", "last"])
 
-    asked = queries.mapInArrow(route, "query_id long, q array<double>, section int, last double")
+    # written, so that the heap is run once for each query
+    asked = stored(queries.mapInArrow(route, "query_id long, q array<double>, section int, last double"), "asked")
     indexed = indexed.withColumn("section", F.expr(f"cast((c1 * {SECTIONS}) div {k1} as int)"))
     parts = lambda df, key, size: df.groupBy("section").agg(F.ceil(F.count("*") / size).cast("int").alias(key))
     n_parts, q_parts = parts(indexed, "parts", PART), parts(asked, "q_parts", QUERY_PART)
