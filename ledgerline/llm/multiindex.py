@@ -103,25 +103,30 @@ def index(vectors: DataFrame, centers: np.ndarray) -> DataFrame:
 def visit(d1: np.ndarray, d2: np.ndarray, count: np.ndarray, enough: int) -> list[tuple[int, int]]:
     """Centroid pairs in order of ``d1[i] + d2[j]`` until their cells hold ``enough`` entries.
 
-    Multi-sequence search: the halves are sorted, and the heap holds the next pair of each sorted row; a row
-    enters it when the first pair of the row before is done.
+    Multi-sequence search: the halves are sorted, and the heap holds the next pair of each sorted row whose cell has
+    entries; empty cells are stepped over.
     """
     o1, o2 = np.argsort(d1, kind="stable"), np.argsort(d2, kind="stable")
-    s1, s2 = d1[o1].tolist(), d2[o2].tolist()
-    size = count[np.ix_(o1, o2)].tolist()
-    o1, o2 = o1.tolist(), o2.tolist()
-    heap, out, held = [(s1[0] + s2[0], 0, 0)], [], 0
+    s1, s2, n2 = d1[o1].tolist(), d2[o2].tolist(), len(d2)
+    size = count[np.ix_(o1, o2)]
+    at = (size > 0).argmax(axis=1).tolist()  # per row, the pair that the heap holds
+    heap = [(s1[i] + s2[at[i]], i) for i in np.flatnonzero(size.any(axis=1)).tolist()]
+    heapq.heapify(heap)
+    size, o1, o2 = size.tolist(), o1.tolist(), o2.tolist()
+    out, held = [], 0
     while heap and held < enough:
-        _, i, j = heap[0]
-        if size[i][j]:
-            held += size[i][j]
-            out.append((o1[i], o2[j]))
-        if j + 1 < len(s2):
-            heapq.heapreplace(heap, (s1[i] + s2[j + 1], i, j + 1))
+        i = heap[0][1]
+        row, j = size[i], at[i]
+        held += row[j]
+        out.append((o1[i], o2[j]))
+        j += 1
+        while j < n2 and not row[j]:
+            j += 1
+        if j < n2:
+            at[i] = j
+            heapq.heapreplace(heap, (s1[i] + s2[j], i))
         else:
             heapq.heappop(heap)
-        if j == 0 and i + 1 < len(s1):
-            heapq.heappush(heap, (s1[i + 1] + s2[0], i + 1, 0))
     return out
 
 
