@@ -14,10 +14,13 @@ from __future__ import annotations
 
 import math
 
+import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgerline.llm.common import packed, row_key, stored
+from ledgerline.llm.common import packed, row_key, slices, stored
 
 BITS = 60
 
@@ -76,18 +79,33 @@ def _assigned(base: DataFrame, limit_bytes: int) -> DataFrame:
     return out.select("u", "rid", "id", "n_bytes", F.expr("substring(bits, 1, depth)").alias("shard"), F.col("depth").cast("int").alias("depth"), "shard_bytes")
 
 
+def _zstd(rows: DataFrame, back: bool = False) -> DataFrame:
+    """``rows`` with their column ``text`` compressed row by row, or ``back`` as text; nulls stay null."""
+
+    def run(batches):
+        pack, unpack = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+        one = (lambda t: unpack.decompress(t).decode("utf-8", "surrogatepass")) if back else (lambda t: pack.compress(t.encode("utf-8", "surrogatepass")))
+        for b in slices(batches):
+            text = pa.array([None if t is None else one(t) for t in b["text"].to_pylist()], pa.string() if back else pa.binary())
+            yield pa.RecordBatch.from_arrays([text if f.name == "text" else b[f.name] for f in b.schema], names=b.schema.names)
+
+    kind = T.StringType() if back else T.BinaryType()
+    return rows.mapInArrow(run, T.StructType([T.StructField(f.name, kind if f.name == "text" else f.dataType) for f in rows.schema.fields]))
+
+
 def write_shards(docs: DataFrame, limit_bytes: int, path: str, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write the texts as Parquet, one folder per shard (``shard=``; the empty prefix is ``root``), as (row, text): see
     ``packed`` for ``row``, so no input column can clash. Shards are those of ``assign``; a row goes to its own
-    one by its number, so rows that are repeated are split like others. A shard is written by one task. An empty
-    table gives no folder, and none is read back.
+    one by its number, so rows that are repeated are split like others. A shard is written by one task. Texts are
+    compressed while they are stored and moved, and in the files. An empty table gives no folder, and none is read back.
     """
-    rows = stored(packed(docs, text_col).withColumn("u", F.monotonically_increasing_id()), "numbered")
     n = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")
-    named = rows.select(F.col(f"row.`{id_col}`").alias("id"), "text", "u")
-    base = named.select(row_key("id", "text").alias("rid"), "id", n.alias("n_bytes"), place_bits("id").alias("h"), "u")
+    rows = packed(docs, text_col).withColumn("rid", row_key(f"row.`{id_col}`", "text")).withColumn("n_bytes", n)
+    rows = stored(_zstd(rows.withColumn("u", F.monotonically_increasing_id())), "numbered")
+    base = rows.select("rid", F.col(f"row.`{id_col}`").alias("id"), "n_bytes", place_bits(f"row.`{id_col}`").alias("h"), "u")
     where = _assigned(stored(base, "places"), limit_bytes).select("u", F.when(F.col("shard") == "", "root").otherwise(F.col("shard")).alias("shard"))
-    rows.join(where, "u").drop("u").repartition("shard").write.partitionBy("shard").parquet(path)
+    out = _zstd(rows.select("row", "text", "u").join(where, "u").drop("u").repartition("shard"), back=True)
+    out.write.option("compression", "zstd").partitionBy("shard").parquet(path)
 
 
 def read_shards(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
