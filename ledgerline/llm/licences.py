@@ -1,15 +1,16 @@
 """Operator 5: licence scans with a trained paragraph classifier, in DataFrame and SQL functions only.
 
 A paragraph is a line of a text with a word in it. Features are its words and word pairs, restricted to those
-that some licence template has and ordinary paragraphs hardly ever. A multinomial logistic regression
-over the licence families and an unknown class is fitted by gradient descent whose every step is two
-joins and two grouped sums; the training rows are the templates' lines and a bounded sample of the
-table's own paragraphs as unknown. The decision threshold is calibrated on held-out paragraphs of that
-sample: at most one in a thousand may pass. A prediction is confirmed by comparison with the family's
-template: enough of the paragraph's word pairs must stand there.
-
-Scoring explodes the n-grams of every paragraph, joins the weights (broadcast: at most ``MAX_FEATURES``
-rows) and sums per paragraph; since only distinctive n-grams have weights, few rows reach the shuffle.
+that some licence template has and ordinary paragraphs hardly ever. One pass over the texts notes which of the templates'
+n-grams each paragraph has; all counts, the fit, the threshold and the scores are taken from these notes, of every paragraph
+of the table. A multinomial logistic regression over the licence families and an unknown class is fitted by gradient
+descent whose every step is two joins and two grouped sums; the training rows are the templates' lines and half of the
+table's own paragraphs as unknown, those of equal features as one row with their number. The decision threshold is
+calibrated on the other half: at most one in a thousand with any evidence may pass. A prediction is confirmed by
+comparison with the family's template: enough of the paragraph's word pairs must stand there.
+
+Scoring explodes the n-grams noted, joins the weights (broadcast: at most ``MAX_FEATURES`` rows) and sums per
+paragraph; since only distinctive n-grams have weights, few rows reach the shuffle.
 """
 
 from __future__ import annotations
@@ -19,10 +20,11 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import packed, stored
 
-MAX_FEATURES, SAMPLE_DOCS, SAMPLE_PARAGRAPHS, STEPS = 4096, 800, 6000, 12
+MAX_FEATURES, STEPS = 4096, 12
 PASSING = 0.001  # share of held-out unknown paragraphs that may pass the threshold
+GRID = 10_000  # probabilities are counted in steps of 1 / GRID for the threshold
 ALIKE = 0.5  # share of a paragraph's n-grams that its family's template must have
-COMMON = 0.002  # share of sampled paragraphs from which an n-gram is no evidence
+COMMON = 0.002  # share of all paragraphs from which an n-gram is no evidence
 
 # Templates: opening lines and usual notices of widely used licences.
 TEMPLATES = {
@@ -107,37 +109,59 @@ def _softmax(z: DataFrame, bias: list[float]) -> DataFrame:
     return z.select(*rest, *[(F.col(f"e{k}") / F.col("total")).alias(f"p{k}") for k in n])
 
 
+def _grams(lines: DataFrame, *keep: str) -> DataFrame:
+    """(keep..., f): the distinct n-grams of each line."""
+    return lines.withColumn("w", word_list(F.col("line"))).select(*keep, F.explode(F.array_distinct(n_grams("w"))).alias("f"))
+
+
+def _known(spark: SparkSession) -> list[list[str]]:
+    """The n-grams of each family's template, in order of ``FAMILIES``."""
+    rows = _grams(template_lines(spark), "y").groupBy("y").agg(F.sort_array(F.collect_set("f")).alias("f")).orderBy("y")
+    return [r.f for r in rows.collect()]  # templates only
+
+
+def evidence(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(rid, para, total, hits, alike), once for each paragraph of distinct (id, text): how many n-grams it has, those
+    that some template has too, and whether one family's template has ``ALIKE`` of them."""
+    known = _known(docs.sparkSession)
+    names = sorted({f for family in known for f in family})
+    src = docs.select(F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("rid"), F.col(f"`{text_col}`").alias("text"))
+    own = paragraphs(src, "text", "rid").withColumn("w", word_list(F.col("line"))).select("rid", "para", F.array_distinct(n_grams("w")).alias("own"))
+    notes = own.select("rid", "para", F.size("own").alias("total"), F.filter("own", lambda g: g.isin(names)).alias("hits"))
+    least = ALIKE * F.col("total")
+    some = F.exists(F.lit(known), lambda family: F.size(F.array_intersect("hits", family)) >= least)
+    notes = notes.withColumn("alike", F.when(F.size("hits") >= least, some).otherwise(F.lit(False)))
+    return stored(notes.dropDuplicates(["rid", "para"]), "evidence")
+
+
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, list[float], float]:
-    """(weights (f, w0, w1, ...), bias per class, calibrated threshold). Nulls take no part."""
-    spark = docs.sparkSession
-    source = docs.where(F.col(text_col).isNotNull()).select(F.xxhash64(id_col).alias("h"), F.col(id_col).alias("i"), F.col(text_col).alias("t"))
-    picked = source.select("h").distinct().orderBy("h").limit(SAMPLE_DOCS)
-    sample = paragraphs(source.join(picked, "h"), "t", "h").select(F.xxhash64("h", "para", "line").alias("r"), "line")
-    sample = stored(sample.dropDuplicates(["r"]).orderBy("r").limit(SAMPLE_PARAGRAPHS), "paragraphs")
-    known = template_lines(spark)
-    grams = lambda df, *keep: df.withColumn("w", word_list(F.col("line"))).select(*keep, F.explode(F.array_distinct(n_grams("w"))).alias("f"))
-    n_sample = sample.count()
-    # a sampled paragraph that is mostly made of some template's n-grams is no example of the unknown
-    theirs = grams(known, "y").distinct()
-    own = grams(sample, "r")
-    whole = own.groupBy("r").agg(F.count("*").alias("all"))
-    shared = own.join(F.broadcast(theirs), "f").groupBy("r", "y").agg(F.count("*").alias("n"))
-    alike = shared.join(whole, "r").where(F.col("n") >= ALIKE * F.col("all")).select("r").distinct()
-    unknown = stored(sample.join(alike, "r", "left_anti"), "unknown")
-    common = grams(unknown, "r").groupBy("f").agg(F.count("*").alias("n")).where(F.col("n") > max(3.0, COMMON * n_sample))
-    vocab = stored(grams(known, "y").groupBy("f").agg(F.countDistinct("y").alias("n")).join(common, "f", "left_anti").orderBy("n", "f").limit(MAX_FEATURES).select("f"), "vocabulary")
-    train_rows = known.select(F.xxhash64("y", "line").alias("r"), "y", "line").unionByName(unknown.where("r % 2 = 0").select("r", F.lit(UNKNOWN).alias("y"), "line"))
-    x = stored(grams(train_rows, "r", "y").join(F.broadcast(vocab), "f"), "features")
-    rows = stored(train_rows.select("r", "y").distinct(), "rows")
+    """(weights (f, w0, w1, ...), bias per class, calibrated threshold). Nulls take no part, repeated rows count once."""
+    return fit(evidence(docs, id_col, text_col))
+
+
+def fit(notes: DataFrame) -> tuple[DataFrame, list[float], float]:
+    """``train`` from the ``evidence`` of all paragraphs."""
+    spark = notes.sparkSession
+    known = template_lines(spark).withColumn("r", F.xxhash64("y", "line")).distinct()
+    # a paragraph that is mostly made of some template's n-grams is no example of the unknown
+    unknown = notes.where("not alike").withColumn("half", F.pmod(F.xxhash64("rid", "para"), F.lit(2)))
+    common = unknown.select(F.explode("hits").alias("f")).groupBy("f").agg(F.count("*").alias("n"))
+    common = common.where(F.col("n") > max(3.0, COMMON * notes.count()))
+    vocab = stored(_grams(known, "y").groupBy("f").agg(F.countDistinct("y").alias("n")).join(common, "f", "left_anti").orderBy("n", "f").limit(MAX_FEATURES).select("f"), "vocabulary")
+    names = [r.f for r in vocab.collect()]  # at most MAX_FEATURES
+    # paragraphs of equal features are one row with their number; those without any have no gradient
+    alone = unknown.where("half = 0").select(F.array_sort(F.filter("hits", lambda g: g.isin(names))).alias("own")).where("size(own) > 0")
+    alone = alone.groupBy("own").agg(F.count("*").alias("n")).select(F.xxhash64(F.lit(UNKNOWN), "own").alias("r"), F.lit(UNKNOWN).alias("y"), "n", F.explode("own").alias("f"))
+    x = stored(_grams(known, "r", "y").join(F.broadcast(vocab), "f").select("r", "y", F.lit(1).cast("long").alias("n"), "f").unionByName(alone), "features")
     n_classes = UNKNOWN + 1
-    share = {k.y: k.n for k in rows.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    n_rows = sum(share.values())
+    n_unknown = unknown.where("half = 0").count()
+    n_rows = n_unknown + known.count()
     bias = [0.0] * UNKNOWN + [2.0]  # a paragraph without evidence is unknown; the rest is learnt
     ws, rs = [f"w{c}" for c in range(n_classes)], [f"r{c}" for c in range(n_classes)]
     weights = vocab.select("f", *[F.lit(0.0).alias(w) for w in ws], F.lit(1e-3).alias("g2"))
     for _ in range(STEPS):
-        z = x.join(F.broadcast(weights), "f").groupBy("r", "y").agg(*[F.sum(w).alias(w) for w in ws])
-        weight = F.when(F.col("y") == UNKNOWN, n_rows / (2.0 * max(1, share.get(UNKNOWN, 0)))).otherwise(n_rows / (2.0 * UNKNOWN * 5))
+        z = x.join(F.broadcast(weights), "f").groupBy("r", "y", "n").agg(*[F.sum(w).alias(w) for w in ws])
+        weight = F.col("n") * F.when(F.col("y") == UNKNOWN, n_rows / (2.0 * max(1, n_unknown))).otherwise(n_rows / (2.0 * UNKNOWN * 5))
         resid = _softmax(z, bias).select("r", *[(weight * (F.col(f"p{c}") - (F.col("y") == c).cast("double"))).alias(rs[c]) for c in range(n_classes)])
         grad = x.select("r", "f").join(resid, "r").groupBy("f").agg(*[(F.sum(r) / n_rows).alias(r) for r in rs])
         step = weights.join(grad, "f", "left").fillna(0.0, rs)
@@ -146,9 +170,10 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
         moved = [(F.col(w) * 0.999 - 0.5 * F.col(r) / F.sqrt(F.col("g2") + 1e-8)).alias(w) for w, r in zip(ws, rs)]
         weights = stored(step.select("f", *moved, "g2"), "weights")
     weights = weights.select("f", *ws)
-    held = unknown.where("r % 2 <> 0")
-    top = _scored(grams(held, "r"), weights, bias, "r").agg(F.expr(f"percentile(prob, {1 - PASSING})"), F.count("*")).first()
-    return weights, bias, max(0.5, min(0.99, float(top[0] or 0.0)))
+    held = _scored(unknown.where("half = 1").select("rid", "para", F.explode("hits").alias("f")), weights, bias, "rid", "para")
+    counts = held.groupBy(F.ceil(F.col("prob") * GRID).alias("step")).agg(F.count("*").alias("n"))  # at most GRID + 1 rows
+    top = counts.agg(F.expr(f"percentile(step, {1 - PASSING}, n)")).first()[0]
+    return weights, bias, max(0.5, min(0.99, float(top or 0.0) / GRID))
 
 
 def _scored(grams: DataFrame, weights: DataFrame, bias: list[float], *key: str, least: float = 0.0) -> DataFrame:
@@ -169,22 +194,15 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     A null or empty text has no paragraphs; repeated rows are scanned alike; equally likely families: the
     first by name. An empty table gives an empty result.
     """
-    weights, bias, threshold = train(docs, id_col, text_col)
+    notes = evidence(docs, id_col, text_col)  # repeated rows share their rid and are noted once
+    weights, bias, threshold = fit(notes)
     src = packed(docs, text_col).withColumn("rid", F.xxhash64(F.col(f"row.`{id_col}`"), "text"))
-    lines = paragraphs(src, "text", "rid").withColumn("w", word_list(F.col("line")))
-    # repeated rows share their rid: each is summed by itself, and one result of equal ones is kept
-    lone = paragraphs(src.withColumn("u", F.monotonically_increasing_id()), "text", "u", "rid").withColumn("w", word_list(F.col("line")))
-    grams = lone.select("u", "rid", "para", F.explode(F.array_distinct(n_grams("w"))).alias("f"))
-    likely = _scored(grams, weights, bias, "u", "rid", "para", least=threshold)
-    likely = stored(likely.groupBy("rid", "para").agg(F.min(F.struct("u", "c", "prob")).alias("m")).select("rid", "para", "m.c", "m.prob"), "likely")
-    # confirmation: fetch the paragraphs found and compare their n-grams with the family's template
+    likely = _scored(notes.select("rid", "para", F.explode("hits").alias("f")), weights, bias, "rid", "para", least=threshold)
+    # confirmation: compare the n-grams of the paragraphs found with the family's template
     spark = docs.sparkSession
-    known = template_lines(spark).withColumn("w", word_list(F.col("line"))).select("y", F.explode(n_grams("w")).alias("f"))
-    known = known.groupBy(F.col("y").alias("c")).agg(F.collect_set("f").alias("known"))
-    named = spark.createDataFrame(list(enumerate(FAMILIES)), "c int, family string").join(known, "c")
-    found = lines.select("rid", "para", "w").join(likely, ["rid", "para"]).dropDuplicates(["rid", "para"]).join(F.broadcast(named), "c")
-    own = F.array_distinct(n_grams("w"))
-    found = found.withColumn("alike", F.size(F.array_intersect(own, "known")) / F.size(own)).where(F.col("alike") >= ALIKE)
+    named = spark.createDataFrame([(c, FAMILIES[c], known) for c, known in enumerate(_known(spark))], "c int, family string, known array<string>")
+    found = notes.join(likely, ["rid", "para"]).join(F.broadcast(named), "c")
+    found = found.withColumn("alike", F.size(F.array_intersect("hits", "known")) / F.col("total")).where(F.col("alike") >= ALIKE)
     lists = found.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("para", "family", "prob", "alike"))).alias("licences"))
     kind = lists.schema["licences"].dataType
     return src.select("row", "rid").join(lists, "rid", "left").select("row", F.coalesce("licences", F.array().cast(kind)).alias("licences"))
