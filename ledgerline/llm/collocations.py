@@ -4,9 +4,10 @@ Texts are cut into shards of about ``SHARD_BYTES``, one language each. A shard t
 language's bytes is mined completely (level by level, as in Apriori) at the local support
 t = ceil(``support`` * b / B). The shares add up to one, so a phrase that reaches the support in all reaches the
 local one in some shard. Where it does not, it occurs t - 1 times at most: the local counts of a phrase and these bounds
-for the other shards say whether it can reach the support at all. What can is the union of candidates, kept as a bitmap
-of hashes of fixed size; phrases of one bit or hash only make it a superset. A second pass counts in every
-shard each phrase that the bitmap holds, and the counts are summed: they are exact.
+for the other shards say whether it can reach the support at all. If no other shard leaves a bound, as all that may hold it
+have reported it, its count is known and it is not counted again. The others that can reach the support are kept as a bitmap of fixed size;
+phrases of one bit only make it a superset. A second pass counts in every shard each phrase that the bitmap
+holds, and the counts are summed: they are exact.
 
 Within a shard, words are numbers and a phrase of j words is the pair (its first j - 1 words, its last word), so equal
 numbers mean equal phrases. Scores are decimals of 38 digits, divided without rounding.
@@ -157,49 +158,67 @@ def frequent_phrases(rows: DataFrame, support: int, shard_bytes: int = SHARD_BYT
         for lang, total, shard in _shards(batches, shard_bytes):
             least = -(-support * shard.n_bytes // max(1, total))  # of an empty shard 0: nothing to count
             ids, words = shard.close()
-            yield _mined([lang], None, [least - 1 if least else 0])
-            for _, _, n, h in phrases(ids, _hashes(lang, words), lambda count, h: count >= least):  # noqa: B023
+            bound = least - 1 if least else 0
+            yield _mined(lang, [None], 0, [0], [int((ids >= 0).sum())], bound)
+            for j, first, n, h in phrases(ids, _hashes(lang, words), lambda count, h: count >= least):  # noqa: B023
                 for some in _blocks(len(n)):
-                    yield _mined([lang] * len(n[some]), h[some].astype(np.int64), n[some] - (least - 1))
-
-    # sum of (count - bound) over the shards that report a phrase, against what all bounds leave to the support
-    mined = cut(shard_bytes).mapInArrow(mine, "lang string, hash long, over long").groupBy("lang", "hash").agg(F.sum("over").alias("over"))
-    mined = stored(mined, "mined")
-    lack = mined.where("hash is null").select("lang", (F.lit(support) - F.col("over")).alias("lack"))
-    bit = mined.where("hash is not null").join(lack, "lang").where("over >= lack").select(F.shiftrightunsigned("hash", 64 - bits).alias("bit"))
-    union = bit.groupBy(F.expr(f"bit div {_CHUNK}").alias("part")).agg(F.expr(f"bitmap_construct_agg(bit % {_CHUNK})").alias("bits"))
-    bitmap = np.zeros(1 << (bits - 3), dtype=np.uint8)
-    step = min(_CHUNK, 1 << bits) >> 3
-    for r in union.toLocalIterator():  # 2**bits bits in all
-        bitmap[r.part * step : (r.part + 1) * step] = np.frombuffer(r.bits, dtype=np.uint8)[:step]
-    sent = spark.sparkContext.broadcast(bitmap)
+                    yield _mined(lang, _texts(ids, words, first[some], j), j, (h[some] >> np.uint64(64 - bits)).astype(np.int32), n[some], bound)
+
+    # what the shards that report a phrase have counted, and what the bounds of all others leave open
+    mined = cut(shard_bytes).mapInArrow(mine, "lang string, phrase string, size int, bit int, n long, bound long")
+    mined = stored(mined.groupBy("lang", "phrase", "size", "bit").agg(F.sum("n").alias("n"), F.sum("bound").alias("bound")), "mined")
+    n_words = mined.where("phrase is null").select("lang", "n", F.col("bound").alias("all_bounds"))
+    found = mined.where("phrase is not null").join(n_words.drop("n"), "lang").withColumn("open", F.expr("all_bounds - bound")).where(f"n + open >= {support}")
+    exact = found.where("open = 0").select("lang", "phrase", "size", F.col("n").alias("known"), F.lit(None).cast("long").alias("f"))
+
+    def bitmap(bit: DataFrame) -> np.ndarray:
+        union = bit.groupBy(F.expr(f"bit div {_CHUNK}").alias("part")).agg(F.expr(f"bitmap_construct_agg(bit % {_CHUNK})").alias("bits"))
+        out = np.zeros(1 << (bits - 3), dtype=np.uint8)
+        step = min(_CHUNK, 1 << bits) >> 3
+        for r in union.toLocalIterator():  # 2**bits bits in all
+            out[r.part * step : (r.part + 1) * step] = np.frombuffer(r.bits, dtype=np.uint8)[:step]
+        return out
+
+    to_count = bitmap(found.where("open > 0"))
+    if not to_count.any():  # every shard has reported every candidate that it holds
+        return n_words.select("lang", "n"), exact.select("lang", "phrase", "size", F.col("known").alias("f"))
+    # a phrase is reached by its parts, so the known ones are walked too, but not sent
+    sent = spark.sparkContext.broadcast((bitmap(found), to_count))
 
     def count(batches):
-        held = sent.value
+        to_walk, to_send = sent.value
 
-        def known(count, h):
+        def held(bitmap, h):
             at = (h >> np.uint64(64 - bits)).astype(np.int64)
-            return (held[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+            return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
         sums: dict[tuple, Counter] = {}
         for lang, _, shard in _shards(batches, shard_bytes):
             ids, words = shard.close()
-            yield from _summed(sums, (lang, 0), [None], [int((ids >= 0).sum())])
-            for j, first, n, _ in phrases(ids, _hashes(lang, words), known):
+            for j, first, n, h in phrases(ids, _hashes(lang, words), lambda count, h: held(to_walk, h)):
+                own = held(to_send, h)
+                first, n = first[own], n[own]
                 for some in _blocks(len(first)):
-                    parts = ids[first[some, None] + np.arange(j)].tolist()
-                    yield from _summed(sums, (lang, j), [b" ".join([words[i] for i in p]) for p in parts], n[some].tolist())
+                    yield from _summed(sums, (lang, j), _texts(ids, words, first[some], j), n[some].tolist())
         yield from _flushed(sums)
 
     counted = cut(max(shard_bytes, TASK_BYTES)).mapInArrow(count, "lang string, phrase string, size int, f long")
-    # nearly all rows are phrases with few counts each; the words in all are one row a shard
-    counted = stored(counted.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f")).where(f"f >= {support} or phrase is null"), "phrases")
-    return counted.where("phrase is null").select("lang", F.col("f").alias("n")), counted.where("phrase is not null")
+    # a known phrase that shares its bit with one to count is counted too, with the same result
+    both = exact.unionByName(counted.select("lang", "phrase", "size", F.lit(None).cast("long").alias("known"), "f"))
+    f = both.groupBy("lang", "phrase", "size").agg(F.coalesce(F.max("known"), F.sum("f")).alias("f")).where(f"f >= {support}")
+    return n_words.select("lang", "n"), stored(f, "phrases")
 
 
-def _mined(lang: list[str], h, over) -> pa.RecordBatch:
-    h = pa.nulls(len(lang), pa.int64()) if h is None else pa.array(h, pa.int64())
-    return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), h, pa.array(over, pa.int64())], names=["lang", "hash", "over"])
+def _texts(ids: np.ndarray, words: list[bytes], first: np.ndarray, j: int) -> list[bytes]:
+    return [b" ".join([words[i] for i in p]) for p in ids[first[:, None] + np.arange(j)].tolist()]
+
+
+def _mined(lang: str, phrase: list, size: int, bit, n, bound: int) -> pa.RecordBatch:
+    k = len(phrase)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([lang] * k, pa.string()), pa.array(phrase, pa.binary()).cast(pa.string()), pa.array([size] * k, pa.int32()), pa.array(bit, pa.int32()), pa.array(n, pa.int64()), pa.array([bound] * k, pa.int64())],
+        names=["lang", "phrase", "size", "bit", "n", "bound"],
+    )
 
 
 def _summed(sums: dict[tuple, Counter], key: tuple, phrase: list, n: list[int]):

@@ -137,6 +137,26 @@ def test_collocations(spark, monkeypatch, shard, bits, parts, top):
     assert len(want) > 10 and {tuple(r) for r in got.collect()} == want
 
 
+@pytest.mark.parametrize(("shard", "parts", "again"), [(1 << 20, 1, False), (400, 5, True)])
+def test_collocations_known_after_mining(spark, monkeypatch, shard, parts, again):
+    """Counting tasks sent every phrase once more, also those that every shard had reported with its count."""
+    seen = spark.sparkContext.accumulator(0)
+    flushed = collocations._flushed
+
+    def noted(sums):
+        seen.add(sum(map(len, sums.values())))
+        return flushed(sums)
+
+    monkeypatch.setattr(collocations, "_flushed", noted)
+    monkeypatch.setattr(collocations, "TASK_BYTES", shard)
+    rows = [("a b c d. " * 50 + "x y. " * k, "en") for k in (0, 9, 0, 9, 1)]
+    docs = spark.createDataFrame([(t, lang) for t, lang in rows], "text string, lang string").repartition(parts)
+    n, f = collocations.frequent_phrases(docs, 15, shard)
+    assert {(r.phrase, r.f) for r in f.collect()} >= {("a b c d", 250), ("x y", 19), ("d", 250)} and n.first().n == 5 * 200 + 2 * 19
+    # of 13 phrases, the 10 of a to d are known: at most x, y and "x y" are sent, by a task that holds them
+    assert (0 < seen.value <= 3 * 3) if again else seen.value == 0
+
+
 def test_collocations_wide_products(spark):
     """Scores of counts whose products pass 64 bits are floored exactly."""
     a, n, left, right = 3_000_000_007, 9_000_000_000_000_003, 5_000_000_029, 4_000_000_007
