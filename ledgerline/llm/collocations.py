@@ -1,7 +1,7 @@
 """Operator 12: phrase collocations, mined by SON partitioning.
 
-Texts are cut into shards of about ``SHARD_BYTES``, one language each. A shard that holds the share b / B of its
-language's bytes is mined completely (level by level, as in Apriori) at the local support
+Texts are dealt by language into shards of about ``SHARD_BYTES``, so that a language has as few as can be: what a shard may leave
+out grows with its share. A shard that holds the share b / B of its language's bytes is mined completely (level by level, as in Apriori) at the local support
 t = ceil(``support`` * b / B). The shares add up to one, so a phrase that reaches the support in all reaches the
 local one in some shard. Where it does not, it occurs t - 1 times at most: the local counts of a phrase and these bounds
 for the other shards say whether it can reach the support at all. If no other shard leaves a bound, as all that may hold it
@@ -25,11 +25,14 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import stored
 
-SHARD_BYTES = 40 << 20
+SHARD_BYTES = 64 << 20  # of mining; several smaller languages share one
+COUNT_BYTES = 40 << 20  # of counting, of all languages as they come
 TASK_BYTES = 256 << 20  # text that a counting task reads, shard by shard, summing before the shuffle
 SUMS = 1 << 20  # distinct phrases that it holds at once
 MAX_WORDS = 5
+FEW = 10_000  # languages
 BITS = 27  # the bitmap has 2**BITS bits: 16 MiB
+_AT_ONCE = 1 << 21  # places whose phrases are sorted at once
 _CHUNK = 1 << 15  # bits of one row of Spark's bitmap functions
 
 _BREAK = b"\xff"  # no byte of UTF-8
@@ -74,44 +77,63 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 
 def phrases(ids: np.ndarray, word_hash: np.ndarray, keep, max_words: int = MAX_WORDS):
-    """Per length j: (first positions, counts, hashes) of the distinct phrases of j words that ``keep`` (counts,
-    hashes -> mask) keeps; only phrases whose first and last j - 1 words are kept are looked at."""
-    at = np.flatnonzero(ids >= 0).astype(np.int32)
-    code = np.full(len(ids) + 1, -1, dtype=np.int32)  # of the phrase of j words that starts here
-    word = code.copy()
+    """Per length j, in parts: (first positions, counts, hashes) of the distinct phrases of j words that ``keep`` (counts,
+    hashes -> mask) keeps; only phrases whose first and last j - 1 words are kept are looked at. About ``_AT_ONCE`` places are
+    sorted at a time, those whose first j - 1 words are the same never apart."""
+    number = np.full(int(ids.max(initial=-1)) + 2, -1, dtype=np.int32)  # of a kept word; the last is that of a break
+    code = np.full(len(ids) + 1, -1, dtype=np.int32)  # of the phrase of j - 1 words that starts here
+    at, n_words = np.flatnonzero(ids >= 0).astype(np.int32), 0
     for j in range(1, max_words + 1):
         if j > 1:
             at = at[at < len(ids) - j + 1]
             at = at[(code[at] >= 0) & (code[at + 1] >= 0)]
         if not len(at):
             return
-        if j == 1:
-            found = ids[at]
-            count = np.bincount(found)
-            first = np.zeros(len(count), dtype=np.int32)
-            first[found[::-1]] = at[::-1]
-        else:
-            key = code[at].astype(np.int64) * n_words + word[at + (j - 1)]
-            order = np.argsort(key, kind="stable")
-            key = key[order]
-            new = np.concatenate(([True], key[1:] != key[:-1]))
-            del key
-            found = np.empty(len(at), dtype=np.int32)
-            found[order] = np.cumsum(new, dtype=np.int32) - 1
-            begin = np.flatnonzero(new)
-            count, first = np.diff(np.append(begin, len(at))), at[order[begin]]
-            del order, new, begin
-        h = np.zeros(len(count), dtype=np.uint64)
-        for i in range(j):
-            h = mix(h + word_hash[ids[first + i]])
-        kept = keep(count, h)
-        number = np.where(kept, np.cumsum(kept) - 1, -1).astype(np.int32)
-        code.fill(-1)
-        code[at] = number[found]
-        del found, number
-        if j == 1:
-            word, n_words = code.copy(), int(kept.sum())
-        yield j, first[kept], count[kept], h[kept]
+        longer, n_codes = np.full(len(ids) + 1, -1, dtype=np.int32), 0
+        for some in _parts(code, at) if j > 1 else [at]:
+            if j == 1:
+                found = ids[some]
+                count = np.bincount(found)
+                first = np.zeros(len(count), dtype=np.int32)
+                first[found[::-1]] = some[::-1]
+            else:
+                key = code[some].astype(np.int64) * n_words + number[ids[some + (j - 1)]]
+                order = np.argsort(key, kind="stable")
+                key = key[order]
+                new = np.concatenate(([True], key[1:] != key[:-1]))
+                del key
+                found = np.empty(len(some), dtype=np.int32)
+                found[order] = np.cumsum(new, dtype=np.int32) - 1
+                begin = np.flatnonzero(new)
+                count, first = np.diff(np.append(begin, len(some))), some[order[begin]]
+                del order, new, begin
+            h = np.zeros(len(count), dtype=np.uint64)
+            for i in range(j):
+                h = mix(h + word_hash[ids[first + i]])
+            kept = keep(count, h)
+            own = np.where(kept, n_codes + np.cumsum(kept) - 1, -1).astype(np.int32)
+            longer[some] = own[found]
+            n_codes += int(kept.sum())
+            del found
+            if j == 1:
+                number[: len(own)], n_words = own, n_codes
+            yield j, first[kept], count[kept], h[kept]
+        code = longer
+
+
+def _parts(code: np.ndarray, at: np.ndarray):
+    """The places ``at`` in parts of about ``_AT_ONCE``, by ranges of their codes."""
+    n = -(-len(at) // _AT_ONCE)
+    if n == 1:
+        yield at
+        return
+    own = code[at]
+    below = np.cumsum(np.bincount(own))
+    bounds = [0, *(np.searchsorted(below, np.arange(1, n) * len(at) // n) + 1).tolist(), len(below)]
+    for lo, hi in zip(bounds, bounds[1:]):
+        some = at[(own >= lo) & (own < hi)]
+        if len(some):
+            yield some
 
 
 def _shards(batches, size: int):
@@ -144,18 +166,36 @@ def _blocks(n: int, size: int = 1 << 16):
     return (slice(at, at + size) for at in range(0, n, size))
 
 
+def _dealt(source: DataFrame, totals: DataFrame, size: int) -> DataFrame:
+    """``source`` (lang, total, text) in partitions of about ``size`` bytes: a large language is dealt evenly over partitions of its
+    own, the others together, each in one. By chance and not by content, so that no group of copies falls into one."""
+    large = totals.where(F.col("total") > size).select("lang", "total").collect()  # of all bytes / size at most
+    spans, n = [], 0
+    for lang, total in large:
+        spans.append((lang, n, -(-total // size)))
+        n += spans[-1][2]
+    rest = totals.where(F.col("total") <= size).agg(F.sum("total").alias("n")).first()["n"]
+    others = 0 if rest is None else max(1, -(-rest // size))
+    slot = n + F.pmod(F.xxhash64("lang"), F.lit(max(1, others)))
+    if spans:
+        places = source.sparkSession.createDataFrame(spans, "lang string, first long, pieces long")
+        source = source.join(F.broadcast(places) if len(spans) <= FEW else places, "lang", "left")
+        slot = F.coalesce(F.col("first") + F.floor(F.rand(1) * F.col("pieces")), slot)
+    return source.select("lang", "total", "text", slot.cast("int").alias("slot")).repartitionById(max(1, n + others), F.col("slot")).drop("slot")
+
+
 def frequent_phrases(rows: DataFrame, support: int, shard_bytes: int = SHARD_BYTES, bits: int = BITS) -> tuple[DataFrame, DataFrame]:
     """((lang, n), (lang, phrase, size, f)) of ``rows`` (lang, text): words in all, and every phrase of one to five
     words that occurs ``support`` times at least."""
     spark = rows.sparkSession
     totals = stored(rows.groupBy("lang").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("total")), "totals")
     all_bytes = totals.agg(F.sum("total").alias("n")).first()["n"] or 0
-    # no shuffle: a mining task reads about one shard, a counting task several. A join by size: few languages are broadcast, many are not
-    source = rows.join(totals, "lang").select("lang", "total", "text")
+    # counting needs no shuffle: a task reads several shards. Few languages are broadcast, many are not
+    source = rows.join(F.broadcast(totals) if totals.count() <= FEW else totals, "lang").select("lang", "total", "text")
     cut = lambda size: source.coalesce(max(1, -(-all_bytes // size)))
 
     def mine(batches):
-        for lang, total, shard in _shards(batches, shard_bytes):
+        for lang, total, shard in _shards(batches, shard_bytes + shard_bytes // 4):
             least = -(-support * shard.n_bytes // max(1, total))  # of an empty shard 0: nothing to count
             ids, words = shard.close()
             bound = least - 1 if least else 0
@@ -165,7 +205,7 @@ def frequent_phrases(rows: DataFrame, support: int, shard_bytes: int = SHARD_BYT
                     yield _mined(lang, _texts(ids, words, first[some], j), j, (h[some] >> np.uint64(64 - bits)).astype(np.int32), n[some], bound)
 
     # what the shards that report a phrase have counted, and what the bounds of all others leave open
-    mined = cut(shard_bytes).mapInArrow(mine, "lang string, phrase string, size int, bit int, n long, bound long")
+    mined = _dealt(source, totals, shard_bytes).mapInArrow(mine, "lang string, phrase string, size int, bit int, n long, bound long")
     mined = stored(mined.groupBy("lang", "phrase", "size", "bit").agg(F.sum("n").alias("n"), F.sum("bound").alias("bound")), "mined")
     n_words = mined.where("phrase is null").select("lang", "n", F.col("bound").alias("all_bounds"))
     found = mined.where("phrase is not null").join(n_words.drop("n"), "lang").withColumn("open", F.expr("all_bounds - bound")).where(f"n + open >= {support}")
@@ -193,7 +233,7 @@ def frequent_phrases(rows: DataFrame, support: int, shard_bytes: int = SHARD_BYT
             return (bitmap[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
         sums: dict[tuple, Counter] = {}
-        for lang, _, shard in _shards(batches, shard_bytes):
+        for lang, _, shard in _shards(batches, min(shard_bytes, COUNT_BYTES)):
             ids, words = shard.close()
             for j, first, n, h in phrases(ids, _hashes(lang, words), lambda count, h: held(to_walk, h)):
                 own = held(to_send, h)
